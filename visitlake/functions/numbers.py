@@ -7,6 +7,8 @@ the scale Spark would pick for a decimal quotient.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,7 +38,7 @@ def ratio(numerator, denominator, places: int = 2, type_: str = "decimal(10,2)")
     whole = ((doubled - doubled % step) / step).cast(_WIDE)
     negative = (n < 0) != (d < 0)
     signed = F.when(negative, -whole).otherwise(whole)
-    return (signed / F.lit(10**places)).cast(type_)
+    return (signed.cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-places))).cast(type_)
 
 
 def percent(part, whole, type_: str = "decimal(10,2)") -> Column:

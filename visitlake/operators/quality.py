@@ -1,11 +1,12 @@
 """Declarative data-quality rules.
 
-All row rules of a table are counted in one scan, all foreign keys in one grouping.
+All row rules of a table are counted in one scan.
 Results are one row per rule: ``(CheckID, Severity, Violations, Sample, Passed)``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -59,31 +60,19 @@ def unique_key(df: DataFrame, key: str, check_id: str) -> DataFrame:
     return _result(found, check_id, F.col("_v"), F.col("_s"))
 
 
-def orphans(fact: DataFrame, dims: dict[str, DataFrame], key: str) -> DataFrame:
-    """Fact rows per foreign key that no dimension row answers.
+def orphans(visits: Callable[..., DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
+    """Fact rows per foreign key that no dimension row answers, with the smallest such key.
 
-    The keys are stacked and grouped before they meet the dimensions, so the fact is
-    read once and a hot key reaches the join as one row per task.
+    ``visits(column)`` gives the fact cut to one column. Each key column is counted by
+    value first, so the join sees every value once, however often the fact repeats it.
     """
-    pairs = F.array(*(F.struct(F.lit(c).alias("_fk"), F.col(c).cast("string").alias("_value")) for c in dims))
-    used = fact.select(F.col(key).cast("string").alias("_key"), F.inline(pairs))
-    used = used.groupBy("_fk", "_value").agg(F.count(F.lit(1)).alias("_n"), F.min("_key").alias("_key"))
-    known = union_periods(
-        [dim.select(F.lit(c).alias("_fk"), F.col(c).cast("string").alias("_value")) for c, dim in dims.items()]
-    )
-    missing = used.join(known, ["_fk", "_value"], "left_anti")
-    missing = missing.groupBy("_fk").agg(F.sum("_n").alias("_n"), F.min("_key").alias("_key"))
-    empty = [
-        F.struct(F.lit(c).alias("_fk"), F.lit(0).cast("bigint").alias("_n"), F.lit(None).cast("string").alias("_key"))
-        for c in dims
-    ]
-    every = fact.sparkSession.range(1).select(F.inline(F.array(*empty)))
-    per_key = missing.select("_fk", "_n", "_key").unionByName(every)
-    per_key = per_key.groupBy("_fk").agg(F.sum("_n").alias("_n"), F.min("_key").alias("_key"))
-    return per_key.select(
-        F.concat(F.lit("orphan "), F.col("_fk")).alias("CheckID"), F.lit("error").alias("Severity"),
-        F.col("_n").alias("Violations"), F.col("_key").alias("Sample"), (F.col("_n") == 0).alias("Passed"),
-    )
+    found = []
+    for key, dim in dims.items():
+        used = visits(key).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+        missing = used.join(dim.select(key), key, "left_anti")
+        missing = missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_v"), F.min(key).alias("_s"))
+        found.append(_result(missing, f"orphan {key}", F.col("_v"), F.col("_s")))
+    return union_periods(found)
 
 
 def expected_counts(actual: DataFrame, expected: DataFrame, label: str) -> DataFrame:

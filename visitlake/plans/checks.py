@@ -9,7 +9,8 @@ from visitlake.operators.quality import (
     Rule, enforce, expected_counts, leftover_variants, orphans, row_rules, soundalike_check, unique_key,
 )
 from visitlake.operators.relational import row_counts, union_periods
-from visitlake.sources.star import DIMENSION_KEYS
+from visitlake.sources.star import DIMENSION_KEYS, Star
+from visitlake.sources.tables import VISIT_COLUMNS
 
 
 def measure_rules(start: str, end: str) -> list[Rule]:
@@ -58,32 +59,46 @@ def code_width_rules(start_year: int, months: int, bill_offset: int) -> list[Rul
     ]
 
 
-def constraint_checks(fact: DataFrame, dims: dict[str, DataFrame], start: str, end: str) -> DataFrame:
+def constraint_checks(star: Star, start: str, end: str) -> DataFrame:
     """Primary keys, foreign keys and checks of the consolidated fact."""
     rules = [*measure_rules(start, end), *not_null_rules(["VisitID", *DIMENSION_KEYS.values()])]
-    by_key = {DIMENSION_KEYS[name]: dim for name, dim in dims.items()}
+    by_key = {DIMENSION_KEYS[name]: dim for name, dim in star.dims.items()}
     return union_periods([
-        row_rules(fact, rules, "VisitID"),
-        unique_key(fact, "VisitID", "unique VisitID"),
+        row_rules(star.visits(*VISIT_COLUMNS), rules, "VisitID"),
+        unique_key(star.visits("VisitID"), "VisitID", "unique VisitID"),
         *(unique_key(dim, key, f"unique {key} in its dimension") for key, dim in by_key.items()),
-        orphans(fact, by_key, "VisitID"),
+        orphans(star.visits, by_key),
+    ])
+
+
+def unique_names(star: Star) -> DataFrame:
+    """Names the queries group by; where two keys share one, their rows are merged."""
+    names = {"department": "DepartmentName", "diagnosis": "DiagnosisName",
+             "treatment": "TreatmentName", "payment": "PaymentMethod"}
+    return union_periods([
+        unique_key(star.dims[name], column, f"unique {column}") for name, column in names.items()
     ])
 
 
 def run_checks(
-    fact: DataFrame, dims: dict[str, DataFrame], alias: DataFrame, expected: DataFrame | None,
-    start: str, end: str, fail: bool = False,
+    star: Star, alias: DataFrame, expected: DataFrame | None, start: str, end: str, fail: bool = False
 ) -> DataFrame:
-    """Every check of the model in one table; raises when ``fail`` and one is broken."""
+    """Every check of the model in one table; raises when ``fail`` and one is broken.
+
+    The fact and the dimensions should be stored tables: each check reads them anew.
+    """
+    patients = star.dims["patient"]
     checks = [
-        constraint_checks(fact, dims, start, end),
-        row_rules(dims["patient"], patient_rules(), "PatientID"),
-        soundalike_check(dims["patient"], "City", "city spellings"),
-        leftover_variants(dims["patient"], "City", alias, "city variants mapped"),
+        constraint_checks(star, start, end),
+        unique_names(star),
+        row_rules(patients, patient_rules(), "PatientID"),
+        row_rules(star.dims["doctor"], doctor_rules(), "DoctorID"),
+        soundalike_check(patients, "City", "city spellings"),
+        leftover_variants(patients, "City", alias, "city variants mapped"),
         row_rules(alias, alias_rules(), "Variant"),
     ]
     if expected is not None:
-        counted = row_counts({"visits": fact, **dims})
+        counted = row_counts({"visits": star.visits("VisitID"), **star.dims})
         checks.append(expected_counts(counted, expected, "Dataset"))
     results = union_periods(checks)
     if fail:

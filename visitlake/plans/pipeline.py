@@ -11,6 +11,7 @@ from visitlake.plans.clean import clean_departments, clean_patients, consolidate
 from visitlake.plans.generate import PERIODS, generate_visits, numbers, split_by_period
 from visitlake.sources.exports import export_all, model_table, write_manifest
 from visitlake.sources.star import Star, with_doctor_names
+from visitlake.sources.tables import VISIT_COLUMNS
 
 
 def stored(df: DataFrame, path: str) -> DataFrame:
@@ -41,11 +42,9 @@ def run(
     """Builds the star, stops on a broken rule, exports model tables and query results,
     and returns the manifest."""
     star = build(spark, raw, alias, visits, folder)
-    fact = spark.read.parquet(f"{folder}/visits")
-    first, last = PERIODS[0][1], PERIODS[-1][2]
-    run_checks(fact, star.dims, alias, expected, first, last, fail=True)
+    run_checks(star, alias, expected, PERIODS[0][1], PERIODS[-1][2], fail=True)
     results = {f"dim_{name}": model_table(dim, name) for name, dim in star.dims.items()}
-    results["fact_visits"] = model_table(fact, "visits")
+    results["fact_visits"] = model_table(star.visits(*VISIT_COLUMNS), "visits")
     results.update({name: query(star) for name, query in QUERIES.items()})
     manifest = export_all(results, f"{folder}/exports", source)
     write_manifest(manifest, f"{folder}/manifest")

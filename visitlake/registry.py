@@ -225,7 +225,7 @@ def dq_orphans(spark, sf):
         "department": _departments(spark, sf),
     }
     by_key = {DIMENSION_KEYS[name]: dim for name, dim in dims.items()}
-    return quality.orphans(testdata.visits(spark, sf, "VisitID", *by_key), by_key, "VisitID")
+    return quality.orphans(star.visits, by_key)
 
 
 @query
@@ -247,9 +247,13 @@ def dq_alias_leftover(spark, sf):
 @query
 def dq_constraints(spark, sf):
     star = testdata.star(spark, sf)
-    dims = {name: star.dims[name] for name in ("patient", "doctor", "department", "payment")}
-    fact = testdata.visits(spark, sf)
-    return checks.constraint_checks(fact, dims, testdata.PERIOD_START, testdata.PERIOD_END)
+    return checks.constraint_checks(star, testdata.PERIOD_START, testdata.PERIOD_END)
+
+
+@query
+def dq_unique_names(spark, sf):
+    """Part brands and types repeat, so the proxy names are not unique."""
+    return checks.unique_names(testdata.star(spark, sf))
 
 
 @query
@@ -424,7 +428,7 @@ def _service(visits: DataFrame) -> DataFrame:
 @query
 def reconcile_values(spark, sf):
     """Departments whose figures change when duplicate visits are removed."""
-    columns = ["VisitID", "VisitDate", "VisitTime", "DepartmentID", "WaitTimeMinutes"]
+    columns = ["VisitID", "VisitDate", "VisitTime", "DoctorID", "DepartmentID", "WaitTimeMinutes"]
     raw = testdata.visits(spark, sf, *columns)
     latest = windows.dedupe_latest(raw, "VisitID", ["VisitDate", "VisitTime"])
     return reconcile.reconcile(_service(raw), _service(latest), ["DepartmentID"])

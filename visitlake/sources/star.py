@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,10 +38,12 @@ def with_age_columns(df: DataFrame) -> DataFrame:
 @dataclass
 class Star:
     """``visits(*columns)`` returns the fact cut down to those columns; a source that
-    assembles the fact from several tables then joins only what is asked for."""
+    assembles the fact from several tables then joins only what is asked for. Dimension
+    columns it can attach more cheaply itself are listed in ``attached``."""
 
     visits: Callable[..., DataFrame]
     dims: dict[str, DataFrame]
+    attached: set[str] = field(default_factory=set)
 
     @classmethod
     def of(cls, visits: DataFrame, **dims: DataFrame) -> Star:
@@ -49,7 +51,7 @@ class Star:
 
     def owner(self, column: str) -> str | None:
         """The dimension that supplies ``column``, if it is not a fact column."""
-        if column in DIMENSION_KEYS.values():
+        if column in DIMENSION_KEYS.values() or column in self.attached:
             return None
         return next((name for name, dim in self.dims.items() if column in dim.columns), None)
 

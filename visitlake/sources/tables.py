@@ -65,10 +65,10 @@ def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
 
 
 def literal_rows(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
-    """A handful of fixed rows, generated inside the plan so that Catalyst knows they
-    are small (a frame built from driver rows carries no size)."""
+    """A handful of fixed rows, generated inside the plan. Their number is known here, so
+    joins may broadcast them."""
     structs = [
         F.struct(*(F.lit(value).alias(name) for name, value in zip(columns, row, strict=True)))
         for row in rows
     ]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return F.broadcast(spark.range(1).select(F.inline(F.array(*structs))))

@@ -77,19 +77,28 @@ def _order_columns() -> dict[str, Column]:
     }
 
 
+# Dimension columns that depend on the order alone, so they join at order grain.
+ORDER_DIMENSIONS = {"DOB": "PatientID", "PaymentMethod": "PaymentMethodID"}
+
+
 def visits(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The fact, joining the order header only when one of its columns is wanted."""
     columns = columns or tuple(VISIT_COLUMNS)
     from_line, from_order = _line_columns(), _order_columns()
     lines = table(spark, sf_dir, "lineitem")
-    headers = [c for c in columns if c in from_order]
+    headers = [c for c in columns if c not in from_line]
     if not headers:
         return lines.select(*(from_line[c].alias(c) for c in columns))
     lines = lines.select("l_orderkey", *(from_line[c].alias(c) for c in columns if c in from_line))
+    plain = dict.fromkeys(ORDER_DIMENSIONS.get(c, c) for c in headers)
     orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), *(from_order[c].alias(c) for c in headers)
+        F.col("o_orderkey").alias("l_orderkey"), *(from_order[c].alias(c) for c in plain)
     )
-    return lines.join(orders, "l_orderkey").select(*columns)
+    if "DOB" in headers:
+        orders = orders.join(patients(spark, sf_dir), "PatientID", "left")
+    if "PaymentMethod" in headers:
+        orders = orders.join(payments(spark), "PaymentMethodID", "left")
+    return lines.join(orders.select("l_orderkey", *headers), "l_orderkey").select(*columns)
 
 
 def birth_date(key: Column) -> Column:
@@ -146,6 +155,7 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
             "treatment": treatments(spark, sf_dir),
             "payment": payments(spark),
         },
+        attached=set(ORDER_DIMENSIONS),
     )
 
 
