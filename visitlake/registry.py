@@ -115,7 +115,7 @@ def union_periods(spark, sf):
     day = F.col("l_shipdate")
     lines = testdata.table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
     periods = [
-        lines.filter((day >= F.lit(a).cast("timestamp")) & (day < F.lit(b).cast("timestamp")))
+        lines.filter((day >= F.lit(a).cast("timestamp_ntz")) & (day < F.lit(b).cast("timestamp_ntz")))
         for _, a, b in testdata.PERIODS
     ]
     whole = relational.union_periods(periods)
@@ -126,7 +126,7 @@ def union_periods(spark, sf):
 def period_point_scan(spark, sf):
     """A half-open range on the raw date column, pruned by the scan."""
     orders = testdata.table(spark, sf, "orders")
-    start, end = (F.lit(t).cast("timestamp") for t in ("1996-02-28", "1996-03-02"))
+    start, end = (F.lit(t).cast("timestamp_ntz") for t in ("1996-02-28", "1996-03-02"))
     inside = orders.filter(in_period(F.col("o_orderdate"), start, end))
     return inside.select("o_orderkey", F.col("o_orderdate").cast("date").alias("VisitDate"))
 

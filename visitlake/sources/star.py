@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from visitlake.functions.bands import AGE_BANDS, age_band, band_order
 from visitlake.functions.dates import CALENDAR, age_at
 from visitlake.functions.text import full_name
+from visitlake.sources.tables import MODEL_COLUMNS, VISIT_COLUMNS
 
 # Dimension -> the fact column that refers to it.
 DIMENSION_KEYS = {
@@ -35,6 +36,24 @@ def with_age_columns(df: DataFrame) -> DataFrame:
     return df.withColumn("AgeBandOrder", band_order(F.col("AgeBand"), AGE_BANDS))
 
 
+class LazyTables(Mapping):
+    """Tables built the first time they are asked for."""
+
+    def __init__(self, builders: dict[str, Callable[[], DataFrame]]):
+        self._builders, self._built = builders, {}
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._builders[name]()
+        return self._built[name]
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._builders)
+
+    def __len__(self) -> int:
+        return len(self._builders)
+
+
 @dataclass
 class Star:
     """``visits(*columns)`` returns the fact cut down to those columns; a source that
@@ -42,7 +61,7 @@ class Star:
     columns it can attach more cheaply itself are listed in ``attached``."""
 
     visits: Callable[..., DataFrame]
-    dims: dict[str, DataFrame]
+    dims: Mapping[str, DataFrame]
     attached: set[str] = field(default_factory=set)
 
     @classmethod
@@ -51,9 +70,10 @@ class Star:
 
     def owner(self, column: str) -> str | None:
         """The dimension that supplies ``column``, if it is not a fact column."""
-        if column in DIMENSION_KEYS.values() or column in self.attached:
+        if column in VISIT_COLUMNS or column in self.attached:
             return None
-        return next((name for name, dim in self.dims.items() if column in dim.columns), None)
+        known = (name for name in self.dims if column in MODEL_COLUMNS.get(name, ()))
+        return next(known, None) or next((n for n, dim in self.dims.items() if column in dim.columns), None)
 
     def flat(self, *columns: str) -> DataFrame:
         """One row per visit with any mix of fact, calendar, age and dimension columns.

@@ -51,7 +51,9 @@ MODEL_COLUMNS = {
 }
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType, format: str = "parquet") -> DataFrame:
+def read_table(
+    spark: SparkSession, path: str, schema: T.StructType | str, format: str = "parquet"
+) -> DataFrame:
     reader = spark.read.schema(schema)
     if format == "csv":
         reader = reader.option("header", True).option("encoding", "UTF-8")

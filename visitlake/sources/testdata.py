@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 from visitlake.functions.bands import banded
 from visitlake.functions.dates import clock_text
-from visitlake.sources.star import Star
-from visitlake.sources.tables import VISIT_COLUMNS, literal_rows
+from visitlake.sources.star import LazyTables, Star
+from visitlake.sources.tables import VISIT_COLUMNS, literal_rows, read_table
 
 # Satisfaction by wait; the proxy wait runs from 1 to 50.
 PROXY_SCORES = [(10, 5), (20, 4), (30, 3), (40, 2), (None, 1)]
@@ -36,8 +36,24 @@ PERIOD_START, PERIOD_END = "1995-01-01", "2002-01-01"
 BASE_YEAR, MONTHS, BILL_OFFSET = 1995, 96, 900
 
 
+# Declared, so that building a plan never opens a file.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read_table(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
 
 def bill() -> Column:
@@ -52,31 +68,29 @@ def wait() -> Column:
     return F.col("l_quantity").cast("int")
 
 
-def _line_columns() -> dict[str, Column]:
+def _visit_time() -> Column:
     line, part, supplier = F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
-    return {
-        "VisitID": F.concat_ws("-", F.col("l_orderkey"), line),
-        "DoctorID": supplier,
-        "DepartmentID": part,
-        "DiagnosisID": part,
-        "TreatmentID": part,
-        "VisitTime": clock_text(F.lit(7) + (line * 7) % 14, (part * 13) % 60, (supplier * 19) % 60),
-        "DischargeDate": F.col("l_shipdate").cast("date"),
-        "BillAmount": bill(),
-        "InsuranceAmount": insurance(),
-        "SatisfactionScore": banded(wait(), PROXY_SCORES),
-        "WaitTimeMinutes": wait(),
-    }
-
-
-def _order_columns() -> dict[str, Column]:
-    return {
-        "PatientID": F.col("o_custkey"),
-        "PaymentMethodID": F.col("o_orderpriority"),
-        "VisitDate": F.col("o_orderdate").cast("date"),
-    }
-
-
+    return clock_text(F.lit(7) + (line * 7) % 14, (part * 13) % 60, (supplier * 19) % 60)
+
+
+FROM_LINE = {
+    "VisitID": lambda: F.concat_ws("-", "l_orderkey", "l_linenumber"),
+    "DoctorID": lambda: F.col("l_suppkey"),
+    "DepartmentID": lambda: F.col("l_partkey"),
+    "DiagnosisID": lambda: F.col("l_partkey"),
+    "TreatmentID": lambda: F.col("l_partkey"),
+    "VisitTime": _visit_time,
+    "DischargeDate": lambda: F.col("l_shipdate").cast("date"),
+    "BillAmount": bill,
+    "InsuranceAmount": insurance,
+    "SatisfactionScore": lambda: banded(wait(), PROXY_SCORES),
+    "WaitTimeMinutes": wait,
+}
+FROM_ORDER = {
+    "PatientID": lambda: F.col("o_custkey"),
+    "PaymentMethodID": lambda: F.col("o_orderpriority"),
+    "VisitDate": lambda: F.col("o_orderdate").cast("date"),
+}
 # Dimension columns that depend on the order alone, so they join at order grain.
 ORDER_DIMENSIONS = {"DOB": "PatientID", "PaymentMethod": "PaymentMethodID"}
 
@@ -84,15 +98,14 @@ ORDER_DIMENSIONS = {"DOB": "PatientID", "PaymentMethod": "PaymentMethodID"}
 def visits(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     """The fact, joining the order header only when one of its columns is wanted."""
     columns = columns or tuple(VISIT_COLUMNS)
-    from_line, from_order = _line_columns(), _order_columns()
     lines = table(spark, sf_dir, "lineitem")
-    headers = [c for c in columns if c not in from_line]
+    headers = [c for c in columns if c not in FROM_LINE]
     if not headers:
-        return lines.select(*(from_line[c].alias(c) for c in columns))
-    lines = lines.select("l_orderkey", *(from_line[c].alias(c) for c in columns if c in from_line))
+        return lines.select(*(FROM_LINE[c]().alias(c) for c in columns))
+    lines = lines.select("l_orderkey", *(FROM_LINE[c]().alias(c) for c in columns if c in FROM_LINE))
     plain = dict.fromkeys(ORDER_DIMENSIONS.get(c, c) for c in headers)
     orders = table(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), *(from_order[c].alias(c) for c in plain)
+        F.col("o_orderkey").alias("l_orderkey"), *(FROM_ORDER[c]().alias(c) for c in plain)
     )
     if "DOB" in headers:
         orders = orders.join(patients(spark, sf_dir), "PatientID", "left")
@@ -145,17 +158,16 @@ def city_aliases(spark: SparkSession) -> DataFrame:
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
+    dims = {
+        "patient": lambda: patients(spark, sf_dir),
+        "doctor": lambda: doctors(spark, sf_dir),
+        "department": lambda: departments(spark, sf_dir),
+        "diagnosis": lambda: diagnoses(spark, sf_dir),
+        "treatment": lambda: treatments(spark, sf_dir),
+        "payment": lambda: payments(spark),
+    }
     return Star(
-        lambda *columns: visits(spark, sf_dir, *columns),
-        {
-            "patient": patients(spark, sf_dir),
-            "doctor": doctors(spark, sf_dir),
-            "department": departments(spark, sf_dir),
-            "diagnosis": diagnoses(spark, sf_dir),
-            "treatment": treatments(spark, sf_dir),
-            "payment": payments(spark),
-        },
-        attached=set(ORDER_DIMENSIONS),
+        lambda *columns: visits(spark, sf_dir, *columns), LazyTables(dims), attached=set(ORDER_DIMENSIONS)
     )
 
 
