@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,18 +25,21 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str =
     )
 
 
+@cache
+def _local_folder(application: str) -> str:
+    return tempfile.mkdtemp(prefix="visitlake-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the one the cluster names, or, in local
-    mode only, a fresh temporary one."""
+    mode only, a temporary one per application."""
     context = spark.sparkContext
-    folder = context.getConf().get(CHECKPOINT_SETTING) or spark.conf.get(CHECKPOINT_SETTING, None)
+    folder = spark.conf.get(CHECKPOINT_SETTING, None)
     if folder:
         return folder
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_SETTING} to a folder all executors share")
-    folder = tempfile.mkdtemp(prefix="visitlake-")
-    spark.conf.set(CHECKPOINT_SETTING, folder)
-    return folder
+    return _local_folder(context.applicationId)
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
