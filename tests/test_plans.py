@@ -1,0 +1,102 @@
+"""Plan shapes that must hold when every table is too large to broadcast."""
+
+import re
+
+import pytest
+
+from tests.conftest import plan_of
+from visitlake.operators.windows import dedupe_latest
+from visitlake.plans.analysis import QUERIES
+from visitlake.registry import REGISTRY
+from visitlake.sources import testdata
+
+WRITES = {"csv_roundtrip", "manifest_counts", "xf_encode", "xf_roundtrip", "xf_meta"}
+
+
+def physical(df) -> str:
+    return plan_of(df).split("== Physical Plan ==")[1]
+
+
+def exchanges(plan: str) -> list[tuple[int, str]]:
+    return [(i, line) for i, line in enumerate(plan.splitlines()) if "Exchange" in line]
+
+
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITES))
+def test_no_cross_joins_and_no_python(name, no_broadcast, sf_dir):
+    plan = physical(REGISTRY[name](no_broadcast, sf_dir))
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython", "MapInPandas"):
+        assert operator not in plan
+
+
+
+
+@pytest.mark.parametrize("name", sorted(set(REGISTRY) - WRITES))
+def test_single_partitions_only_take_aggregated_rows(name, no_broadcast, sf_dir):
+    """What moves to one task is a partial aggregate, a rank-limited set or a summary."""
+    plan = physical(REGISTRY[name](no_broadcast, sf_dir))
+    lines = plan.splitlines()
+    for position, line in exchanges(plan):
+        if "SinglePartition" not in line:
+            continue
+        depth = len(line) - len(line.lstrip(" :+-"))
+        under = []
+        for following in lines[position + 1:]:
+            indent = len(following) - len(following.lstrip(" :+-"))
+            if indent <= depth:
+                break
+            under.append(following)
+        first_real = next(u for u in under if not re.search(r"[-+] \*?(\(\d+\) )?(Project|Sort|Filter)\b", u))
+        assert re.search(r"HashAggregate|SortAggregate|ObjectHashAggregate|WindowGroupLimit|Window", first_real), first_real
+
+
+def test_dedupe_limits_before_the_shuffle(no_broadcast, sf_dir):
+    visits = testdata.visits(no_broadcast, sf_dir, "VisitID", "VisitDate", "VisitTime")
+    plan = physical(dedupe_latest(visits, "VisitID", ["VisitDate", "VisitTime"]))
+    assert plan.index("Final") < plan.index("hashpartitioning(VisitID") < plan.index("Partial")
+
+
+def test_top_doctors_limits_before_the_single_task(no_broadcast, sf_dir):
+    plan = physical(QUERIES["q10_top_doctors"](testdata.star(no_broadcast, sf_dir)))
+    single = plan.index("Exchange SinglePartition")
+    assert "WindowGroupLimit" in plan[single:single + 400]
+
+
+@pytest.mark.parametrize("name,columns", [
+    ("q06_department_rank", "l_partkey:bigint,l_extendedprice:double"),
+    ("q11_repeat_patients", "l_orderkey:bigint"),
+    ("q12_diagnosis_treatment", "l_partkey:bigint"),
+    ("wl_department", "l_partkey:bigint,l_quantity:double"),
+])
+def test_scans_read_only_what_is_used(name, columns, spark, sf_dir):
+    plan = physical(REGISTRY[name](spark, sf_dir))
+    scans = [line for line in plan.splitlines() if "lineitem" in line]
+    assert scans and all(f"ReadSchema: struct<{columns}>" in line for line in scans)
+
+
+def test_facts_are_aggregated_before_the_dimension_join(no_broadcast, sf_dir):
+    plan = physical(QUERIES["q06_department_rank"](testdata.star(no_broadcast, sf_dir)))
+    assert plan.index("SortMergeJoin") < plan.index("hashpartitioning(DepartmentID")
+    assert "HashAggregate(keys=[DepartmentID" in plan[plan.index("SortMergeJoin"):]
+
+
+def test_date_filters_reach_the_scan(spark, sf_dir):
+    for name in ("xf_filter_year", "period_point_scan"):
+        plan = physical(REGISTRY[name](spark, sf_dir))
+        scans = [line for line in plan.splitlines() if "FileScan" in line and "orders.parquet" in line]
+        assert scans and all("GreaterThanOrEqual(o_orderdate" in line for line in scans)
+
+
+def test_share_of_total_scans_once(spark, sf_dir):
+    df = QUERIES["q04_payment_mix"](testdata.star(spark, sf_dir))
+    df.collect()
+    assert "ReusedExchange" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_no_broadcast_of_a_growing_table_is_forced(no_broadcast, sf_dir):
+    """Only fixed rows and per-partition offsets carry a broadcast hint."""
+    for name in sorted(set(REGISTRY) - WRITES):
+        plan = physical(REGISTRY[name](no_broadcast, sf_dir))
+        lines = plan.splitlines()
+        for position, line in enumerate(lines):
+            if "BroadcastExchange" in line:
+                assert any("Generate inline" in following for following in lines[position:position + 4]), (name, line)

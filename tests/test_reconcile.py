@@ -1,0 +1,41 @@
+from tests.conftest import rows
+from visitlake.plans.reconcile import first_differences, reconcile
+
+
+def frame(spark, *data):
+    return spark.createDataFrame(list(data), "k string, a string, n double")
+
+
+def test_equal_after_normalising(spark):
+    left = frame(spark, ("x", " NA ", 1.0), ("y", "2.50", 2.00001))
+    right = frame(spark, ("x", "", 1.0), ("y", "2.5", 2.00002))
+    assert reconcile(left, right, ["k"]).count() == 0
+
+
+def test_cells_are_named(spark):
+    left, right = frame(spark, ("x", "p", 1.0), ("y", "q", 2.0)), frame(spark, ("x", "p", 1.5), ("y", "r", 3.0))
+    assert rows(reconcile(left, right, ["k"])) == [
+        ("x", "n", "1", "1.5000"), ("y", "a", "q", "r"), ("y", "n", "2", "3")
+    ]
+
+
+def test_missing_and_unexpected_rows(spark):
+    left, right = frame(spark, ("x", "p", 1.0), ("y", "q", 2.0)), frame(spark, ("x", "p", 1.0), ("z", "q", 2.0))
+    assert rows(reconcile(left, right, ["k"])) == [("y", "(row)", "1", "0"), ("z", "(row)", "0", "1")]
+
+
+def test_repeated_keys_do_not_multiply(spark):
+    left = frame(spark, *[("hot", "p", float(i)) for i in range(300)])
+    right = frame(spark, *[("hot", "p", float(i)) for i in range(100, 450)])
+    assert rows(reconcile(left, right, ["k"])) == [("hot", "(row)", "100", "150")]
+
+
+def test_same_rows_in_another_number(spark):
+    left, right = frame(spark, ("x", "p", 1.0), ("x", "p", 1.0)), frame(spark, ("x", "p", 1.0))
+    assert rows(reconcile(left, right, ["k"])) == [("x", "(row)", "2", "1")]
+
+
+def test_report_shows_the_first_ten(spark):
+    left, right = frame(spark, *[(str(i), "p", 1.0) for i in range(30)]), frame(spark, *[(str(i), "q", 1.0) for i in range(30)])
+    differences = reconcile(left, right, ["k"])
+    assert differences.count() == 30 and first_differences(differences, ["k"]).count() == 10

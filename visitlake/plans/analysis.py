@@ -62,7 +62,7 @@ def q01_operating_kpis(star: Star) -> DataFrame:
     )
 
 
-def q02_annual_growth(star: Star) -> DataFrame:
+def annual_growth(star: Star) -> DataFrame:
     yearly = star.visits("VisitDate", "BillAmount").groupBy(F.year("VisitDate").alias("VisitYear"))
     yearly = yearly.agg(*(c.alias(n) for n, c in _sums("TotalVisits", "Revenue").items()))
     yearly = with_lag(yearly, ["TotalVisits", "Revenue"], 1, "VisitYear")
@@ -70,7 +70,11 @@ def q02_annual_growth(star: Star) -> DataFrame:
         "VisitYear", "TotalVisits", money(F.col("Revenue")).alias("TotalRevenueINR"),
         growth_percent(F.col("TotalVisits"), F.col("PriorTotalVisits")).alias("VisitGrowthPercent"),
         growth_percent(F.col("Revenue"), F.col("PriorRevenue")).alias("RevenueGrowthPercent"),
-    ).orderBy("VisitYear")
+    )
+
+
+def q02_annual_growth(star: Star) -> DataFrame:
+    return annual_growth(star).orderBy("VisitYear")
 
 
 def q03_doctor_patient_load(star: Star) -> DataFrame:
@@ -124,7 +128,7 @@ def q06_department_rank(star: Star) -> DataFrame:
     ).orderBy("DepartmentCategory", "RevenueRankWithinCategory", "DepartmentName")
 
 
-def q07_department_service_risk(star: Star) -> DataFrame:
+def service_risk(star: Star) -> DataFrame:
     service = rollup_dim(
         star.visits("DepartmentID", "WaitTimeMinutes", "SatisfactionScore"),
         [_dim(star, "department", "DepartmentName")], ["DepartmentName"],
@@ -136,7 +140,11 @@ def q07_department_service_risk(star: Star) -> DataFrame:
         mean(F.col("Scores"), n).alias("AverageSatisfaction"),
         mean(F.col("Waits"), n).alias("AverageWaitMinutes"),
         percent(F.col("ShortWaits"), n).alias("VisitsWithin30MinutesPercent"),
-    ).orderBy(F.desc("AverageWaitMinutes"), "AverageSatisfaction", "DepartmentName")
+    )
+
+
+def q07_department_service_risk(star: Star) -> DataFrame:
+    return service_risk(star).orderBy(F.desc("AverageWaitMinutes"), "AverageSatisfaction", "DepartmentName")
 
 
 def q08_weekday_weekend(star: Star) -> DataFrame:

@@ -11,7 +11,7 @@ from visitlake.functions.bands import wait_colour
 from visitlake.functions.numbers import ratio
 from visitlake.functions.text import thousands_label
 from visitlake.operators.windows import gap_tiers
-from visitlake.plans.analysis import q02_annual_growth, q07_department_service_risk
+from visitlake.plans.analysis import annual_growth, service_risk
 from visitlake.sources.star import Star
 
 CRORE = 10_000_000
@@ -20,7 +20,7 @@ TIER_GAP = Decimal("1.00")
 
 def demand(star: Star) -> DataFrame:
     """Visits and revenue in crore per year, with the bar label."""
-    yearly = q02_annual_growth(star)
+    yearly = annual_growth(star)
     return yearly.select(
         "VisitYear", "TotalVisits", thousands_label(F.col("TotalVisits")).alias("VisitsLabel"),
         ratio(F.col("TotalRevenueINR"), F.lit(CRORE), 2, "decimal(18,2)").alias("RevenueCrore"),
@@ -30,7 +30,7 @@ def demand(star: Star) -> DataFrame:
 def wait_tiers(star: Star, gap: Decimal = TIER_GAP) -> DataFrame:
     """Departments with their colour and tier; a jump of more than ``gap`` minutes between
     neighbouring averages opens a new tier. One row per department name."""
-    risk = q07_department_service_risk(star)
+    risk = service_risk(star)
     tiered = gap_tiers(risk, "AverageWaitMinutes", F.lit(gap), "WaitTier")
     return tiered.select(
         "DepartmentName", "TotalVisits", "AverageWaitMinutes", "AverageSatisfaction",
@@ -40,7 +40,7 @@ def wait_tiers(star: Star, gap: Decimal = TIER_GAP) -> DataFrame:
 
 def extremes(star: Star) -> DataFrame:
     """The departments with the longest and the shortest average wait."""
-    risk = q07_department_service_risk(star)
+    risk = service_risk(star)
     row = F.struct("DepartmentName", "TotalVisits", "AverageWaitMinutes", "AverageSatisfaction")
     # Equal waits go to the lower satisfaction, then to the name.
     rest = [F.col("AverageSatisfaction"), F.col("DepartmentName")]
