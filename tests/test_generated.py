@@ -111,6 +111,8 @@ def test_acceptance_figures(star):
     assert figures["Seen Within 30 Min"] == "8,247 → 16.5%"
     assert figures["Repeat Patients"] == "1,945 → 80.0%"
     assert figures["Visit growth 2021"] == "20.00"
+    assert figures["Longest wait"] == "Dep 20: 67.27 over 8,638 visits"
+    assert (figures["Leaderboard rows"], figures["Departments"]) == ("11", "33")
 
 
 def test_leap_day_trap(star):

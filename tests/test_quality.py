@@ -116,3 +116,10 @@ def test_warnings_do_not_stop_a_run(spark):
     results = quality.row_rules(df, [quality.Rule("odd wait", F.col("WaitTimeMinutes") == 0, "warning")], "VisitID")
     assert broken(results) == {"odd wait": (1, "V1")}
     quality.enforce(results)
+
+
+def test_month_gaps(spark):
+    days = spark.sql("SELECT explode(array(date'2023-11-30', date'2024-01-01', date'2024-01-31', date'2024-04-01')) AS VisitDate")
+    assert broken(checks.month_gaps(days)) == {"months without a gap": (3, "3 of 6")}
+    assert broken(checks.month_gaps(days.filter("VisitDate < date'2023-12-01'"))) == {}
+    assert broken(checks.month_gaps(days.filter("false"))) == {}

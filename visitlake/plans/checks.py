@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from visitlake.functions.dates import month_start
 from visitlake.operators.quality import (
     Rule, enforce, expected_counts, leftover_variants, orphans, row_rules, soundalike_check, unique_key,
 )
@@ -71,6 +72,19 @@ def constraint_checks(star: Star, start: str, end: str) -> DataFrame:
     ])
 
 
+def month_gaps(visits: DataFrame) -> DataFrame:
+    """Months without a visit between the first and the last one. The prior-year
+    comparison counts twelve rows back, which is a year only when there are none."""
+    months = visits.filter("VisitDate is not null").select(month_start(F.col("VisitDate")).alias("_m")).distinct()
+    span = months.agg(F.min("_m").alias("_a"), F.max("_m").alias("_b"), F.count(F.lit(1)).alias("_n"))
+    length = F.coalesce(F.round(F.months_between("_b", "_a")).cast("bigint") + 1, F.lit(0))
+    sample = F.when(length > F.col("_n"), F.concat_ws(" of ", F.col("_n"), length))
+    return span.select(
+        F.lit("months without a gap").alias("CheckID"), F.lit("error").alias("Severity"),
+        (length - F.col("_n")).alias("Violations"), sample.alias("Sample"), (length == F.col("_n")).alias("Passed"),
+    )
+
+
 def unique_names(star: Star) -> DataFrame:
     """Names the queries group by; where two keys share one, their rows are merged."""
     names = {"department": "DepartmentName", "diagnosis": "DiagnosisName",
@@ -91,6 +105,7 @@ def run_checks(
     checks = [
         constraint_checks(star, start, end),
         unique_names(star),
+        month_gaps(star.visits("VisitDate")),
         row_rules(patients, patient_rules(), "PatientID"),
         row_rules(star.dims["doctor"], doctor_rules(), "DoctorID"),
         soundalike_check(patients, "City", "city spellings"),

@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.functions.numbers import growth_percent, grouped_digits, percent, ratio
+from visitlake.functions.numbers import growth_percent, grouped_digits, ratio
 from visitlake.functions.text import comparable
-from visitlake.functions.bands import AGE_BANDS
-from visitlake.operators.relational import union_periods
+from visitlake.operators.relational import row_counts, union_periods
 from visitlake.operators.windows import with_lag
+from visitlake.plans.analysis import q10_top_doctors
 from visitlake.plans.measures import evaluate
+from visitlake.plans.summary import extremes
 from visitlake.sources.star import Star
 
 
@@ -93,16 +94,29 @@ def acceptance_figures(star: Star) -> DataFrame:
     pairs = F.array(*(F.struct(F.lit(k).alias("Figure"), v.alias("Value")) for k, v in text.items()))
     headline = totals.select(F.inline(pairs))
 
-    yearly = star.flat("Year").groupBy("Year").agg(F.count(F.lit(1)).alias("Visits"))
+    cells = star.flat("Year", "AgeBand").groupBy("Year", "AgeBand").agg(F.count(F.lit(1)).alias("Visits"))
+    yearly = cells.groupBy("Year").agg(F.sum("Visits").alias("Visits"))
     grown = with_lag(yearly, ["Visits"], 1, "Year").filter("PriorVisits is not null")
     growth = grown.select(
         F.concat(F.lit("Visit growth "), F.col("Year")).alias("Figure"),
         growth_percent(F.col("Visits"), F.col("PriorVisits")).cast("string").alias("Value"),
     )
-    bands = star.flat("AgeBand").groupBy("AgeBand").agg(F.count(F.lit(1)).alias("Visits")).select(
+    bands = cells.groupBy("AgeBand").agg(F.sum("Visits").alias("Visits")).select(
         F.concat(F.lit("Age band "), F.col("AgeBand")).alias("Figure"), grouped_digits(F.col("Visits")).alias("Value")
     )
-    return union_periods([headline, growth, bands])
+    longest = extremes(star).filter("Extreme = 'longest'").select(
+        F.lit("Longest wait").alias("Figure"),
+        F.concat("DepartmentName", F.lit(": "), F.col("AverageWaitMinutes").cast("string"), F.lit(" over "),
+                 grouped_digits(F.col("TotalVisits")), F.lit(" visits")).alias("Value"),
+    )
+    sizes = row_counts({"Leaderboard rows": q10_top_doctors(star), "Departments": star.dims["department"]})
+    sizes = sizes.select(F.col("Dataset").alias("Figure"), grouped_digits(F.col("RowCount")).alias("Value"))
+    return union_periods([headline, growth, bands, longest, sizes])
+
+
+def city_counts(patients: DataFrame) -> DataFrame:
+    """Patients per clean city."""
+    return patients.groupBy("City").agg(F.count(F.lit(1)).alias("Patients"))
 
 
 def date_shift_growth(star: Star) -> DataFrame:

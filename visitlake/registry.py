@@ -256,6 +256,16 @@ def dq_unique_names(spark, sf):
     return checks.unique_names(testdata.star(spark, sf))
 
 
+@query
+def dq_month_gaps(spark, sf):
+    return checks.month_gaps(testdata.visits(spark, sf, "VisitDate"))
+
+
+@query
+def city_counts(spark, sf):
+    return reconcile.city_counts(_patients(spark, sf))
+
+
 @query
 def xf_encode_checks(spark, sf):
     fact = testdata.visits(spark, sf, "VisitID", "VisitDate", "WaitTimeMinutes", "BillAmount")
