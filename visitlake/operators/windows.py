@@ -105,6 +105,12 @@ def dense_index(dim: DataFrame, keys: list[str], alias: str) -> DataFrame:
     )
 
 
+def small_index(dim: DataFrame, keys: list[str], alias: str) -> DataFrame:
+    """``dense_index`` for a dimension whose code fits one byte: at most 256 keys to order."""
+    position = F.row_number().over(Window.orderBy(*keys)) - 1
+    return dim.select(*keys).distinct().withColumn(alias, position)
+
+
 def gap_tiers(df: DataFrame, value: str, gap, alias: str) -> DataFrame:
     """Numbers the runs of ``value`` separated by more than ``gap``; for small summaries."""
     order = Window.orderBy(value)

@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from visitlake.functions.bands import AGE_BANDS, band_order
 from visitlake.operators.distribution import cumulative_upto, histogram, percentiles
 from visitlake.operators.relational import union_periods
-from visitlake.operators.windows import dense_index
+from visitlake.operators.windows import dense_index, small_index
 from visitlake.plans.analysis import REPEAT_VISITS, SHORT_WAIT, ranked_doctors
 from visitlake.plans.measures import visits_in
 from visitlake.sources.star import Star
 
 WEEKEND_BIT, MONTH_MASK = 0x80, 0x7F
+BYTE_CODES = 256
 FACETS = {
     "department": "DepartmentName",
     "payment": "PaymentMethod",
@@ -41,15 +42,30 @@ def month_week(day: Column, base_year: int) -> Column:
 
 
 def dictionaries(star: Star, coding: Encoding = Encoding()) -> dict[str, DataFrame]:
-    """Dense 0-based codes per dimension, in key order."""
+    """Dense 0-based codes per dimension, in key order. Departments and payment methods
+    have one-byte codes, which ``dictionary_checks`` verifies; the others may grow."""
     return {
-        "department": dense_index(star.dims["department"], list(coding.department), "dept"),
-        "payment": dense_index(star.dims["payment"], list(coding.payment), "pay"),
+        "department": small_index(star.dims["department"], list(coding.department), "dept"),
+        "payment": small_index(star.dims["payment"], list(coding.payment), "pay"),
         "doctor": dense_index(star.dims["doctor"], ["DoctorID"], "doctor"),
         "patient": dense_index(star.dims["patient"], ["PatientID"], "patient"),
     }
 
 
+def dictionary_checks(star: Star, coding: Encoding = Encoding()) -> DataFrame:
+    """How many keys of each one-byte dictionary do not fit."""
+    sizes = [
+        star.dims[name].select(*keys).distinct().agg(F.count(F.lit(1)).alias("_n")).select(
+            F.lit(f"{name} codes").alias("CheckID"), F.lit("error").alias("Severity"),
+            F.greatest(F.col("_n") - BYTE_CODES, F.lit(0)).alias("Violations"),
+            F.when(F.col("_n") > BYTE_CODES, F.concat(F.col("_n").cast("string"), F.lit(" keys"))).alias("Sample"),
+            (F.col("_n") <= BYTE_CODES).alias("Passed"),
+        )
+        for name, keys in (("department", coding.department), ("payment", coding.payment))
+    ]
+    return union_periods(sizes)
+
+
 def encode_facts(star: Star, codes: dict[str, DataFrame], coding: Encoding = Encoding()) -> DataFrame:
     """One row of small integers per visit."""
     keys = {name: [c for c in df.columns if c not in ("dept", "pay", "doctor", "patient")] for name, df in codes.items()}

@@ -270,7 +270,8 @@ def city_counts(spark, sf):
 def xf_encode_checks(spark, sf):
     fact = testdata.visits(spark, sf, "VisitID", "VisitDate", "WaitTimeMinutes", "BillAmount")
     rules = checks.code_width_rules(testdata.BASE_YEAR, testdata.MONTHS, testdata.BILL_OFFSET)
-    return quality.row_rules(fact, rules, "VisitID")
+    sizes = crossfilter.dictionary_checks(testdata.star(spark, sf), CODING)
+    return quality.row_rules(fact, rules, "VisitID").unionByName(sizes)
 
 
 # Measures

@@ -111,7 +111,8 @@ def visits(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         orders = orders.join(patients(spark, sf_dir), "PatientID", "left")
     if "PaymentMethod" in headers:
         orders = orders.join(payments(spark), "PaymentMethodID", "left")
-    return lines.join(orders.select("l_orderkey", *headers), "l_orderkey").select(*columns)
+    # A left join keeps every line, and never makes the lines the broadcast side.
+    return lines.join(orders.select("l_orderkey", *headers), "l_orderkey", "left").select(*columns)
 
 
 def birth_date(key: Column) -> Column:
