@@ -64,7 +64,8 @@ def mean(total, count, type_: str = "decimal(10,2)") -> Column:
 
 
 def money(total) -> Column:
-    return _column(total).cast("decimal(18,2)")
+    """A total, ten digits wider than the ``decimal(18,2)`` of a single amount."""
+    return _column(total).cast("decimal(28,2)")
 
 
 def exact_ratio(total, count) -> Column:

@@ -63,6 +63,20 @@ def rollup_dim(
     return by_key.groupBy(*names).agg(*(F.sum(name).alias(name) for name in sums))
 
 
+def per_entity(
+    df: DataFrame, by: list[str], entity: str, sums: dict[str, Column], distinct: str
+) -> DataFrame:
+    """Additive ``sums`` and the distinct ``entity`` values of each group.
+
+    Goes through one row per group and entity, so a large group is spread over its
+    entities, and a large entity shrinks before the shuffle.
+    """
+    entities = df.groupBy(*by, entity).agg(*(column.alias(name) for name, column in sums.items()))
+    return entities.groupBy(*by).agg(
+        F.count(entity).alias(distinct), *(F.sum(name).alias(name) for name in sums)
+    )
+
+
 def union_periods(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda left, right: left.unionByName(right), frames)
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from visitlake.functions.bands import AGE_BANDS, age_band, band_order
 from visitlake.functions.dates import age_at, day_type, month_start
 from visitlake.functions.numbers import exact_ratio, growth_percent, mean, money, percent
-from visitlake.operators.relational import join_dim, rollup_dim
+from visitlake.operators.relational import join_dim, per_entity, rollup_dim
 from visitlake.operators.windows import dense_ranked, running_total, top_with_ties, with_lag, with_totals
 from visitlake.sources.star import DIMENSION_KEYS, Star
 
@@ -44,14 +44,9 @@ def _dim(star: Star, name: str, *columns: str) -> tuple[str, DataFrame]:
 
 def q01_operating_kpis(star: Star) -> DataFrame:
     fact = star.visits("PatientID", "BillAmount", "WaitTimeMinutes", "SatisfactionScore")
-    per_patient = fact.groupBy("PatientID").agg(
-        *(c.alias(n) for n, c in _sums("TotalVisits", "Revenue", "Waits", "Scores").items())
-    )
-    totals = per_patient.agg(
-        F.coalesce(F.sum("TotalVisits"), F.lit(0)).alias("TotalVisits"),
-        F.count("PatientID").alias("DistinctPatients"),
-        *(F.sum(c).alias(c) for c in ("Revenue", "Waits", "Scores")),
-    )
+    sums = _sums("TotalVisits", "Revenue", "Waits", "Scores")
+    totals = per_entity(fact, [], "PatientID", sums, "DistinctPatients")
+    totals = totals.withColumn("TotalVisits", F.coalesce("TotalVisits", F.lit(0)))
     n = F.col("TotalVisits")
     return totals.select(
         "TotalVisits", "DistinctPatients",
@@ -79,9 +74,7 @@ def q02_annual_growth(star: Star) -> DataFrame:
 
 def q03_doctor_patient_load(star: Star) -> DataFrame:
     fact = star.visits("DoctorID", "PatientID")
-    load = fact.groupBy("DoctorID").agg(
-        F.count_distinct("PatientID").alias("DistinctPatients"), visits_count().alias("TotalVisits")
-    )
+    load = per_entity(fact, ["DoctorID"], "PatientID", _sums("TotalVisits"), "DistinctPatients")
     named = join_dim(load, _dim(star, "doctor", "DoctorName")[1], "DoctorID")
     return named.select("DoctorID", "DoctorName", "DistinctPatients", "TotalVisits").orderBy(
         F.desc("DistinctPatients"), F.desc("TotalVisits"), "DoctorID"
@@ -100,12 +93,10 @@ def q04_payment_mix(star: Star) -> DataFrame:
 
 
 def q05_age_band(star: Star) -> DataFrame:
-    per_day = star.visits("PatientID", "VisitDate", "BillAmount").groupBy("PatientID", "VisitDate")
-    per_day = per_day.agg(*(c.alias(n) for n, c in _sums("TotalVisits", "Revenue").items()))
-    aged = join_dim(per_day, _dim(star, "patient", "DOB")[1], "PatientID")
+    rows = star.flat("DOB", "VisitDate", "BillAmount").filter("DOB is not null")
     band = age_band(age_at(F.col("DOB"), F.col("VisitDate")))
-    banded = aged.groupBy(band.alias("AgeGroup")).agg(
-        F.sum("TotalVisits").alias("TotalVisits"), F.sum("Revenue").alias("Revenue")
+    banded = rows.groupBy(band.alias("AgeGroup")).agg(
+        *(c.alias(n) for n, c in _sums("TotalVisits", "Revenue").items())
     )
     return banded.select(
         "AgeGroup", "TotalVisits",

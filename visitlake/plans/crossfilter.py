@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlake.functions.bands import AGE_BANDS, band_order
+from visitlake.functions.numbers import money
 from visitlake.operators.distribution import cumulative_upto, histogram, percentiles
 from visitlake.operators.relational import union_periods
 from visitlake.operators.windows import dense_index, small_index
@@ -163,7 +164,7 @@ def crossfilter(star: Star, filters: dict | None = None) -> DataFrame:
         *(F.coalesce(c, F.lit(0)).alias(c) for c in ("Visits", "Revenue", "WaitMinutes", "Scores")),
         F.col("_patients.Patients").alias("Patients"), F.col("_patients.RepeatPatients").alias("RepeatPatients"),
     )
-    return total.unionByName(members).withColumn("Revenue", F.col("Revenue").cast("decimal(18,2)"))
+    return total.unionByName(members).withColumn("Revenue", money(F.col("Revenue")))
 
 
 def leaderboard(star: Star, filters: dict | None = None) -> DataFrame:

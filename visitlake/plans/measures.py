@@ -238,7 +238,7 @@ def _with_prior_year(out: DataFrame, star: Star, by: list[str], filters: dict) -
     year = _year_in_context(by, filters)
     if year is None:
         return out.withColumns(
-            {"VisitsLY": F.lit(None).cast("bigint"), "RevenueLY": F.lit(None).cast("decimal(18,2)")}
+            {"VisitsLY": F.lit(None).cast("bigint"), "RevenueLY": F.lit(None).cast("decimal(28,2)")}
         )
     kept = [c for c in by if c not in DATE_COLUMNS]
     undated = {c: v for c, v in filters.items() if c not in DATE_COLUMNS}

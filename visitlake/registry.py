@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake.functions.dates import in_period
+from visitlake.functions.numbers import money
 from visitlake.operators import quality, relational, windows
 from visitlake.plans import checks, clean, crossfilter, generate, reconcile, summary, workloads
 from visitlake.plans.analysis import QUERIES
@@ -105,7 +106,7 @@ def consolidate(spark, sf):
 def period_split_counts(spark, sf):
     routed = generate.with_period(testdata.visits(spark, sf, "VisitDate", "BillAmount"), "VisitDate", testdata.PERIODS)
     return routed.filter("Period is not null").groupBy("Period").agg(
-        F.count(F.lit(1)).alias("Visits"), F.sum("BillAmount").cast("decimal(18,2)").alias("Revenue")
+        F.count(F.lit(1)).alias("Visits"), money(F.sum("BillAmount")).alias("Revenue")
     )
 
 
@@ -153,8 +154,8 @@ def gen_visits(spark, sf):
 def gen_visits_kpis(spark, sf):
     visits = gen_visits(spark, sf)
     return visits.groupBy(F.year("VisitDate").alias("VisitYear"), "DepartmentID").agg(
-        F.count(F.lit(1)).alias("Visits"), F.sum("BillAmount").cast("decimal(18,2)").alias("Revenue"),
-        F.sum("InsuranceAmount").cast("decimal(18,2)").alias("Insurance"),
+        F.count(F.lit(1)).alias("Visits"), money(F.sum("BillAmount")).alias("Revenue"),
+        money(F.sum("InsuranceAmount")).alias("Insurance"),
         F.sum("WaitTimeMinutes").alias("WaitMinutes"), F.sum("SatisfactionScore").alias("Scores"),
         F.count_distinct("PatientID").alias("Patients"),
     )
@@ -372,7 +373,7 @@ def xf_roundtrip(spark, sf):
     decoded = crossfilter.decode_facts(encoded, codes, CODING)
     return decoded.groupBy("MonthStart", "DayType", "DepartmentName", "AgeBand").agg(
         F.count(F.lit(1)).alias("Visits"), F.sum("WaitTimeMinutes").alias("WaitMinutes"),
-        F.sum("SatisfactionScore").alias("Scores"), F.sum("BillAmount").cast("decimal(18,2)").alias("Revenue"),
+        F.sum("SatisfactionScore").alias("Scores"), money(F.sum("BillAmount")).alias("Revenue"),
         F.count_distinct("PatientID").alias("Patients"),
     )
 
