@@ -12,7 +12,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from visitlake.session import checkpointed
+from visitlake.session import stored
 
 _LOCAL_BITS = 33  # monotonically_increasing_id keeps the row position in its low 33 bits
 
@@ -95,7 +95,7 @@ def dense_index(dim: DataFrame, keys: list[str], alias: str) -> DataFrame:
         dim.select(*keys).distinct().repartitionByRange(*keys).sortWithinPartitions(*keys)
         .withColumn("_id", F.monotonically_increasing_id())
     )
-    ordered = checkpointed(ordered).withColumn("_part", F.shiftright("_id", _LOCAL_BITS))
+    ordered = stored(ordered).withColumn("_part", F.shiftright("_id", _LOCAL_BITS))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     starts = starts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))

@@ -9,17 +9,12 @@ from visitlake.plans.analysis import QUERIES
 from visitlake.plans.checks import run_checks
 from visitlake.plans.clean import clean_departments, clean_patients, consolidate
 from visitlake.plans.generate import PERIODS, generate_visits, numbers, split_by_period
+from visitlake.session import stored
 from visitlake.sources.exports import export_all, model_table, write_manifest
 from visitlake.sources.star import Star, with_doctor_names
 from visitlake.sources.tables import VISIT_COLUMNS
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
-    """Writes a stage and reads it back, so later steps start from files."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def build(spark: SparkSession, raw: dict[str, DataFrame], alias: DataFrame, visits: int, folder: str) -> Star:
     """``raw`` holds patient, department, doctor, diagnosis, treatment and payment tables."""
     split_by_period(generate_visits(numbers(spark, visits), visits), "VisitDate", PERIODS, f"{folder}/staging")

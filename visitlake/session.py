@@ -46,9 +46,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: written to the shared folder, so it survives lost executors."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+def stored(df: DataFrame, path: str | None = None) -> DataFrame:
+    """Writes a stage as a table and reads it back, by default under the shared folder.
+
+    Cuts the lineage, survives lost executors, and tells Catalyst the real size.
+    """
+    path = path or scratch_path(df.sparkSession, "stage")
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
