@@ -80,6 +80,7 @@ def test_trim_takes_blanks_only(spark):
 
 @pytest.mark.parametrize("cell,want", [
     (" NULL ", ""), ("na", ""), ("", ""), (None, ""), ("3.0", "3"), ("3.14159", "3.1416"), (" abc ", "abc"), ("-2.5", "-2.5000"),
+    ("5D", "5D"), ("1E3", "1000"), ("12345678901234567890.25", "12345678901234567890.2500"), ("2024-01-01", "2024-01-01"),
 ])
 def test_comparable(spark, cell, want):
     assert value(spark, text.comparable(F.col("c").cast("string")), c=cell) == want

@@ -4,14 +4,16 @@ import calendar
 import datetime as dt
 import random
 from collections import Counter, defaultdict
-from decimal import ROUND_HALF_UP, Decimal
+from decimal import Decimal
 from fractions import Fraction
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from tests.test_measures import VISITS, visit
 from visitlake.functions import dates, numbers
+from visitlake.oracle import SQL
 from visitlake.operators.windows import dedupe_latest
 from visitlake.plans import crossfilter
 from visitlake.plans.generate import generate_visits
@@ -65,33 +67,16 @@ def test_dedupe_with_a_hot_key(spark):
     assert {r.k: (r.d, r.t, r.x) for r in dedupe_latest(df, "k", ["d", "t"]).collect()} == dict(best)
 
 
-def generated(n):
-    """The generator's rules for one visit out of 50,000, or of the last year past that."""
-    ends = [5000, 11000, 18500, 27000, 37500]
-    index = sum(n > e for e in ends)
-    year, seq = 2020 + index, n - 1 - ([0, *ends])[index]
-    length = 366 if calendar.isleap(year) else 365
-    day = dt.date(year, 1, 1) + dt.timedelta(days=(seq * 37 + seq // 7 * 11) % length)
-    department = 20 if n % 20 < 3 else 1 if n % 20 < 5 else (n * 17 + n // 7 * 5) % 33 + 1
-    diagnosis = (n * 11 + department * 3 + n // 17) % 40 + 1
-    treatment = (diagnosis - 1) % 30 + 1 if n % 10 <= 6 else (n * 13 + department) % 30 + 1
-    typical = {20: 50, 1: 24}.get(department, 12 + department % 7 * 4)
-    wait = typical + n * 17 % 31 + (8 if day.weekday() >= 5 else 0)
-    bill = 2500 + department * 475 + treatment * 190 + n * 7919 % 35000 + (9000 if department == 20 else 0)
-    insured = Decimal(0) if n % 5 == 0 else (Decimal(bill) * (25 + n % 51) / 100).quantize(Decimal("0.01"), ROUND_HALF_UP)
-    stay = 1 + n % 5 if department == 20 else n % 3
-    return (day, f"DEP{department:02d}", f"DX{diagnosis:02d}", f"TR{treatment:02d}", wait, Decimal(bill), insured,
-            day + dt.timedelta(days=stay), f"D{(n * 29 + n // 13 * 7) % 200 + 1:03d}")
-
-
-def test_generated_rows(spark):
+def test_generated_rows_past_32_bits(spark):
     rng = random.Random(8)
     ns = sorted({*rng.sample(range(1, 50_001), 400), 1, 486, 487, 5000, 5001, 37500, 37501, 50000, 271_182, 300_000, 5_000_000, 10**9})
-    df = spark.createDataFrame([(n,) for n in ns], "n bigint")
-    columns = ["VisitDate", "DepartmentID", "DiagnosisID", "TreatmentID", "WaitTimeMinutes", "BillAmount",
-               "InsuranceAmount", "DischargeDate", "DoctorID"]
-    got = {int(r.VisitID[1:]): tuple(r[c] for c in columns) for r in generate_visits(df).collect()}
-    assert got == {n: generated(n) for n in ns}
+    source = f"SELECT unnest({ns}::BIGINT[]) AS n"
+    sql = SQL["gen_visits"].replace("SELECT o_orderkey + 1 AS n FROM orders", source)
+    assert source in sql
+    cursor = duckdb.connect().execute(sql)
+    columns = [c[0] for c in cursor.description]
+    df = generate_visits(spark.createDataFrame([(n,) for n in ns], "n bigint")).select(*columns)
+    assert sorted(map(tuple, df.collect())) == sorted(cursor.fetchall())
 
 
 DIMENSION = {

@@ -48,15 +48,15 @@ def padded_key(prefix: str, number: Column, width: int) -> Column:
 
 
 def comparable(value: Column) -> Column:
-    """A cell as text for comparison: blanks and NULL markers empty, whole numbers
-    without decimals, other numbers with four."""
+    """A cell as text for comparison: blanks and NULL markers empty, numbers rounded to
+    four decimals, and to none when those are zero. Exact, so large totals keep their cents."""
     text = F.trim(value.cast("string"))
-    number = text.try_cast("double")
+    number = text.try_cast("decimal(38,4)")
     return (
         F.when(text.isNull() | F.upper(text).isin("NULL", "NA", ""), "")
         .when(number.isNull(), text)
-        .when(number % 1 != 0, F.format_string("%.4f", number))
-        .otherwise(F.format_string("%.0f", number))
+        .when(number % 1 != 0, number.cast("string"))
+        .otherwise(number.cast("decimal(38,0)").cast("string"))
     )
 
 
