@@ -99,12 +99,9 @@ def soundalikes(df: DataFrame, column: str) -> DataFrame:
 
 
 def soundalike_check(df: DataFrame, column: str, check_id: str) -> DataFrame:
-    groups = soundalikes(df, column)
-    found = groups.agg(
-        F.count(F.lit(1)).alias("_v"),
-        F.array_join(F.sort_array(F.collect_list("Collision")), "; ").alias("_s"),
-    )
-    return _result(found, check_id, F.col("_v"), F.nullif(F.col("_s"), F.lit("")))
+    """Counts the groups and shows the first; ``soundalikes`` lists them all."""
+    found = soundalikes(df, column).agg(F.count(F.lit(1)).alias("_v"), F.min("Collision").alias("_s"))
+    return _result(found, check_id, F.col("_v"), F.col("_s"))
 
 
 def leftover_variants(df: DataFrame, column: str, alias: DataFrame, check_id: str) -> DataFrame:

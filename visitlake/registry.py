@@ -112,15 +112,15 @@ def period_split_counts(spark, sf):
 
 @query
 def union_periods(spark, sf):
-    """The period tables put back together: nothing lost, nothing doubled."""
-    day = F.col("l_shipdate")
-    lines = testdata.table(spark, sf, "lineitem").select("l_orderkey", "l_shipdate")
-    periods = [
-        lines.filter((day >= F.lit(a).cast("timestamp_ntz")) & (day < F.lit(b).cast("timestamp_ntz")))
-        for _, a, b in testdata.PERIODS
-    ]
-    whole = relational.union_periods(periods)
-    return whole.groupBy(F.year("l_shipdate").alias("ShipYear")).agg(F.count(F.lit(1)).alias("Lines"))
+    """Two tables stacked by column name: orders by order date, lines by ship date."""
+    orders = testdata.table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("Key"), F.col("o_orderdate").alias("Day"), F.lit("order").alias("Source")
+    )
+    lines = testdata.table(spark, sf, "lineitem").select(
+        F.lit("line").alias("Source"), F.col("l_shipdate").alias("Day"), F.col("l_orderkey").alias("Key")
+    )
+    whole = relational.union_periods([orders, lines]).groupBy(F.year("Day").alias("Year"), "Source")
+    return whole.agg(F.count(F.lit(1)).alias("RowCount"), F.max("Key").alias("LastKey"))
 
 
 @query
