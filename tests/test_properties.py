@@ -170,3 +170,19 @@ def test_reconcile_counts_every_difference(spark):
     got = reconcile(spark.createDataFrame(left, schema), spark.createDataFrame(right, schema), ["k"])
     want = {(str(i), "(row)") if i not in other else (str(i), "a") for i, a, _ in left if other.get(i) != a}
     assert {(r.k, r.Column) for r in got.collect()} == want
+
+
+def test_age_band_by_birthdays_equals_age_band_by_age(spark):
+    rng = random.Random(17)
+    born = [dt.date(1930, 1, 1) + dt.timedelta(days=rng.randrange(0, 30000)) for _ in range(600)] + [dt.date(1984, 2, 29)] * 40
+    people = [(f"P{i}", "A B", "Male", b, "X", "Y", "Z") for i, b in enumerate(born)]
+    visits = []
+    for i, b in enumerate(born):
+        year = b.year + rng.choice([17, 18, 19, 35, 36, 55, 56, 60])
+        day = dt.date(year, b.month, min(b.day, 28)) + dt.timedelta(days=rng.randrange(-1, 3))
+        visits.append(visit(i, day.isoformat(), f"P{i}"))
+    visits.append(visit(9999, "2020-01-01", "unknown"))
+    star = Star.of(spark.createDataFrame(visits, SCHEMAS["visits"]), patient=spark.createDataFrame(people, SCHEMAS["patient"]))
+    short = {r.VisitID: (r.AgeBand, r.AgeBandOrder) for r in star.flat("VisitID", "AgeBand", "AgeBandOrder").collect()}
+    full = {r.VisitID: (r.AgeBand, r.AgeBandOrder) for r in star.flat("VisitID", "AgeAtVisit", "AgeBand", "AgeBandOrder").collect()}
+    assert short == full and len(short) == len(visits)

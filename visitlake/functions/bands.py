@@ -35,5 +35,20 @@ def age_band(age: Column) -> Column:
     return banded(age, AGE_BANDS)
 
 
+def band_birthdays(birth: Column) -> dict[str, Column]:
+    """The birthday that ends each bounded band. Known per patient, so a visit needs date
+    comparisons only, and no calendar arithmetic of its own."""
+    return {f"_until{edge}": F.add_months(birth, 12 * (edge + 1)) for edge, _ in AGE_BANDS if edge is not None}
+
+
+def age_band_on(day: Column) -> Column:
+    """The age band on ``day`` for rows that carry ``band_birthdays``."""
+    *edged, (_, last) = AGE_BANDS
+    out = F
+    for edge, label in edged:
+        out = out.when(day < F.col(f"_until{edge}"), label)
+    return out.otherwise(last)
+
+
 def wait_colour(wait: Column) -> Column:
     return F.when(wait.isNull(), NO_WAIT_COLOUR).otherwise(banded(wait, WAIT_COLOURS))

@@ -10,8 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.functions.bands import AGE_BANDS, age_band, band_order
-from visitlake.functions.dates import age_at, day_type, month_start
+from visitlake.functions.bands import AGE_BANDS, band_order
+from visitlake.functions.dates import day_type, month_start
 from visitlake.functions.numbers import exact_ratio, growth_percent, mean, money, percent
 from visitlake.operators.relational import join_dim, per_entity, rollup_dim
 from visitlake.operators.windows import dense_ranked, running_total, top_with_ties, with_lag, with_totals
@@ -93,9 +93,8 @@ def q04_payment_mix(star: Star) -> DataFrame:
 
 
 def q05_age_band(star: Star) -> DataFrame:
-    rows = star.flat("DOB", "VisitDate", "BillAmount").filter("DOB is not null")
-    band = age_band(age_at(F.col("DOB"), F.col("VisitDate")))
-    banded = rows.groupBy(band.alias("AgeGroup")).agg(
+    rows = star.flat("DOB", "AgeBand", "BillAmount").filter("DOB is not null")
+    banded = rows.groupBy(F.col("AgeBand").alias("AgeGroup")).agg(
         *(c.alias(n) for n, c in _sums("TotalVisits", "Revenue").items())
     )
     return banded.select(

@@ -8,7 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.functions.bands import AGE_BANDS, age_band, band_order
+from visitlake.functions.bands import AGE_BANDS, age_band, age_band_on, band_birthdays, band_order
 from visitlake.functions.dates import CALENDAR, age_at
 from visitlake.functions.text import full_name
 from visitlake.sources.tables import MODEL_COLUMNS, VISIT_COLUMNS
@@ -83,10 +83,11 @@ class Star:
         the dimension, and a large one is shuffled with adaptive skew splitting.
         """
         wanted = list(dict.fromkeys(columns))
-        ages = AGE_COLUMNS.intersection(wanted)
-        fact, per_dim = [], {}
-        for column in [*wanted, *(["DOB"] if ages else [])]:
-            if column in CALENDAR or column in AGE_COLUMNS:
+        ages = AGE_COLUMNS.intersection(wanted) - self.attached
+        banded = "AgeBand" in ages and "AgeAtVisit" not in ages
+        fact, per_dim = [], {"patient": []} if banded else {}
+        for column in [*wanted, *(["DOB"] if ages and not banded else [])]:
+            if column in ages or (column in CALENDAR and column not in self.attached):
                 fact.append("VisitDate")
                 continue
             owner = self.owner(column)
@@ -97,9 +98,15 @@ class Star:
         fact.extend(DIMENSION_KEYS[name] for name in per_dim)
         df = self.visits(*dict.fromkeys(fact))
         for name, extra in per_dim.items():
-            key = DIMENSION_KEYS[name]
-            df = df.join(self.dims[name].select(key, *dict.fromkeys(extra)), key, "left")
-        if ages:
+            key, dim = DIMENSION_KEYS[name], self.dims[name]
+            until = band_birthdays(F.col("DOB")) if banded and name == "patient" else {}
+            extra = [*dict.fromkeys(extra), *(column.alias(c) for c, column in until.items())]
+            df = df.join(dim.select(key, *extra), key, "left")
+        if banded:
+            df = df.withColumn("AgeBand", age_band_on(F.col("VisitDate")))
+            df = df.withColumn("AgeBandOrder", band_order(F.col("AgeBand"), AGE_BANDS))
+        elif ages:
             df = with_age_columns(df)
-        df = df.withColumns({c: CALENDAR[c](F.col("VisitDate")) for c in wanted if c in CALENDAR})
+        own = [c for c in wanted if c in CALENDAR and c not in self.attached]
+        df = df.withColumns({c: CALENDAR[c](F.col("VisitDate")) for c in own})
         return df.select(*wanted)

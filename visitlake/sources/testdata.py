@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.functions.bands import banded
+from visitlake.functions.bands import age_band_on, band_birthdays, banded
 from visitlake.functions.dates import clock_text
 from visitlake.sources.star import LazyTables, Star
 from visitlake.sources.tables import VISIT_COLUMNS, literal_rows, read_table
@@ -92,7 +92,9 @@ FROM_ORDER = {
     "VisitDate": lambda: F.col("o_orderdate").cast("date"),
 }
 # Dimension columns that depend on the order alone, so they join at order grain.
-ORDER_DIMENSIONS = {"DOB": "PatientID", "PaymentMethod": "PaymentMethodID"}
+ORDER_DIMENSIONS = {
+    "DOB": ["PatientID"], "PaymentMethod": ["PaymentMethodID"], "AgeBand": ["PatientID", "VisitDate"],
+}
 
 
 def visits(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
@@ -103,12 +105,15 @@ def visits(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     if not headers:
         return lines.select(*(FROM_LINE[c]().alias(c) for c in columns))
     lines = lines.select("l_orderkey", *(FROM_LINE[c]().alias(c) for c in columns if c in FROM_LINE))
-    plain = dict.fromkeys(ORDER_DIMENSIONS.get(c, c) for c in headers)
+    plain = dict.fromkeys(source for c in headers for source in ORDER_DIMENSIONS.get(c, [c]))
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), *(FROM_ORDER[c]().alias(c) for c in plain)
     )
-    if "DOB" in headers:
-        orders = orders.join(patients(spark, sf_dir), "PatientID", "left")
+    if "DOB" in headers or "AgeBand" in headers:
+        until = {name: column for name, column in band_birthdays(F.col("DOB")).items() if "AgeBand" in headers}
+        orders = orders.join(patients(spark, sf_dir).withColumns(until), "PatientID", "left")
+    if "AgeBand" in headers:
+        orders = orders.withColumn("AgeBand", age_band_on(F.col("VisitDate")))
     if "PaymentMethod" in headers:
         orders = orders.join(payments(spark), "PaymentMethodID", "left")
     # A left join keeps every line, and never makes the lines the broadcast side.
