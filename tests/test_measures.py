@@ -187,6 +187,16 @@ def test_summary(star):
     assert both == {"longest": "Lung", "shortest": "Heart"}  # equal waits, lower satisfaction
 
 
+def test_one_dimension_at_a_time(star):
+    by_doctor = evaluate(star, ["TotalVisits", "AverageBill"], ["DoctorID", "DoctorName"])
+    assert rows(by_doctor) == [("D1", "Doc 1", 5, Decimal("152.00")), ("D2", "Doc 2", 1, Decimal("70.00"))]
+    inner = {"DepartmentCategory": ["Inner"], "DepartmentName": []}
+    assert rows(evaluate(star, ["TotalVisits", "SatisfiedVisits"], ["DepartmentName"], inner)) == [("Heart", 4, 3), ("Lung", 1, 1)]
+    assert rows(evaluate(star, ["TotalVisits", "TotalRevenue"], [], {"DepartmentName": ["Heart"]})) == [(4, Decimal(230))]
+    assert rows(evaluate(star, ["TotalVisits", "TotalRevenue"], [], {"DepartmentName": ["None"]})) == [(0, None)]
+    assert rows(evaluate(star, ["WeekendVisits"], ["DepartmentName"])) == [("Bone", 0), ("Heart", 2), ("Lung", 0)]
+
+
 def test_null_groups_are_kept_apart(spark, star):
     lost = spark.createDataFrame([visit(1, "2021-01-04", department="E9"), visit(2, "2022-01-04", department="E9")], SCHEMAS["visits"])
     orphaned = Star.of(lost, **star.dims)

@@ -79,6 +79,15 @@ def test_facts_are_aggregated_before_the_dimension_join(no_broadcast, sf_dir):
     assert "HashAggregate(keys=[DepartmentID" in plan[plan.index("SortMergeJoin"):]
 
 
+@pytest.mark.parametrize("name,key", [("m_service", "DepartmentID"), ("m_dept_rank", "DepartmentID"), ("m_doctor_ranks", "DoctorID")])
+def test_measures_of_one_dimension_meet_it_after_aggregation(name, key, no_broadcast, sf_dir):
+    plan = physical(REGISTRY[name](no_broadcast, sf_dir))
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "lineitem.parquet" in line)
+    above = [line for line in lines[:scan] if "Join" in line or "Aggregate" in line]
+    assert f"HashAggregate(keys=[{key}" in above[-1] and "partial" in above[-1]
+
+
 def test_date_filters_reach_the_scan(spark, sf_dir):
     for name in ("xf_filter_year", "period_point_scan"):
         plan = physical(REGISTRY[name](spark, sf_dir))

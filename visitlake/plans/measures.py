@@ -22,7 +22,8 @@ from visitlake.functions.text import money_label
 from visitlake.operators.distribution import percentiles
 from visitlake.operators.relational import apply_filters
 from visitlake.operators.windows import dense_rank_by_value, dense_ranked, running_total, with_totals
-from visitlake.sources.star import Star
+from visitlake.sources.star import AGE_COLUMNS, DIMENSION_KEYS, Star
+from visitlake.sources.tables import VISIT_COLUMNS
 from visitlake.plans.analysis import MIN_RANKED_VISITS, SHORT_WAIT
 
 SATISFIED_SCORE = 4
@@ -188,6 +189,43 @@ def _join(left: DataFrame, right: DataFrame, by: list[str]) -> DataFrame:
     return left.join(right, match, "left").drop(*(f"_r_{c}" for c in by))
 
 
+def _only_dimension(star: Star, columns: list[str]) -> str | None:
+    """The dimension all of ``columns`` describe, if there is one; its key may be among them."""
+    described = [c for c in columns if c not in VISIT_COLUMNS]
+    if not described or any(c in CALENDAR or c in AGE_COLUMNS for c in described):
+        return None
+    owners = {star.owner(c) for c in described}
+    name = owners.pop()
+    others = [c for c in columns if c in VISIT_COLUMNS]
+    return name if not owners and name and all(c == DIMENSION_KEYS[name] for c in others) else None
+
+
+def _sums_by(star: Star, additive: list[str], by: list[str], filters: dict) -> DataFrame:
+    """Additive aggregates of the filtered visits per ``by``.
+
+    When only one dimension is asked about, visits are summed by its key first and meet the
+    dimension as one row per key; otherwise rows are flattened.
+    """
+    aggregates = [ADDITIVE[a][1]().alias(a) for a in additive]
+    columns = [c for a in additive for c in ADDITIVE[a][0]]
+    active = {c: v for c, v in filters.items() if v}
+    name = _only_dimension(star, [*by, *active])
+    if name is None or "DayType" in columns:
+        return visits_in(star, [*by, *columns], filters).groupBy(*by).agg(*aggregates)
+    key = DIMENSION_KEYS[name]
+    by_key = star.visits(*dict.fromkeys([key, *columns])).groupBy(key).agg(*aggregates)
+    described = [c for c in dict.fromkeys([*by, *active]) if c != key]
+    rows = apply_filters(by_key.join(star.dims[name].select(key, *described), key, "left"), active)
+    if key in by:
+        return rows.select(*by, *additive)
+    return rows.groupBy(*by).agg(*_resummed(additive))
+
+
+def _resummed(additive: list[str]) -> list[Column]:
+    """Sums of sums; counts of nothing are zero."""
+    return [(F.coalesce(F.sum(a), F.lit(0)) if a in COUNTS else F.sum(a)).alias(a) for a in additive]
+
+
 def _base(star: Star, needed: set[str], by: list[str], filters: dict) -> DataFrame:
     """Everything that is one aggregation of the filtered visits."""
     additive = [a for a in ADDITIVE if a in needed or a == "TotalVisits"]
@@ -197,21 +235,22 @@ def _base(star: Star, needed: set[str], by: list[str], filters: dict) -> DataFra
         rows = visits_in(star, [*columns, "PatientID"], filters).groupBy(*by, "PatientID")
         rows = rows.agg(*(ADDITIVE[a][1]().alias(a) for a in additive))
         out = rows.groupBy(*by).agg(
-            *((F.coalesce(F.sum(a), F.lit(0)) if a in COUNTS else F.sum(a)).alias(a) for a in additive),
+            *_resummed(additive),
             F.count("PatientID").alias("DistinctPatients"),
             F.count_if(F.col("TotalVisits") > 1).alias("RepeatPatients"),
         )
         if doctors:
             active = visits_in(star, [*by, "DoctorID"], filters).groupBy(*by)
             out = _join(out, active.agg(F.count_distinct("DoctorID").alias(DOCTOR_COUNT)), by)
+    elif not doctors:
+        out = _sums_by(star, additive, by, filters)
     else:
         aggregates = [ADDITIVE[a][1]().alias(a) for a in additive]
         if patients:
             columns.append("PatientID")
             aggregates.append(F.count_distinct("PatientID").alias("DistinctPatients"))
-        if doctors:
-            columns.append("DoctorID")
-            aggregates.append(F.count_distinct("DoctorID").alias(DOCTOR_COUNT))
+        columns.append("DoctorID")
+        aggregates.append(F.count_distinct("DoctorID").alias(DOCTOR_COUNT))
         out = visits_in(star, columns, filters).groupBy(*by).agg(*aggregates)
     points = {name: p for name, p in PERCENTILES.items() if name in needed}
     if points:
@@ -273,8 +312,8 @@ def _with_category_revenue(out: DataFrame, star: Star, by: list[str], filters: d
     whichever departments are selected."""
     kept = [c for c in by if c not in DEPARTMENT_COLUMNS or c == "DepartmentCategory"]
     wide = {c: v for c, v in filters.items() if c not in DEPARTMENT_COLUMNS or c == "DepartmentCategory"}
-    category = visits_in(star, [*kept, "BillAmount"], wide).groupBy(*kept)
-    return _join(out, category.agg(F.sum("BillAmount").alias("CategoryRevenue")), kept)
+    category = _sums_by(star, ["TotalRevenue"], kept, wide).withColumnRenamed("TotalRevenue", "CategoryRevenue")
+    return _join(out, category, kept)
 
 
 def _with_doctor_rank(out: DataFrame, by: list[str], alias: str, points: Column, scale: int) -> DataFrame:
