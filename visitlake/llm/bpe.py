@@ -25,7 +25,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 
-from visitlake.llm.common import narrow
+from visitlake.llm.common import importable, narrow
 
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Bounds on what a worker remembers of earlier words. Only speed depends on them.
@@ -221,4 +221,4 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, doc_id: str = "do
             yield out.astype({"doc_id": "Int64"})
 
     schema = ENCODED + ", ids array<long>" * keep_ids
-    return narrow(docs, doc_id=doc_id, text=text).mapInPandas(encode, schema)
+    return narrow(importable(docs), doc_id=doc_id, text=text).mapInPandas(encode, schema)

@@ -3,19 +3,32 @@
 from __future__ import annotations
 
 import hashlib
+import os
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake.session import stored
 
-__all__ = ["line_key", "narrow", "read", "sha256_hex", "stored"]
+__all__ = ["importable", "line_key", "narrow", "read", "sha256_hex", "stored"]
+ROOT = str(Path(__file__).resolve().parents[2])
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def importable(df: DataFrame) -> DataFrame:
+    """Lets Python workers find this package where the driver has it (on a cluster it is
+    installed on every machine or sent along with ``--py-files``)."""
+    environment = df.sparkSession.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if ROOT not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, ROOT])
+    return df
+
+
 def narrow(df: DataFrame, **columns: str) -> DataFrame:
     """Only the named columns, under the operator's own names, so that whatever else the
     table carries cannot clash with a column the operator adds."""

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from visitlake.llm import bpe
+from visitlake.llm import bpe, secrets, toxicity, urlrules
 from visitlake.llm.common import read
 
 
@@ -14,5 +15,48 @@ def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op2_prefix_bpe": op2_prefix_bpe}
-SQL: dict[str, str] = {}
+def op3_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op5_token_indexed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = urlrules.rule_table(spark, urlrules.GIVEN + urlrules.OWN)
+    judged = urlrules.judge(read(spark, sf_dir, "pages"), rules)
+    return judged.select("page_id", "host", "path", F.when(F.col("tier") == 0, F.col("rule")).alias("rule"), "verdict")
+
+
+def op9_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source owns a document, and holds one repository for each language."""
+    return secrets.scan_documents(read(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
+
+
+QUERIES = {
+    "op2_prefix_bpe": op2_prefix_bpe,
+    "op3_boosted_toxicity": op3_boosted_toxicity,
+    "op5_token_indexed_rules": op5_token_indexed_rules,
+    "op9_secret_ownership": op9_secret_ownership,
+}
+
+SQL: dict[str, str] = {
+    "op5_token_indexed_rules": f"""
+WITH rests AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM rests
+), judged AS (
+  SELECT *, CASE
+      WHEN '.' || host LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+      WHEN '.' || host LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+      WHEN '.' || host LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+      WHEN '.' || host LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+      WHEN '.' || host LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule
+  FROM parts
+)
+SELECT page_id, host, path, rule, CASE
+    WHEN rule IN ('org/', 'com/fr/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+    WHEN regexp_matches(host || path, '(^|[^A-Za-z0-9])({"|".join(urlrules.UNWANTED)})($|[^A-Za-z0-9])') THEN 'block'
+    ELSE 'allow' END AS verdict
+FROM judged
+""",
+}
