@@ -63,7 +63,7 @@ def test_features_see_hidden_and_near_words():
     weights = T.Weights({"idiot": 5.0, "loser*": 3.0})
     of = dict(zip(T.FEATURES, T.features("YOU are an IDIOT! an 1d10t and id*iot, losers", weights), strict=True))
     assert of["insults"] == 1 and of["near_you"] == 1 and of["hits"] == 2 and of["obfuscated_hits"] >= 1
-    assert weights["loserly"] == 0.0 and T.Weights({"loser*": 3.0})["losers"] == 3.0
+    assert (weights["loser"], weights["losers"], weights["lose"], weights["idiots"]) == (0.0, 3.0, 0.0, 0.0)
     assert T.features(None, weights) == T.features("", weights) == [0.0] * len(T.FEATURES)
 
 

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, secrets, toxicity, urlrules
+from visitlake.llm import bpe, hyperminhash, linespread, secrets, toxicity, urlrules
 from visitlake.llm.common import read
 
 
@@ -25,6 +25,15 @@ def op5_token_indexed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", F.when(F.col("tier") == 0, F.col("rule")).alias("rule"), "verdict")
 
 
+def op6_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.linked(read(spark, sf_dir, "documents"))
+
+
+def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stripped = linespread.remove_boilerplate(read(spark, sf_dir, "documents"))
+    return stripped.select("doc_id", "text", F.col("__n_lines").cast("long").alias("n_lines"), F.col("__n_removed").cast("long").alias("n_removed"))
+
+
 def op9_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source owns a document, and holds one repository for each language."""
     return secrets.scan_documents(read(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
@@ -34,6 +43,8 @@ QUERIES = {
     "op2_prefix_bpe": op2_prefix_bpe,
     "op3_boosted_toxicity": op3_boosted_toxicity,
     "op5_token_indexed_rules": op5_token_indexed_rules,
+    "op6_hyperminhash": op6_hyperminhash,
+    "op7_line_spread": op7_line_spread,
     "op9_secret_ownership": op9_secret_ownership,
 }
 
@@ -58,5 +69,22 @@ SELECT page_id, host, path, rule, CASE
     WHEN regexp_matches(host || path, '(^|[^A-Za-z0-9])({"|".join(urlrules.UNWANTED)})($|[^A-Za-z0-9])') THEN 'block'
     ELSE 'allow' END AS verdict
 FROM judged
+""",
+    "op7_line_spread": f"""
+WITH split AS (
+  SELECT row_number() OVER () AS row, doc_id, source, text, string_split(text, chr(10)) AS lines FROM documents
+), held AS (
+  SELECT row, doc_id, coalesce(source, '') AS site, text, pos, lines[pos] AS raw, trim(lines[pos], ' ' || chr(9) || chr(13)) AS line
+  FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS pos FROM split)
+), bad AS (
+  SELECT line, min(doc_id) AS home FROM held WHERE length(line) >= {linespread.MIN_CHARS}
+  GROUP BY line HAVING least(count(DISTINCT site), count(DISTINCT text)) >= {linespread.SITES}
+), kept AS (
+  SELECT row, string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE bad.line IS NULL OR doc_id = home) AS text,
+         count(*) FILTER (WHERE bad.line IS NULL OR doc_id = home) AS n FROM held LEFT JOIN bad USING (line) GROUP BY row
+)
+SELECT doc_id, CASE WHEN split.text IS NULL THEN NULL ELSE coalesce(kept.text, '') END AS text,
+       coalesce(len(lines), 0) AS n_lines, coalesce(len(lines) - n, 0) AS n_removed
+FROM split LEFT JOIN kept USING (row)
 """,
 }
