@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, hyperminhash, linespread, secrets, toxicity, urlrules
+from visitlake.llm import bpe, hyperminhash, linespread, productquant, resharding, secrets, toxicity, urlrules
 from visitlake.llm.common import read
 
 
@@ -19,6 +19,13 @@ def op3_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_documents(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_flow_resharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """From six shards by id to eight of near equal bytes."""
+    placed = resharding.by_bytes(read(spark, sf_dir, "documents"), shards=8, old_shards=6)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
+                         F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"), "old_shard")
+
+
 def op5_token_indexed_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = urlrules.rule_table(spark, urlrules.GIVEN + urlrules.OWN)
     judged = urlrules.judge(read(spark, sf_dir, "pages"), rules)
@@ -39,13 +46,19 @@ def op9_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_documents(read(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
 
 
+def op10_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return productquant.linked(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_prefix_bpe": op2_prefix_bpe,
     "op3_boosted_toxicity": op3_boosted_toxicity,
+    "op4_flow_resharding": op4_flow_resharding,
     "op5_token_indexed_rules": op5_token_indexed_rules,
     "op6_hyperminhash": op6_hyperminhash,
     "op7_line_spread": op7_line_spread,
     "op9_secret_ownership": op9_secret_ownership,
+    "op10_product_quantisation": op10_product_quantisation,
 }
 
 SQL: dict[str, str] = {
