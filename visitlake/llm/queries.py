@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, hyperminhash, linespread, productquant, resharding, secrets, toxicity, urlrules
+from visitlake.llm import bpe, hyperminhash, linespread, productquant, resharding, secrets, suffixes, toxicity, urlrules
 from visitlake.llm.common import read
 
 
@@ -41,6 +41,10 @@ def op7_line_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stripped.select("doc_id", "text", F.col("__n_lines").cast("long").alias("n_lines"), F.col("__n_removed").cast("long").alias("n_removed"))
 
 
+def op8_lyndon_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op9_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source owns a document, and holds one repository for each language."""
     return secrets.scan_documents(read(spark, sf_dir, "documents"), F.col("source"), F.concat_ws("/", "source", "lang"))
@@ -57,6 +61,7 @@ QUERIES = {
     "op5_token_indexed_rules": op5_token_indexed_rules,
     "op6_hyperminhash": op6_hyperminhash,
     "op7_line_spread": op7_line_spread,
+    "op8_lyndon_suffixes": op8_lyndon_suffixes,
     "op9_secret_ownership": op9_secret_ownership,
     "op10_product_quantisation": op10_product_quantisation,
 }
