@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 import public_tokenizers
+from corpus_pipeline import run as run_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, hyperminhash, linespread, productquant, resharding, secrets, suffixes, toxicity, urlrules
+from visitlake.llm import bpe, hyperminhash, latent, linespread, productquant, resharding, secrets, suffixes, toxicity, urlrules
 from visitlake.llm.common import read
 
 
+def op1_latent_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op2_prefix_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(
         read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -55,6 +60,8 @@ def op10_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "pipeline": run_pipeline,
+    "op1_latent_decontamination": op1_latent_decontamination,
     "op2_prefix_bpe": op2_prefix_bpe,
     "op3_boosted_toxicity": op3_boosted_toxicity,
     "op4_flow_resharding": op4_flow_resharding,

@@ -28,6 +28,7 @@ from functools import cache
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -39,8 +40,9 @@ CORE = LENGTH - CELL + 1
 #: Strings handled at once, a text's long stretches are cut here; symbols in one suffix array; members of a group in one task.
 STRETCH, SYMBOLS, LARGE = 200_000, 60_000, 2_000
 POSITION = (1 << 18) - 1
-RUNS = "doc_id long, text_hash long, runs array<struct<first:int,last:int,at:int,anchor:long,content:long>>, n_bytes long, sha256 string"
+RUNS = "doc_id long, text_hash long, runs array<struct<first:int,last:int,at:int,anchor:long,content:long>>"
 CELLS = "doc_id long, text_hash long, at int, cell int, anchor long, core long, left binary, right binary"
+PACKED = "doc_id long, text_hash long, data binary"
 SPANS = "doc_id long, text_hash long, start int, end int"
 
 
@@ -158,6 +160,17 @@ def as_bytes(text: object) -> bytes:
     return text.encode() if isinstance(text, str) else b""
 
 
+def squeezed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Texts as they are sent through a shuffle: about half their size."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"], "data": [squeeze(as_bytes(t)) for t in batch["text"]]})
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(data)
+
+
 def find_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     names = ("first", "last", "at", "anchor", "content")
     for batch in batches:
@@ -166,16 +179,15 @@ def find_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for text in part["text"]:
                 data = as_bytes(text)
                 runs = [dict(zip(names, r, strict=True)) for found in runs_of(data) for r in zip(*(f.tolist() for f in found), strict=True)]
-                rows.append((runs, len(data), sha256_hex(data)))
-            out = pd.DataFrame(rows, columns=["runs", "n_bytes", "sha256"], index=part.index)
-            yield pd.concat([part[["doc_id", "text_hash"]].astype("Int64"), out], axis=1)
+                rows.append(runs)
+            yield part[["doc_id", "text_hash"]].astype("Int64").assign(runs=pd.Series(rows, index=part.index, dtype=object))
 
 
 def cut_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The cells of a document's listed runs. Tails end where the run ends, so a string is in one cell only."""
     for batch in batches:
         for _, row in batch.iterrows():
-            data, rows = as_bytes(row["text"]), []
+            data, rows = unsqueezed(row["data"]), []
             for run in row["runs"]:
                 at = run["at"]
                 for cell in range((at - run["last"]) // CELL, (at - run["first"]) // CELL + 1):
@@ -271,8 +283,8 @@ def united(spans: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def repeated_spans(rows: DataFrame, large: int = LARGE) -> tuple[DataFrame, DataFrame]:
-    """Of ``doc_id, text, text_hash``: the scanned rows (``RUNS``), and ``SPANS`` of repeated strings, not yet united."""
+def repeated_spans(rows: DataFrame, large: int = LARGE) -> DataFrame:
+    """Of ``doc_id, text, text_hash``: ``SPANS`` of repeated strings, not yet united."""
     scanned = stored(importable(rows).mapInPandas(find_runs, RUNS))
     runs = scanned.select("doc_id", "text_hash", F.explode("runs").alias("run")).select("doc_id", "text_hash", "run.*")
     counted = runs.groupBy("anchor", "content").agg(
@@ -284,8 +296,9 @@ def repeated_spans(rows: DataFrame, large: int = LARGE) -> tuple[DataFrame, Data
     shared = counted.groupBy("anchor").agg(F.count("*").alias("contents")).filter("contents > 1").select("anchor")
     open_runs = counted.join(shared, "anchor").select("sample.doc_id", "sample.text_hash", F.struct("sample.first", "sample.last", "sample.at", "anchor").alias("run"))
     wanted = open_runs.groupBy("doc_id", "text_hash").agg(F.collect_list("run").alias("runs")).toDF("w_id", "w_hash", "runs")
-    texts = rows.dropDuplicates(["doc_id", "text_hash"])
-    joined = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))).select("doc_id", "text_hash", "text", "runs")
+    # Rows that are repeated come more than once here; their strings are repeated by that alone.
+    texts = rows.filter(F.octet_length("text") >= LENGTH).mapInPandas(squeezed, PACKED)
+    joined = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash"))).select("doc_id", "text_hash", "data", "runs")
     cells = stored(joined.mapInPandas(cut_cells, CELLS))
     key = ["anchor", "cell", "core"]
     sizes = stored(cells.groupBy(*key).agg(F.count("*").alias("size")).filter("size > 1"))
@@ -294,7 +307,7 @@ def repeated_spans(rows: DataFrame, large: int = LARGE) -> tuple[DataFrame, Data
     total = sizes.filter(F.col("size") <= large).agg(F.sum("size")).first()[0] or 0
     buckets = max(1, total // large)
     compared = small.withColumn("bucket", F.pmod(F.xxhash64(*key), F.lit(buckets))).groupBy("bucket").applyInPandas(compare_cells, SPANS)
-    return scanned, whole.union(compared).union(large_groups(huge))
+    return whole.union(compared).union(large_groups(huge))
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep_text: bool = False) -> DataFrame:
@@ -307,14 +320,14 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     columns = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * keep_text
     rows = narrow(docs, doc_id=doc_id, text=text).withColumn("text_hash", F.coalesce(F.xxhash64("text"), F.lit(0)))
-    scanned, spans = repeated_spans(rows)
+    spans = repeated_spans(rows)
     by_row = spans.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "end")).alias("spans")).toDF("w_id", "w_hash", "spans")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = []
-            for key, whole, found in zip(batch["doc_id"], batch["text"], batch["spans"], strict=True):
-                data, gone = as_bytes(whole), united([(s["start"], s["end"]) for s in found] if found is not None else [])
+            for key, whole, found in zip(batch["doc_id"], batch["data"], batch["spans"], strict=True):
+                data, gone = unsqueezed(whole), united([(s["start"], s["end"]) for s in found] if found is not None else [])
                 edges = [0, *(x for span in gone for x in span), len(data)]
                 kept = b"".join(data[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
                 row = (key, len(data), len(data) - len(kept), len(gone), sha256_hex(kept))
@@ -322,5 +335,5 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             names = [c.split()[0] for c in columns.split(", ")]
             yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
 
-    joined = rows.join(by_row, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")), "left")
-    return joined.select("doc_id", "text", "spans").mapInPandas(cut, columns)
+    joined = rows.mapInPandas(squeezed, PACKED).join(by_row, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")), "left")
+    return joined.select("doc_id", "data", "spans").mapInPandas(cut, columns)
