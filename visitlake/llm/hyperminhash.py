@@ -11,9 +11,11 @@ full sets.
 
 Texts with the same set form a class that takes part once. Within a bucket of a band not
 all pairs are formed: every class meets two hubs. What is then known to be connected needs
-no further comparison. Buckets whose classes are still in several components go on: with
-new hubs while that is less work, then pair by pair. So no link between components is lost,
-save for pairs that share no band at all: 3 in ten million at exactly 0.85.
+no further comparison. Buckets whose classes are still in several components are compared
+in blocks of bounded size, pairs from different components only and each pair in its first
+common band only; a block returns the pairs that pass, not those it looked at. So no link
+between components is lost, save for pairs that share no band at all: 3 in ten million at
+exactly 0.85.
 """
 
 from __future__ import annotations
@@ -34,7 +36,9 @@ WORDS, SHARE = 5, 85
 BANDS, ROWS, MANTISSA = 32, 6, 10
 REGISTERS = BANDS * ROWS
 EMPTY = 0xFFFF
-WORDS_KEPT, HUB_ROUNDS = 400_000, 6
+WORDS_KEPT = 400_000
+#: Members of a bucket in one block, and rows a task is meant to get of many small ones.
+BLOCK, TASK_ROWS = 256, 2_000
 SKETCH = "doc_id long, n_shingles long, key binary, registers binary, buckets array<long>"
 
 
@@ -140,18 +144,21 @@ def estimated(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     return np.clip((equal - by_chance) / (1 - by_chance), 0, 1)
 
 
+def cut(share: int, n: np.ndarray) -> np.ndarray:
+    """Six deviations below the limit, for sets of at least ``n`` shingles."""
+    limit, filled = share / 100, REGISTERS * (1 - np.exp(-n / REGISTERS))
+    return limit - 6 * np.sqrt(limit * (1 - limit) / np.maximum(filled, 1))
+
+
 def hopeful(pairs: DataFrame, classes: DataFrame, share: int) -> DataFrame:
     """Pairs whose estimate is not below the limit by more than six deviations."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        limit = share / 100
         for batch in batches:
             if len(batch):
                 a, b = (np.frombuffer(b"".join(batch[c]), dtype=np.uint16).reshape(-1, REGISTERS) for c in ("ra", "rb"))
                 n_a, n_b = batch["na"].to_numpy(), batch["nb"].to_numpy()
-                filled = REGISTERS * (1 - np.exp(-np.minimum(n_a, n_b) / REGISTERS))
-                cut = limit - 6 * np.sqrt(limit * (1 - limit) / np.maximum(filled, 1))
-                batch = batch[estimated(a, b, n_a, n_b) >= cut]
+                batch = batch[estimated(a, b, n_a, n_b) >= cut(share, np.minimum(n_a, n_b))]
             yield batch[["a", "b"]]
 
     sized = classes.select("node", "n_shingles", "registers")
@@ -162,34 +169,81 @@ def hopeful(pairs: DataFrame, classes: DataFrame, share: int) -> DataFrame:
 
 def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, share: int) -> DataFrame:
     """The pairs whose full sets have ``share`` percent of their union in common, stored."""
-    compared = (hopeful(pairs, classes, share).join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    compared = (hopeful(pairs, classes, share).join(sets.select("node", "shingles").toDF("a", "sa"), "a")
+                .join(sets.select("node", "shingles").toDF("b", "sb"), "b")
                 .withColumn("both", F.size(F.array_intersect("sa", "sb"))))
     return stored(compared.filter(f"100 * both >= {share} * (size(sa) + size(sb) - both)").select("a", "b"))
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``node, shingles`` of the documents named by ``nodes``."""
+    """``node, shingles, short`` (their lower halves, sorted) of the documents named by ``nodes``."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = [shingles(text if isinstance(text, str) else None).view(np.int64) for text in batch["text"]]
-            yield pd.DataFrame({"node": batch["doc_id"], "shingles": sets}).astype({"node": "Int64"})
+            sets = [shingles(text if isinstance(text, str) else None) for text in batch["text"]]
+            short = [np.sort(x.astype(np.uint32)).tobytes() for x in sets]
+            yield pd.DataFrame({"node": batch["doc_id"], "shingles": [x.view(np.int64) for x in sets], "short": short}).astype({"node": "Int64"})
 
     wanted = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
-    return importable(wanted).mapInPandas(of, "node long, shingles array<long>")
-
-
-def paired(a: str, b: str) -> list:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
-
-
-def hub_pairs(members: DataFrame, hubs: int, turn: int) -> DataFrame:
-    """Each member of a bucket with the bucket's hubs, by a hash that changes with the turn."""
-    picked = [F.min_by("node", F.xxhash64(F.lit(f"{turn}-{k}"), "node")) for k in range(1, hubs)]
-    chosen = members.groupBy("bucket").agg(F.array(F.min("node") if turn == 0 else
-              F.min_by("node", F.xxhash64(F.lit(f"{turn}-0"), "node")), *picked).alias("hubs"), F.count("*").alias("size"))
-    met = members.join(chosen.filter("size > 1"), "bucket").select(*members.columns, F.explode(F.array_distinct("hubs")).alias("hub"))
-    return met.filter("hub <> node")
+    return importable(wanted).mapInPandas(of, "node long, shingles array<long>, short binary")
+
+
+def hub_pairs(members: DataFrame) -> DataFrame:
+    """Each member of a bucket with two hubs of it: the smallest, and one picked by hash."""
+    hubs = members.groupBy("bucket").agg(F.array(F.min("node"), F.min_by("node", F.xxhash64("node"))).alias("hubs"))
+    met = members.join(hubs, "bucket").select("node", F.explode(F.array_distinct("hubs")).alias("hub"))
+    return met.filter("hub <> node").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+
+
+def similar_across(x: pd.DataFrame, y: pd.DataFrame, bucket: int, share: int, upper: bool) -> list[tuple[int, int]]:
+    """Pairs of different components, first met in this bucket, that reach the limit by the
+    lower halves of their shingles (a limit lowered by half a percent, for halves equal by chance)."""
+    rx, ry = (np.frombuffer(b"".join(p["registers"]), dtype=np.uint16).reshape(-1, REGISTERS) for p in (x, y))
+    nx, ny, cx, cy = x["n"].to_numpy(), y["n"].to_numpy(), x["component"].to_numpy(), y["component"].to_numpy()
+    sets = [np.frombuffer(s, dtype=np.uint32) for s in y["short"]]
+    # The band this bucket belongs to; pairs that share an earlier one are compared there.
+    band = int(np.flatnonzero(bucket_keys(rx[0]) == bucket)[0])
+    found = []
+    for i in range(len(x)):
+        ok = (cx[i] != cy) & (100 * np.minimum(nx[i], ny) >= share * np.maximum(nx[i], ny))
+        if upper:
+            ok[: i + 1] = False
+        rows = np.flatnonzero(ok)
+        equal = rx[i] == ry[rows]
+        first = ~equal[:, : band * ROWS].reshape(len(rows), band, ROWS).all(axis=2).any(axis=1)
+        rows, equal = rows[first], equal[first]
+        rows = rows[equal.mean(axis=1) >= cut(share, np.minimum(nx[i], ny[rows]))]
+        if len(rows):
+            own, flat = np.frombuffer(x["short"].iloc[i], dtype=np.uint32), np.concatenate([sets[j] for j in rows])
+            places = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            both = np.add.reduceat(own[places] == flat, np.cumsum([0, *(len(sets[j]) for j in rows[:-1])]))
+            close = 200 * both >= (2 * share - 1) * (nx[i] + ny[rows] - both)
+            found += [(x["node"].iloc[i], y["node"].iloc[j]) for j in rows[close]]
+    return found
+
+
+def across_components(members: DataFrame, labels: DataFrame, classes: DataFrame, sets: DataFrame, share: int) -> DataFrame:
+    """Pairs ``a, b`` of one bucket and different components that look similar, block by block."""
+    placed = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    unsettled = (placed.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("size"))
+                 .filter("low <> high").select("bucket", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
+    left = stored(placed.join(unsettled, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")))
+    rows = left.agg(F.sum("blocks")).first()[0] or 0
+    others = F.sequence(F.lit(0), F.col("blocks") - 1)
+    meetings = left.select("node", "component", "bucket", "block", F.explode(others).alias("other")).select(
+        "node", "component", "bucket", "block", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    full = (meetings.join(classes.select("node", F.col("n_shingles").alias("n"), "registers"), "node").join(sets.select("node", "short"), "node")
+            .withColumn("task", F.pmod(F.xxhash64("bucket", "i", "j"), F.lit(max(1, rows // TASK_ROWS)))))
+
+    def compare(task: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        for (bucket, i, j), part in task.groupby(["bucket", "i", "j"]):
+            x, y = part[part["block"] == i], part[part["block"] == j]
+            if len(x) and len(y):
+                found += similar_across(x, y, bucket, share, upper=i == j)
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return full.groupBy("task").applyInPandas(compare, "a long, b long").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
@@ -212,36 +266,11 @@ def linked(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: i
     members = stored(members.join(crowded, "bucket"))
     sets = stored(shingle_sets(rows, members.select("node").distinct()))
 
-    pairs = stored(hub_pairs(members, hubs=2, turn=0).select(*paired("hub", "node")).distinct())
-    edges = confirmed(pairs, classes, sets, share)
-    tested, turn = pairs, 0
-    while True:
-        labels = components(edges)
-        placed = members.join(labels, "node", "left").select("node", "bucket", F.coalesce("component", "node").alias("component"))
-        by_component = placed.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        open_buckets = (by_component.groupBy("bucket").agg(F.sum("n").alias("size"), F.sum(F.col("n") * F.col("n")).alias("inner"), F.count("*").alias("components"))
-                        .filter("components > 1").withColumn("across", (F.col("size") * F.col("size") - F.col("inner")) / 2))
-        open_members = stored(placed.join(open_buckets.select("bucket", "across", "size"), "bucket"))
-        work = open_members.agg(F.sum(F.col("across") / F.col("size")), F.count("*")).first()
-        if not work[1]:
-            break
-        turn += 1
-        # Pair by pair once that is not much more than meeting hubs, or hubs no longer help.
-        last = work[0] <= 4 * work[1] or turn > HUB_ROUNDS
-        if last:
-            other = open_members.select(F.col("node").alias("hub"), "bucket", F.col("component").alias("its"))
-            met = open_members.join(other, "bucket").filter("component < its")
-        else:
-            named = open_members.select("node", "component", "bucket")
-            met = hub_pairs(named, hubs=2, turn=turn).join(
-                labels.select(F.col("node").alias("hub"), F.col("component").alias("c")), "hub", "left").filter("component <> coalesce(c, hub)")
-        fresh = stored(met.select(*paired("hub", "node")).distinct().join(tested, ["a", "b"], "left_anti"))
-        found = confirmed(fresh, classes, sets, share)
-        edges = edges.union(found)
-        if last:
-            break
-        tested = tested.union(fresh)
+    edges = confirmed(hub_pairs(members), classes, sets, share)
     labels = components(edges)
+    more = confirmed(stored(across_components(members, labels, classes, sets, share)), classes, sets, share)
+    if more.head(1):
+        labels = components(edges.union(more))
     named = classes.select("key", "node").join(labels, "node", "left").select(
         "key", F.coalesce("component", "node").alias("component"))
     return sketched.join(named, "key", "left").select(
