@@ -15,20 +15,20 @@ WAIT_SCORES = [(25, 5), (40, 4), (55, 3), (70, 2), (None, 1)]
 
 
 def banded(value: Column, bands) -> Column:
-    """The label of the first band whose inclusive upper edge holds ``value``."""
+    """The label of the first band whose inclusive upper edge holds ``value``; NULL has none."""
     *edged, (_, last) = bands
     out = F
     for edge, label in edged:
         out = out.when(value <= edge, label)
-    return out.otherwise(last)
+    return out.when(value.isNotNull(), last)
 
 
 def band_order(label: Column, bands) -> Column:
     labels = [name for _, name in bands]
     out = F
-    for position, name in enumerate(labels[:-1], 1):
+    for position, name in enumerate(labels, 1):
         out = out.when(label == name, position)
-    return out.otherwise(len(labels))
+    return out
 
 
 def age_band(age: Column) -> Column:
@@ -42,12 +42,12 @@ def band_birthdays(birth: Column) -> dict[str, Column]:
 
 
 def age_band_on(day: Column) -> Column:
-    """The age band on ``day`` for rows that carry ``band_birthdays``."""
+    """The age band on ``day`` for rows that carry ``band_birthdays``; NULL without a birth date."""
     *edged, (_, last) = AGE_BANDS
     out = F
     for edge, label in edged:
         out = out.when(day < F.col(f"_until{edge}"), label)
-    return out.otherwise(last)
+    return out.when(day.isNotNull() & F.col(f"_until{edged[-1][0]}").isNotNull(), last)
 
 
 def wait_colour(wait: Column) -> Column:

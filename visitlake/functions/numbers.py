@@ -41,8 +41,8 @@ def ratio(numerator, denominator, places: int = 2, type_: str = "decimal(10,2)")
     return (signed.cast("decimal(28,0)") * F.lit(Decimal(1).scaleb(-places))).cast(type_)
 
 
-def percent(part, whole, type_: str = "decimal(10,2)") -> Column:
-    """``100 * part / whole`` with two decimals."""
+def percent(part, whole, type_: str = "decimal(28,2)") -> Column:
+    """``100 * part / whole`` with two decimals. As wide as money: growth from a sparse period has no bound."""
     return ratio(_column(part) * F.lit(100), whole, 2, type_)
 
 

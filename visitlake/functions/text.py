@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from visitlake.functions.numbers import grouped_digits, ratio
 
-NAME_LENGTH = 50
-
 
 def full_name(first: Column, last: Column) -> Column:
     """NULL as soon as one part is NULL, unlike ``concat_ws``."""
@@ -20,7 +18,7 @@ def capitalised(name: Column) -> Column:
     trimmed = F.trim(name)
     return F.concat(
         F.upper(F.substring(trimmed, 1, 1)),
-        F.lower(F.substring(trimmed, 2, NAME_LENGTH)),
+        F.lower(F.substring(trimmed, F.lit(2), F.length(trimmed))),
     )
 
 

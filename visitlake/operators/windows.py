@@ -79,9 +79,17 @@ def dense_rank_by_value(
     higher = Window.partitionBy(*keys).orderBy(F.desc("_bin")).rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.select(*keys, "_bin", F.coalesce(F.sum("_n").over(higher), F.lit(0)).alias("_above"))
     inside = Window.partitionBy(*keys, "_bin").orderBy(F.desc(value))
-    ranks = values.withColumn("_inside", F.row_number().over(inside)).join(bins, [*keys, "_bin"])
+    bins = bins.toDF(*(f"_b_{c}" for c in [*keys, "_bin"]), "_above")
+    same = F.col("_bin") == F.col("_b__bin")
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_b_{c}"))
+    ranks = values.withColumn("_inside", F.row_number().over(inside)).join(bins, same)
     ranks = ranks.select(*keys, value, (F.col("_above") + F.col("_inside")).alias(alias))
-    return df.join(ranks, [*keys, value], "left")
+    ranks = ranks.toDF(*(f"_r_{c}" for c in [*keys, value]), alias)
+    match = F.lit(True)
+    for c in [*keys, value]:  # NULL peers are peers of each other
+        match = match & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+    return df.join(ranks, match, "left").drop(*(f"_r_{c}" for c in [*keys, value]))
 
 
 def dense_index(dim: DataFrame, keys: list[str], alias: str) -> DataFrame:
@@ -105,10 +113,12 @@ def dense_index(dim: DataFrame, keys: list[str], alias: str) -> DataFrame:
     )
 
 
-def small_index(dim: DataFrame, keys: list[str], alias: str) -> DataFrame:
-    """``dense_index`` for a dimension whose code fits one byte: at most 256 keys to order."""
+def small_index(dim: DataFrame, keys: list[str], alias: str, limit: int = 256) -> DataFrame:
+    """``dense_index`` for a dimension whose code fits one byte. A key beyond ``limit`` stops
+    the job: more keys than that must not be ordered in one task, nor fit the code."""
     position = F.row_number().over(Window.orderBy(*keys)) - 1
-    return dim.select(*keys).distinct().withColumn(alias, position)
+    fits = F.when(position < limit, position).otherwise(F.raise_error(F.lit(f"{alias}: more than {limit} keys")))
+    return dim.select(*keys).distinct().withColumn(alias, fits)
 
 
 def gap_tiers(df: DataFrame, value: str, gap, alias: str) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from visitlake.operators.relational import union_periods
 from visitlake.operators.windows import dense_index, small_index
 from visitlake.plans.analysis import REPEAT_VISITS, SHORT_WAIT, ranked_doctors
 from visitlake.plans.measures import visits_in
-from visitlake.sources.star import Star
+from visitlake.sources.star import LazyTables, Star
 
 WEEKEND_BIT, MONTH_MASK = 0x80, 0x7F
 BYTE_CODES = 256
@@ -28,10 +29,12 @@ FACETS = {
 
 @dataclass(frozen=True)
 class Encoding:
-    """Where codes start, and the columns each dictionary is ordered by."""
+    """Where codes start, how far they go, and the columns each dictionary is ordered by."""
 
     base_year: int = 2020
+    months: int = 72
     bill_offset: int = 3000
+    bill_bytes: int = 2
     department: tuple[str, ...] = ("DepartmentID",)
     payment: tuple[str, ...] = ("PaymentMethodID",)
 
@@ -42,15 +45,16 @@ def month_week(day: Column, base_year: int) -> Column:
     return month.bitwiseOR(F.when(F.weekday(day) >= 5, WEEKEND_BIT).otherwise(0))
 
 
-def dictionaries(star: Star, coding: Encoding = Encoding()) -> dict[str, DataFrame]:
-    """Dense 0-based codes per dimension, in key order. Departments and payment methods
-    have one-byte codes, which ``dictionary_checks`` verifies; the others may grow."""
-    return {
-        "department": small_index(star.dims["department"], list(coding.department), "dept"),
-        "payment": small_index(star.dims["payment"], list(coding.payment), "pay"),
-        "doctor": dense_index(star.dims["doctor"], ["DoctorID"], "doctor"),
-        "patient": dense_index(star.dims["patient"], ["PatientID"], "patient"),
-    }
+def dictionaries(star: Star, coding: Encoding = Encoding()) -> Mapping[str, DataFrame]:
+    """Dense 0-based codes per dimension, in key order, each made when it is first read.
+    Departments and payment methods have one-byte codes and stop the job beyond them; the
+    others may grow."""
+    return LazyTables({
+        "department": lambda: small_index(star.dims["department"], list(coding.department), "dept", BYTE_CODES),
+        "payment": lambda: small_index(star.dims["payment"], list(coding.payment), "pay", BYTE_CODES),
+        "doctor": lambda: dense_index(star.dims["doctor"], ["DoctorID"], "doctor"),
+        "patient": lambda: dense_index(star.dims["patient"], ["PatientID"], "patient"),
+    })
 
 
 def dictionary_checks(star: Star, coding: Encoding = Encoding()) -> DataFrame:
@@ -67,27 +71,42 @@ def dictionary_checks(star: Star, coding: Encoding = Encoding()) -> DataFrame:
     return union_periods(sizes)
 
 
-def encode_facts(star: Star, codes: dict[str, DataFrame], coding: Encoding = Encoding()) -> DataFrame:
-    """One row of small integers per visit."""
-    keys = {name: [c for c in df.columns if c not in ("dept", "pay", "doctor", "patient")] for name, df in codes.items()}
-    columns = [c for names in keys.values() for c in names]
-    df = star.flat(
-        "VisitID", "VisitDate", "AgeBand", "SatisfactionScore", "WaitTimeMinutes", "BillAmount",
-        *dict.fromkeys(columns),
-    )
-    for name, table in codes.items():
-        df = df.join(table, keys[name])
+def _required(value: Column, fits: Column, what: str) -> Column:
+    """``value``, or an error naming the visit: the extract cannot hold it, and a row that
+    is left out or cut to its code would falsify every total."""
+    message = F.concat(F.lit("visit "), F.coalesce(F.col("VisitID"), F.lit("without an id")), F.lit(f": {what}"))
+    return F.when(fits, value).otherwise(F.raise_error(message))
+
+
+def with_codes(star: Star, codes: Mapping[str, DataFrame], coding: Encoding) -> Star:
+    """The star with the codes attached to its dimensions, so that the fact meets each once."""
+    keys = {"department": list(coding.department), "payment": list(coding.payment), "doctor": ["DoctorID"], "patient": ["PatientID"]}
+    coded = {name: star.dims[name].join(codes[name], on) for name, on in keys.items()}
+    return replace(star, dims={**{n: star.dims[n] for n in star.dims if n not in coded}, **coded})
+
+
+def encode_facts(star: Star, codes: Mapping[str, DataFrame], coding: Encoding = Encoding()) -> DataFrame:
+    """One row of small integers per visit. Stops at a visit with an unknown or missing key
+    or birth date, or with a month, wait or bill its code cannot hold."""
+    df = with_codes(star, codes, coding).flat(
+        "VisitID", "VisitDate", "AgeBand", "SatisfactionScore", "WaitTimeMinutes", "BillAmount", "dept", "pay", "doctor", "patient")
+    month = (F.year("VisitDate") - coding.base_year) * 12 + F.month("VisitDate") - 1
+    wait, bill = F.col("WaitTimeMinutes"), (F.bround("BillAmount", 0) - coding.bill_offset).cast("int")
+    known = lambda code, what: _required(F.col(code), F.col(code).isNotNull(), f"unknown {what}")
+    age = band_order(F.col("AgeBand"), AGE_BANDS) - 1
     return df.select(
         "VisitID",
-        month_week(F.col("VisitDate"), coding.base_year).alias("monthweek"),
-        F.col("dept").cast("int").alias("dept"), F.col("pay").cast("int").alias("pay"),
-        (band_order(F.col("AgeBand"), AGE_BANDS) - 1).alias("age"),
-        "doctor", F.col("SatisfactionScore").alias("sat"), F.col("WaitTimeMinutes").alias("wait"),
-        (F.bround("BillAmount", 0) - coding.bill_offset).cast("int").alias("bill"), "patient",
+        _required(month_week(F.col("VisitDate"), coding.base_year), month.between(0, min(coding.months, MONTH_MASK + 1) - 1), "month out of range").alias("monthweek"),
+        known("dept", "department").cast("int").alias("dept"), known("pay", "payment method").cast("int").alias("pay"),
+        _required(age, age.isNotNull(), "no birth date").alias("age"),
+        known("doctor", "doctor").alias("doctor"), F.col("SatisfactionScore").alias("sat"),
+        _required(wait, wait.between(0, 255), "wait does not fit a byte").alias("wait"),
+        _required(bill, bill.between(0, 256**coding.bill_bytes - 1), f"bill does not fit {coding.bill_bytes} bytes").alias("bill"),
+        known("patient", "patient").alias("patient"),
     )
 
 
-def decode_facts(encoded: DataFrame, codes: dict[str, DataFrame], coding: Encoding = Encoding()) -> DataFrame:
+def decode_facts(encoded: DataFrame, codes: Mapping[str, DataFrame], coding: Encoding = Encoding()) -> DataFrame:
     """Codes back to values; the date comes back as its month and day type."""
     month = F.col("monthweek").bitwiseAND(MONTH_MASK)
     weekend = F.col("monthweek").bitwiseAND(WEEKEND_BIT) != 0
@@ -106,13 +125,14 @@ def decode_facts(encoded: DataFrame, codes: dict[str, DataFrame], coding: Encodi
     )
 
 
-def extract_meta(star: Star, codes: dict[str, DataFrame], coding: Encoding = Encoding()) -> DataFrame:
-    """What a reader of the extract needs: every code with its name, in code order."""
+def extract_meta(star: Star, codes: Mapping[str, DataFrame], coding: Encoding = Encoding(), source: str = "unknown") -> DataFrame:
+    """What a reader of the extract needs: its size and offsets, where it comes from, and
+    every code with its name."""
     bands = F.array(*(
         F.struct(F.lit(i).cast("bigint").alias("Code"), F.lit(label).alias("Name"))
         for i, (_, label) in enumerate(AGE_BANDS)
     ))
-    none, session = F.lit(None).cast("string"), codes["payment"].sparkSession
+    none, session = F.lit(None).cast("string"), star.dims["payment"].sparkSession
     parts = [session.range(1).select(F.inline(bands)).select(
         F.lit("age").alias("Dictionary"), "Code", "Name", none.alias("Category")
     )]
@@ -127,6 +147,13 @@ def extract_meta(star: Star, codes: dict[str, DataFrame], coding: Encoding = Enc
             F.col(label).alias("Name"), category.alias("Category"),
         )
         parts.append(named.distinct())
+    figures = [("base year", F.lit(coding.base_year)), ("months", F.lit(coding.months)), ("bill offset", F.lit(coding.bill_offset)),
+               ("rows", star.visits("VisitID").agg(F.count(F.lit(1))).scalar()),
+               ("patients", star.dims["patient"].agg(F.count_distinct("PatientID")).scalar())]
+    row = lambda name, value, note: F.struct(
+        F.lit("extract").alias("Dictionary"), value.cast("bigint").alias("Code"), F.lit(name).alias("Name"), note.alias("Category"))
+    described = [row(name, value, none) for name, value in figures] + [row("source", F.lit(None), F.lit(source))]
+    parts.append(session.range(1).select(F.inline(F.array(*described))))
     return union_periods(parts)
 
 

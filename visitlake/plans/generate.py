@@ -3,7 +3,7 @@ job is a map without a shuffle and runs at any row count."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from visitlake.functions.bands import WAIT_SCORES, banded
@@ -127,7 +127,14 @@ def _date(text: str) -> Column:
     return F.lit(text).cast("date")
 
 
-def split_by_period(df: DataFrame, date_column: str, ranges, path: str) -> None:
-    """Writes one Parquet folder per period; rows outside every range are left out."""
-    routed = with_period(df, date_column, ranges).filter("Period is not null")
+OUTSIDE = "outside"
+
+
+def split_by_period(df: DataFrame, date_column: str, ranges, path: str) -> int:
+    """Writes one Parquet folder per period, and rows outside every range to a folder of
+    their own; returns how many those are, so that a caller can stop on them."""
+    counted = Observation()
+    routed = with_period(df, date_column, ranges).withColumn("Period", F.coalesce("Period", F.lit(OUTSIDE)))
+    routed = routed.observe(counted, F.count_if(F.col("Period") == OUTSIDE).alias("outside"))
     routed.write.mode("overwrite").partitionBy("Period").parquet(path)
+    return counted.get["outside"]

@@ -28,7 +28,6 @@ from visitlake.plans.analysis import MIN_RANKED_VISITS, SHORT_WAIT
 
 SATISFIED_SCORE = 4
 DATE_COLUMNS = {"VisitDate", *CALENDAR}
-CHRONOLOGICAL = {"VisitDate", "MonthStart", "YearMonth", "Year"}
 DEPARTMENT_COLUMNS = {"DepartmentID", "DepartmentName", "DepartmentCategory"}
 DOCTOR_COLUMNS = {"DoctorID", "DoctorName"}
 
@@ -281,6 +280,8 @@ def _with_prior_year(out: DataFrame, star: Star, by: list[str], filters: dict) -
         )
     kept = [c for c in by if c not in DATE_COLUMNS]
     undated = {c: v for c, v in filters.items() if c not in DATE_COLUMNS}
+    if filters.get("Year"):  # rows show those years only, so the scan may skip all but the ones before them
+        undated["Year"] = sorted({y - 1 for y in filters["Year"]})
     prior = visits_in(star, [*kept, "Year", "BillAmount"], undated).groupBy(*kept, "Year").agg(
         F.count(F.lit(1)).alias("VisitsLY"), F.sum("BillAmount").alias("RevenueLY")
     )
@@ -288,23 +289,65 @@ def _with_prior_year(out: DataFrame, star: Star, by: list[str], filters: dict) -
     return _join(out.withColumn("_year", year), prior, [*kept, "_year"]).drop("_year")
 
 
-def _with_running(out: DataFrame, by: list[str]) -> DataFrame:
-    dates = [c for c in by if c in DATE_COLUMNS]
-    if dates and not (CHRONOLOGICAL.intersection(dates) or {"Year", "MonthNumber"} <= set(dates)):
-        raise ValueError(f"running totals need a chronological date column, not {dates}")
-    kept = [c for c in by if c not in DATE_COLUMNS]
+def _chronology(dates: list[str]) -> list[str] | None:
+    """The columns that order rows in time, where each row is one stretch of days."""
+    months = {"Year", "MonthNumber", "MonthName", "MonthStart", "YearMonth"}
+    if "VisitDate" in dates:
+        return ["VisitDate"]
+    if not set(dates) <= months:
+        return None
+    for column in ("MonthStart", "YearMonth"):
+        if column in dates:
+            return [column]
+    if {"Year", "MonthNumber"} <= set(dates):
+        return ["Year", "MonthNumber"]
+    return ["Year"] if dates == ["Year"] else None
+
+
+def _with_running(out: DataFrame, star: Star, by: list[str], filters: dict) -> DataFrame:
+    """Everything selected up to the last calendar day a row stands for, whatever other days
+    (of another day type, say) lie before it."""
+    dates, kept = [c for c in by if c in DATE_COLUMNS], [c for c in by if c not in DATE_COLUMNS]
     pairs = {"CumulativeVisits": "TotalVisits", "CumulativeRevenue": "TotalRevenue"}
     present = {new: old for new, old in pairs.items() if old in out.columns}
     if not dates:
         return out.withColumns({new: F.col(old) for new, old in present.items()})
-    return out.withColumns({new: running_total(old, dates, kept) for new, old in present.items()})
-
-
-def _with_department_rank(out: DataFrame, by: list[str]) -> DataFrame:
-    if "DepartmentName" not in by:
-        return out.withColumn("RevenueRankInCategory", F.lit(None).cast("int"))
-    peers = ["DepartmentCategory", *(c for c in by if c not in DEPARTMENT_COLUMNS)]
-    return dense_ranked(out, peers, [F.desc("TotalRevenue")], "RevenueRankInCategory")
+    order = _chronology(dates)
+    if order:
+        return out.withColumns({new: running_total(old, order, kept) for new, old in present.items()})
+    daily = visits_in(star, [*kept, "VisitDate", "BillAmount"], filters).groupBy(*kept, "VisitDate").agg(
+        *(ADDITIVE[old][1]().alias(new) for new, old in present.items()))
+    last = calendar_of(daily).groupBy(*dates).agg(F.max("Date").alias("_last"))
+    out = _join(out, last, dates)
+    # One row for each last day asked about goes in among the days, and reads the running sum there.
+    asked = out.select(*kept, F.col("_last").alias("VisitDate"), *(F.lit(None).alias(new) for new in present)).distinct()
+    days = daily.withColumn("_asked", F.lit(0)).unionByName(asked.withColumn("_asked", F.lit(1)))
+    days = days.groupBy(*kept, "VisitDate", "_asked").agg(*(F.sum(new).alias(new) for new in present))
+    days = days.withColumns({new: running_total(new, ["VisitDate", "_asked"], kept) for new in present})
+    found = days.filter("_asked = 1").select(*kept, F.col("VisitDate").alias("_last"), *present)
+    return _join(out, found, [*kept, "_last"]).drop("_last")
+
+
+def _with_department_rank(out: DataFrame, star: Star, by: list[str]) -> DataFrame:
+    """Dense rank by revenue among the departments of the row's category; by name alone,
+    among the names that share a category with it. NULL where no single department is in context."""
+    alias, others = "RevenueRankInCategory", [c for c in by if c not in DEPARTMENT_COLUMNS]
+    if not {"DepartmentName", "DepartmentID"} & set(by):
+        return out.withColumn(alias, F.lit(None).cast("int"))
+    if "DepartmentCategory" in by:
+        return dense_ranked(out, ["DepartmentCategory", *others], [F.desc("TotalRevenue")], alias)
+    dim = star.dims["department"]
+    if "DepartmentID" in by:
+        category = dim.select(F.col("DepartmentID").alias("_id"), F.col("DepartmentCategory").alias("_category"))
+        ranked = out.join(category, F.col("DepartmentID") == F.col("_id"), "left")
+        return dense_ranked(ranked, ["_category", *others], [F.desc("TotalRevenue")], alias).drop("_id", "_category")
+    names = dim.select("DepartmentName", "DepartmentCategory").distinct()
+    # As many rows as departments have peers, not visits.
+    peers = names.join(names.toDF("_peer", "DepartmentCategory"), "DepartmentCategory").select("DepartmentName", "_peer").distinct()
+    revenue = out.select(F.col("DepartmentName").alias("_peer"), *others, F.col("TotalRevenue").alias("_theirs"))
+    theirs = _join(out.select(*by, "TotalRevenue").join(peers, "DepartmentName"), revenue, ["_peer", *others])
+    ranks = theirs.groupBy(*by).agg((F.count_distinct(F.when(F.col("_theirs") > F.col("TotalRevenue"), F.col("_theirs"))) + 1).cast("int").alias(alias))
+    return _join(out, ranks, by)
 
 
 def _with_category_revenue(out: DataFrame, star: Star, by: list[str], filters: dict) -> DataFrame:
@@ -316,16 +359,25 @@ def _with_category_revenue(out: DataFrame, star: Star, by: list[str], filters: d
     return _join(out, category, kept)
 
 
-def _with_doctor_rank(out: DataFrame, by: list[str], alias: str, points: Column, scale: int) -> DataFrame:
+def _with_doctor_rank(
+    out: DataFrame, star: Star, by: list[str], filters: dict, alias: str, points: Column, scale: int
+) -> DataFrame:
     """Dense rank by ``points`` per visit among doctors with enough visits; the rest, and
     rows that do not stand for one doctor, stay NULL. ``scale`` is what a score is worth
     in points, so scores from 1 to 5 spread over some 5,000 bins."""
-    if "DoctorID" not in by:
-        return out.withColumn(alias, F.lit(None).cast("bigint"))
     peers = [c for c in by if c not in DOCTOR_COLUMNS]
     key = exact_ratio(points, _c("TotalVisits"))
-    keyed = out.withColumn("_key", F.when(F.col("TotalVisits") >= MIN_RANKED_VISITS, key))
-    return dense_rank_by_value(keyed, "_key", alias, Decimal(1000) / scale, peers).drop("_key")
+    ranked = lambda rows: dense_rank_by_value(
+        rows.withColumn("_key", F.when(F.col("TotalVisits") >= MIN_RANKED_VISITS, key)), "_key", alias, Decimal(1000) / scale, peers).drop("_key")
+    if "DoctorID" in by:
+        return ranked(out)
+    if "DoctorName" not in by:
+        return out.withColumn(alias, F.lit(None).cast("bigint"))
+    # A name stands for a doctor if no other one bears it; the ranks are those of all doctors.
+    doctors = ranked(_sums_by(star, ["TotalVisits", "_Scores", "_Waits"], ["DoctorID", *peers], filters))
+    named = star.dims["doctor"].groupBy("DoctorName").agg(F.min("DoctorID").alias("DoctorID"), F.count_distinct("DoctorID").alias("_n"))
+    ranks = doctors.join(named.filter("_n = 1").drop("_n"), "DoctorID").select("DoctorName", *peers, alias)
+    return _join(out, ranks, ["DoctorName", *peers])
 
 
 def evaluate(star: Star, measures: list[str], by: list[str] = (), filters: dict | None = None) -> DataFrame:
@@ -340,17 +392,17 @@ def evaluate(star: Star, measures: list[str], by: list[str] = (), filters: dict
     if needed & {"VisitsLY", "RevenueLY"}:
         out = _with_prior_year(out, star, by, filters)
     if needed & {"CumulativeVisits", "CumulativeRevenue"}:
-        out = _with_running(out, by)
+        out = _with_running(out, star, by, filters)
     if needed & {"AllTotalRevenue", "AllTotalVisits"}:
         out = with_totals(out, ["TotalVisits", "TotalRevenue"])
     if "RevenueRankInCategory" in needed:
-        out = _with_department_rank(out, by)
+        out = _with_department_rank(out, star, by)
     if "CategoryRevenue" in needed:
         out = _with_category_revenue(out, star, by, filters)
     if "DoctorPerformanceRank" in needed:
-        out = _with_doctor_rank(out, by, "DoctorPerformanceRank", _c("_Scores"), 1)
+        out = _with_doctor_rank(out, star, by, filters, "DoctorPerformanceRank", _c("_Scores"), 1)
     if "DoctorPerformanceRankExact" in needed:
-        out = _with_doctor_rank(out, by, "DoctorPerformanceRankExact", _rank_points(), WAIT_WEIGHT)
+        out = _with_doctor_rank(out, star, by, filters, "DoctorPerformanceRankExact", _rank_points(), WAIT_WEIGHT)
     if "UnfilteredVisits" in needed:
         every = star.visits("VisitID").agg(F.count(F.lit(1)).alias("_n"))
         out = out.withColumn("UnfilteredVisits", every.scalar())

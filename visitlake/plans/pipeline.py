@@ -17,7 +17,9 @@ from visitlake.sources.tables import VISIT_COLUMNS
 
 def build(spark: SparkSession, raw: dict[str, DataFrame], alias: DataFrame, visits: int, folder: str) -> Star:
     """``raw`` holds patient, department, doctor, diagnosis, treatment and payment tables."""
-    split_by_period(generate_visits(numbers(spark, visits), visits), "VisitDate", PERIODS, f"{folder}/staging")
+    outside = split_by_period(generate_visits(numbers(spark, visits), visits), "VisitDate", PERIODS, f"{folder}/staging")
+    if outside:
+        raise RuntimeError(f"{outside} visits fall outside every period")
     staging = spark.read.parquet(f"{folder}/staging")
     dims = {
         "patient": stored(clean_patients(raw["patient"], alias), f"{folder}/patient"),

@@ -22,7 +22,7 @@ from visitlake.sources.tables import VISIT_COLUMNS
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
 CODING = crossfilter.Encoding(
-    base_year=testdata.BASE_YEAR, bill_offset=testdata.BILL_OFFSET,
+    base_year=testdata.BASE_YEAR, months=84, bill_offset=testdata.BILL_OFFSET, bill_bytes=3,
     department=("DepartmentCategory", "DepartmentName"),
 )
 
@@ -301,6 +301,11 @@ _measures(
 _measures(
     "m_cumulative", ["TotalVisits", "CumulativeVisits", "CumulativeRevenue"], ["DepartmentCategory", "MonthStart"]
 )
+_measures(
+    "m_cumulative_mixed", ["TotalVisits", "CumulativeVisits", "CumulativeRevenue"], ["MonthNumber", "Year", "DayType"]
+)
+_measures("m_dept_rank_by_name", ["TotalRevenue", "RevenueRankInCategory"], ["DepartmentName"])
+_measures("m_doctor_ranks_by_name", ["TotalVisits", "DoctorPerformanceRank", "DoctorPerformanceRankExact"], ["DoctorName"])
 _measures(
     "m_share", ["TotalVisits", "RevenueShareRatio", "VisitShareRatio"], ["DoctorID"], {"DayType": ["Weekday"]}
 )
@@ -381,7 +386,7 @@ def xf_roundtrip(spark, sf):
 @query
 def xf_meta(spark, sf):
     star = testdata.star(spark, sf)
-    return crossfilter.extract_meta(star, crossfilter.dictionaries(star, CODING), CODING)
+    return crossfilter.extract_meta(star, crossfilter.dictionaries(star, CODING), CODING, "orders")
 
 
 FILTERS = {
@@ -441,8 +446,8 @@ def _service(visits: DataFrame) -> DataFrame:
 def reconcile_values(spark, sf):
     """Departments whose figures change when duplicate visits are removed."""
     columns = ["VisitID", "VisitDate", "VisitTime", "DoctorID", "DepartmentID", "WaitTimeMinutes"]
-    raw = testdata.visits(spark, sf, *columns)
-    latest = windows.dedupe_latest(raw, "VisitID", ["VisitDate", "VisitTime"])
+    latest = windows.dedupe_latest(testdata.visits(spark, sf, *columns), "VisitID", ["VisitDate", "VisitTime"])
+    raw = testdata.visits(spark, sf, "DepartmentID", "WaitTimeMinutes")  # without the headers
     return reconcile.reconcile(_service(raw), _service(latest), ["DepartmentID"])
 
 

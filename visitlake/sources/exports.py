@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.operators.relational import union_periods
-from visitlake.sources.tables import MODEL_COLUMNS, read_export
+from visitlake.sources.tables import CSV_CELLS, MODEL_COLUMNS, read_export
 
 
 def model_table(df: DataFrame, name: str) -> DataFrame:
@@ -15,33 +14,28 @@ def model_table(df: DataFrame, name: str) -> DataFrame:
     return df.select(*columns).orderBy(columns[0])
 
 
-def export_csv(df: DataFrame, path: str, order_by: list[str] = ()) -> None:
-    """A folder of CSV files with headers; NULL is an empty cell. Files follow the sort
-    order when one is given."""
+def export_csv(df: DataFrame, path: str, order_by: list[str] = ()) -> int:
+    """A folder of CSV files with headers, without loss: NULL is an empty cell and an empty
+    text a quoted one, quotes are doubled, blanks and line breaks stay. Files follow the
+    sort order when one is given. Returns the rows, counted while they are written."""
+    counted = Observation()
     ordered = df.orderBy(*order_by) if order_by else df
-    ordered.write.mode("overwrite").option("header", True).csv(path)
+    ordered = ordered.observe(counted, F.count(F.lit(1)).alias("rows"))
+    ordered.write.mode("overwrite").options(**CSV_CELLS, emptyValue='""', nullValue="").csv(path)
+    return counted.get["rows"]
 
 
 def export_all(results: dict[str, DataFrame], folder: str, source: str) -> DataFrame:
     """Exports every result under its own name and returns the manifest: one row per
-    output with the rows read back from it."""
-    for name, df in results.items():
-        export_csv(df, f"{folder}/{name}")
-    return manifest(
-        {name: read_export(df.sparkSession, f"{folder}/{name}", df.schema) for name, df in results.items()},
-        source,
-    )
-
-
-def manifest(outputs: dict[str, DataFrame], source: str) -> DataFrame:
-    counts = [
-        df.agg(F.count(F.lit(1)).alias("RowCount")).select(
-            F.lit(name).alias("Output"), "RowCount", F.lit(source).alias("Source"),
-            F.lit("visitlake").alias("Producer"),
-        )
-        for name, df in outputs.items()
-    ]
-    return union_periods(counts)
+    output with the rows written."""
+    counts = {name: export_csv(df, f"{folder}/{name}") for name, df in results.items()}
+    spark = next(iter(results.values())).sparkSession
+    return manifest(spark, counts, source)
+
+
+def manifest(spark: SparkSession, counts: dict[str, int], source: str) -> DataFrame:
+    rows = [(name, count, source, "visitlake") for name, count in counts.items()]
+    return spark.createDataFrame(rows, "Output string, RowCount long, Source string, Producer string")
 
 
 def write_manifest(rows: DataFrame, path: str) -> None:

@@ -54,16 +54,37 @@ MODEL_COLUMNS = {
 def read_table(
     spark: SparkSession, path: str, schema: T.StructType | str, format: str = "parquet"
 ) -> DataFrame:
-    reader = spark.read.schema(schema)
     if format == "csv":
-        reader = reader.option("header", True).option("encoding", "UTF-8")
-    return reader.format(format).load(path)
+        return read_csv(spark, path, schema)
+    return spark.read.schema(schema).format(format).load(path)
+
+
+# How a CSV cell is written and read: with a header, doubled quotes, and all its blanks.
+CSV_CELLS = {
+    "header": True, "encoding": "UTF-8", "quote": '"', "escape": '"',
+    "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False,
+}
+NO_CELL = "\u0000"  # no cell holds it, so only a cell that is empty and not quoted is NULL
+
+
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    """A CSV with a header line, its columns found by name wherever they stand. Types come
+    from ``schema``; a cell that does not fit its type is NULL. A byte-order mark in front of
+    the first name is dropped; a missing column is an error that names it."""
+    declared = schema if isinstance(schema, T.StructType) else T.StructType.fromDDL(schema)
+    cells = spark.read.options(**CSV_CELLS, multiLine=True, inferSchema=False, nullValue=NO_CELL, emptyValue="").csv(path)
+    cells = cells.toDF(*(c.removeprefix("\ufeff") for c in cells.columns))
+    missing = [f.name for f in declared if f.name not in cells.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}")
+    return cells.select(*(
+        F.col(f"`{f.name}`") if isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name)
+        for f in declared
+    ))
 
 
 def read_export(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A CSV with a header line. Names and types come from ``schema``, so a byte-order
-    mark in front of the first header cell cannot leak into a column name."""
-    return read_table(spark, path, schema, "csv")
+    return read_csv(spark, path, schema)
 
 
 def literal_rows(spark: SparkSession, columns: list[str], rows: list[tuple]) -> DataFrame:
