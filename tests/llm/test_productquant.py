@@ -83,7 +83,8 @@ def test_looked_up_distances_are_those_of_the_codes():
     assert np.allclose(error[mine], np.linalg.norm(points[mine] - coded, axis=1))
 
 
-def test_recall_on_the_table(spark):
+def test_recall_on_the_table(spark, monkeypatch):
+    monkeypatch.setattr(Q, "TRAIN", 600)  # fewer than there are, as on a large table
     sf_dir = "/root/testdata/sf0.1"
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     unit = np.array([v for _, v in rows], dtype=float)

@@ -163,7 +163,9 @@ def linked(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     plain = keyed.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not total:
         return plain
-    sample = classes.orderBy("node").limit(TRAIN).select("embedding").toPandas()["embedding"]
+    # First by share, so that no task or the driver sorts more than a little over what is kept.
+    drawn = classes.filter(F.pmod("node", F.lit(1_000_000_007)) < int(min(1.0, 1.5 * TRAIN / total) * 1_000_000_007))
+    sample = drawn.orderBy("node").limit(TRAIN).select("embedding").toPandas()["embedding"]
     book = Codebook.fit(unit(pd.Series(packed(dtype, sample)), dtype), total, limit)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
