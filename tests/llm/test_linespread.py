@@ -63,6 +63,13 @@ def test_stage_updates_the_count(spark):
     assert {r.doc_id: r.n_chars for r in out.collect()} == {0: 0} | {i: 17 for i in range(1, 6)}
 
 
+def test_stage_removes_short_lines_by_their_spread(spark):
+    rows = [row(i, f"line of its own {i}\nLes.\n\n }} \nfour{i % 4}", f"s{i % 7}") for i in range(28)]
+    out = {r.doc_id: r.text for r in L.strip_documents(spark.createDataFrame(rows, SCHEMA)).collect()}
+    # "four0" and its like stand on all seven sites; blank lines stay.
+    assert out == {i: rows[i][1] if i == 0 else f"line of its own {i}\n" + (f"\nfour{i}" if i < 4 else "") for i in range(28)}
+
+
 def test_query_matches_sql(spark, sf_dir):
     duck = duckdb.connect()
     duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{sf_dir}/documents.parquet'")

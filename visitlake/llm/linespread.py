@@ -9,7 +9,8 @@ them; for lines near it the sites and texts are counted exactly.
 
 Lines at or over the limit are removed everywhere but in their home, the document with the
 smallest id that holds them, so no line vanishes from the corpus. Lines are the same if
-they differ in blanks around them only; shorter ones than ``MIN_CHARS`` are left alone.
+they differ in blanks around them only. The query leaves lines shorter than ``MIN_CHARS``
+alone, as its SQL does; the pipeline's stage takes every line that is not blank.
 DataFrame functions only.
 """
 
@@ -94,8 +95,8 @@ def remove_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
 
 
 def strip_documents(docs: DataFrame) -> DataFrame:
-    """The documents with their columns, texts and ``n_chars`` after removal."""
-    stripped = remove_boilerplate(docs)
+    """The documents with their columns, texts and ``n_chars`` after removal of boilerplate lines of any length."""
+    stripped = remove_boilerplate(docs, min_chars=1)
     count = F.length("text").cast("long")
     return stripped.select(*[F.when(F.col("__n_removed") > 0, count).otherwise(F.col("n_chars")).alias(c) if c == "n_chars"
                              else F.col(f"`{c}`") for c in docs.columns])
