@@ -69,6 +69,20 @@ def test_many_repositories_of_one_owner_are_an_example(spark):
     assert {r.n_live for r in scanned(spark, rows, max_repositories=4)} == {1}
 
 
+def test_bare_copies_of_any_live_value(spark):
+    values = ["hunter2x", "onlyletters", "20481632", "mixed1234567", "c2VjcmV0IHZhbHVlIDE=", "cGFkZGVkIHZhbHVlcw==", "Long1" * 10]
+    rows = [(i, f"password={v}", "a", "") for i, v in enumerate(values)]
+    rows += [(100 + i, f"one {v} and {v}. no x{v}", "b", "") for i, v in enumerate(values)]
+    # Owned by two under one normal form, so no copies; nothing below eight characters.
+    rows += [(200, "token: stopped12.", "a", ""), (201, "token: stopped12", "b", ""), (202, "bare stopped12", "c", ""), (203, "hunter2 xhunter2x", "c", "")]
+    got = {r.doc_id: r for r in scanned(spark, rows)}
+    for i, v in enumerate(values):
+        n, bare = len(v), len(v.rstrip("="))
+        assert got[i].n_live == 1 and got[100 + i].n_live == 2
+        assert got[100 + i].spans == f"copy:4:{4 + bare},copy:{9 + n}:{9 + n + bare}"
+    assert got[202].spans == got[203].spans == "" and got[200].n_example == got[201].n_example == 1
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.scan_documents(df, F.lit("a"), F.lit("b")).count() == 0

@@ -4,7 +4,10 @@ Patterns find candidates in every whole text. The hashes of their values are the
 over the whole corpus: a value that many owners or many repositories hold is an example
 copied from documentation, one that a single owner holds looks live. Live values are also
 found where they stand bare, without the words that gave them away elsewhere: those spans
-are added as ``copy``. Values themselves never leave the scan, only their hashes.
+are added as ``copy``. Every string as long as a value can be is a candidate for that; a first
+scan finds the live values, and a bitmap of their hashes keeps the second one from listing
+every word, before a join decides. Values are compared without trailing ``TRAILING``, wherever
+they stand, and never leave the scan, only their hashes.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ import hashlib
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,7 +28,11 @@ ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 # The runs of 32 and more among the leftmost runs; a shorter run cannot hide a longer one.
 HEX = re.compile(r"[0-9a-f]{32,}")
-BARE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
+BARE = re.compile(r"[A-Za-z0-9+/_.=-]{8,}")
+#: Padding and punctuation: not told apart from what follows a value.
+TRAILING = ".=-"
+#: Bits of the bitmap of live hashes, named by their first six hexadecimal digits.
+BITS = 1 << 24
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 #: A value of at most this many owners and repositories looks live.
 MAX_OWNERS, MAX_REPOSITORIES = 1, 3
@@ -43,34 +51,59 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
-def bare_spans(text: str, base: list[tuple[int, int, int, str]]) -> list[tuple[int, int, int, str]]:
-    """Long strings of letters and digits outside the base spans: copies, if a live value is the same."""
+def hashed(value: str) -> str:
+    """The hash of a value's normal form."""
+    return hashlib.sha256((value.rstrip(TRAILING) or value).encode()).hexdigest()[:32]
+
+
+def bare_spans(text: str, base: list[tuple[int, int, int, str]], known: np.ndarray, met: dict[str, str | None]) -> list[tuple[int, int, int, str]]:
+    """Strings outside the base spans whose hash is in the bitmap: copies, if a live value is the same.
+
+    ``met`` keeps the hashes of strings met before, None for those that are not in the bitmap."""
     found = []
     for m in BARE.finditer(text):
-        value = m.group().rstrip(".=-")
-        end = m.start() + len(value)
-        if len(value) >= 16 and re.search("[0-9]", value) and re.search("[A-Za-z]", value):
+        value = m.group()
+        if value not in met:
+            digest = hashed(value)
+            bit = int(digest[:6], 16)
+            met[value] = digest if known[bit >> 5] >> (bit & 31) & 1 else None
+        if met[value] is not None:
+            end = m.start() + len(value.rstrip(TRAILING) or value)
             if all(end <= b[0] or m.start() >= b[2] for b in base):
                 found.append((m.start(), 3, end, value))
     return found
 
 
+def bitmap(values: DataFrame) -> np.ndarray:
+    """A bit for each ``value`` of hashes, as 32-bit words."""
+    bits = values.select(F.conv(F.substring("value", 1, 6), 16, 10).cast("long").alias("bit"))
+    words = bits.groupBy(F.expr("bit DIV 32").alias("word")).agg(F.expr("bit_or(shiftleft(1L, CAST(bit % 32 AS INT)))").alias("bits")).toPandas()
+    out = np.zeros(BITS // 32, dtype=np.uint32)
+    out[words["word"].to_numpy(dtype=int)] = words["bits"].to_numpy(dtype=np.uint32)
+    return out
+
+
 def named(spans: list[tuple[int, int, int, str]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end, _ in spans)
 
 
-def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for batch in batches:
-        rows = []
-        for text in batch["text"]:
-            text = text if isinstance(text, str) else ""
-            base = base_spans(text)
-            counts = [sum(b[1] == kind for b in base) for kind in range(3)]
-            found = [{"start": s, "kind": k, "end": e, "value": hashlib.sha256(v.encode()).hexdigest()[:32]}
-                     for s, k, e, v in base + bare_spans(text, base)]
-            rows.append((*counts, sha256_hex(named(base).encode()), found))
-        out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "found"], index=batch.index)
-        yield pd.concat([batch[["doc_id", "owner", "repository"]].astype({"doc_id": "Int64"}), out], axis=1)
+def scan(known: np.ndarray | None = None):
+    """Base spans of each text, and with a bitmap of live hashes what may be bare copies of them."""
+
+    def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows, met = [], {}
+            for text in batch["text"]:
+                text = text if isinstance(text, str) else ""
+                base = base_spans(text)
+                counts = [sum(b[1] == kind for b in base) for kind in range(3)]
+                bare = bare_spans(text, base, known, met) if known is not None else []
+                found = [{"start": s, "kind": k, "end": e, "value": hashed(v)} for s, k, e, v in base + bare]
+                rows.append((*counts, sha256_hex(named(base).encode()), found))
+            out = pd.DataFrame(rows, columns=["n_assign", "n_access", "n_hex", "base_sha256", "found"], index=batch.index)
+            yield pd.concat([batch[["doc_id", "owner", "repository"]].astype({"doc_id": "Int64"}), out], axis=1)
+
+    return of
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -90,11 +123,12 @@ def scan_documents(docs: DataFrame, owner: Column, repository: Column, doc_id: s
     """
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"),
                        F.coalesce(owner, F.lit("")).alias("owner"), F.coalesce(repository, F.lit("")).alias("repository"))
-    scanned = importable(rows).mapInPandas(scan, SCANNED)
+    live = (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)
+    first = importable(rows).mapInPandas(scan(), SCANNED).select("owner", "repository", F.explode("found").alias("f"))
+    scanned = rows.mapInPandas(scan(bitmap(ownership(first.select("owner", "repository", "f.*")).filter(live))), SCANNED)
     # The row number holds from here on, because it is written with the rows.
     rows = stored(scanned.withColumn("row", F.monotonically_increasing_id()))
     found = rows.select("row", "owner", "repository", F.explode("found").alias("f")).select("row", "owner", "repository", "f.*")
-    live = (F.col("n_owners") <= max_owners) & (F.col("n_repositories") <= max_repositories)
     known = ownership(found).select("value", live.alias("live"))
     spans = (found.join(known, "value").filter("kind < 3 OR live").groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("all"),
