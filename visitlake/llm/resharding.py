@@ -10,6 +10,10 @@ it. What stays is taken from the front, what leaves from the end, in runs of as
 as the flow says; so borders fall among the smallest rows, and a row goes where its middle
 lies. Offsets are block sums first and positions within a block second: nothing is ordered
 as a whole, the driver sees one number a shard.
+
+The old layout lies in files of that order, so what leaves a shard is in its last files. Only
+files that lose rows are read again and written, and moved rows come into files of their own;
+what is said about the new layout is read from its files.
 """
 
 from __future__ import annotations
@@ -21,10 +25,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlake.llm.common import narrow, stored
+from visitlake.session import scratch_path
 
 #: Rows a block should have, and the least number of blocks of a size class in a shard.
 BLOCK_ROWS, LEAST_BLOCKS = 50_000, 64
 BLOCK = ("old_shard", "klass", "block")
+#: Bytes of rows a file of a layout begins within; its last block may reach beyond.
+FILE_BYTES = 16 << 20
 
 
 def least_cost_flow(supply: Sequence[int], capacity: Sequence[int], cost: Sequence[Sequence[int]]) -> list[list[int]]:
@@ -84,11 +91,11 @@ def runs(flow: list[list[int]]) -> list[tuple[int, int, int, int]]:
     return out
 
 
-def sized(docs: DataFrame, old_shard: Column) -> DataFrame:
-    """``doc_id, size, text_crc32, old_shard``: a row's size is its bytes and one more."""
+def sized(docs: DataFrame, old_shard: Column, *more: str) -> DataFrame:
+    """``doc_id, size, text_crc32, old_shard`` and ``more``: a row's size is its bytes and one more."""
     text = F.coalesce(F.col("text"), F.lit(""))
     return docs.select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
-                       F.crc32(text.cast("binary")).alias("text_crc32"), old_shard.cast("int").alias("old_shard"))
+                       F.crc32(text.cast("binary")).alias("text_crc32"), old_shard.cast("int").alias("old_shard"), *more)
 
 
 def by_hash(shards: int) -> Column:
@@ -101,18 +108,18 @@ def before(value: str, *order: str) -> Column:
     return F.coalesce(F.sum(value).over(Window.partitionBy(order[0]).orderBy(*order[1:]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
 
 
-def reshard(rows: DataFrame, old_shards: int, capacities: Sequence[int] | int) -> DataFrame:
-    """Adds ``shard, slot, klass, block`` to rows with ``doc_id, size, text_crc32, old_shard``.
-
-    ``capacities`` are bytes, or a number of shards to be made equal. Every row is placed;
-    slots count from 0 in each shard without a gap. Repeated rows and rows without an id are
-    rows like others; ties in all columns are interchangeable. An empty table stays empty.
-    """
+def filed(rows: DataFrame, old_shards: int, n: int) -> DataFrame:
+    """Adds ``klass, block`` to a table of ``n`` rows."""
     klass = F.floor(F.log2("size")).cast("int")
+    spread = max(LEAST_BLOCKS, -(-n // (BLOCK_ROWS * max(old_shards, 1))))
+    return rows.withColumn("klass", -klass).withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(spread)).cast("int"))
+
+
+def place(rows: DataFrame, old_shards: int, capacities: Sequence[int] | int) -> DataFrame:
+    """Adds ``shard, klass, block`` to rows with ``doc_id, size, text_crc32, old_shard``."""
     total = rows.agg(F.count("*").alias("n"), F.coalesce(F.sum("size"), F.lit(0)).alias("bytes")).first()
-    spread = max(LEAST_BLOCKS, -(-total["n"] // (BLOCK_ROWS * max(old_shards, 1))))
-    filed = rows.withColumn("klass", -klass).withColumn("block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(spread)).cast("int"))
-    blocks = stored(filed.groupBy(*BLOCK).agg(F.sum("size").alias("bytes")))
+    ordered = filed(rows, old_shards, total["n"])
+    blocks = stored(ordered.groupBy(*BLOCK).agg(F.sum("size").alias("bytes")))
     supply = [0] * old_shards
     for r in blocks.groupBy("old_shard").agg(F.sum("bytes").alias("bytes")).collect():
         supply[r.old_shard] = r.bytes
@@ -126,26 +133,65 @@ def reshard(rows: DataFrame, old_shards: int, capacities: Sequence[int] | int) -
     within = F.coalesce(F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     middle = F.col("offset") + F.col("within") + F.col("size") / 2
     shard = F.coalesce(*[F.when((F.col("old_shard") == i) & (middle >= start) & (middle < end), j) for i, start, end, j in plan], F.lit(0))
-    placed = stored(filed.withColumn("within", within).join(offsets, list(BLOCK)).withColumn("shard", shard).drop("within", "offset"))
+    return stored(ordered.withColumn("within", within).join(offsets, list(BLOCK)).withColumn("shard", shard).drop("within", "offset"))
+
 
+def numbered(placed: DataFrame) -> DataFrame:
+    """Adds ``slot``: the place in the shard, by its blocks and the order within them."""
     key = ["shard", *BLOCK]
     firsts = placed.groupBy(*key).agg(F.count("*").alias("n")).withColumn("first", before("n", *key)).drop("n")
     rank = F.row_number().over(Window.partitionBy(*key).orderBy(F.desc("size"), "doc_id", "text_crc32"))
     return placed.withColumn("rank", rank).join(firsts, key).withColumn("slot", F.col("first") + F.col("rank") - 1).drop("first", "rank")
 
 
+def reshard(rows: DataFrame, old_shards: int, capacities: Sequence[int] | int) -> DataFrame:
+    """Adds ``shard, slot, klass, block`` to rows with ``doc_id, size, text_crc32, old_shard``.
+
+    ``capacities`` are bytes, or a number of shards to be made equal. Every row is placed;
+    slots count from 0 in each shard without a gap. Repeated rows and rows without an id are
+    rows like others; ties in all columns are interchangeable. An empty table stays empty.
+    """
+    return numbered(place(rows, old_shards, capacities))
+
+
+def old_layout(rows: DataFrame, old_shards: int, n: int, folder: str) -> DataFrame:
+    """Writes ``n`` rows with their text into files in the order of their blocks, each with a ``row``
+    of its own; returns the manifest."""
+    ordered = filed(rows, old_shards, n)
+    offsets = ordered.groupBy(*BLOCK).agg(F.sum("size").alias("bytes")).withColumn("offset", before("bytes", *BLOCK))
+    name = F.concat(F.lit("from"), "old_shard", F.lit("_"), F.floor(F.col("offset") / FILE_BYTES))
+    files = stored(offsets.select(*BLOCK, name.alias("block_name")))
+    numbers = ordered.withColumn("row", F.monotonically_increasing_id())
+    return write_layout(numbers.join(F.broadcast(files), list(BLOCK)).select(
+        "row", "doc_id", "text", "old_shard", F.col("old_shard").alias("shard"), "block_name"), folder)
+
+
 def by_bytes(docs: DataFrame, shards: int, old_shards: int, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """All documents from an old layout by id into shards of near equal bytes, moving the fewest bytes."""
-    rows = stored(sized(narrow(docs, doc_id=doc_id, text=text), by_hash(old_shards)))
-    return reshard(rows, old_shards, shards)
+    """All documents from an old layout by id into shards of near equal bytes, moving the fewest bytes.
+
+    The old layout is written under the shared folder and its affected files are rewritten;
+    sizes, checksums, shards and slots are those of the files of the new one."""
+    rows = sized(narrow(docs, doc_id=doc_id, text=text), by_hash(old_shards), "text")
+    n = rows.count()
+    if not n:
+        return reshard(rows.drop("text"), old_shards, shards)
+    folder = scratch_path(docs.sparkSession, "layout")
+    manifest = old_layout(rows, old_shards, n, folder)
+    old = stored(sized(read_layout(manifest, folder), F.col("shard"), "row"))
+    moves = place(old, old_shards, shards).filter("shard <> old_shard").select(
+        "row", F.col("old_shard").alias("shard"), F.col("shard").alias("new_shard"))
+    after, _ = rewrite_affected(manifest, folder, moves, "row")
+    new = stored(sized(read_layout(after, folder), F.col("old_shard"), "shard"))
+    return numbered(filed(new, old_shards, n))
 
 
 # Files: a layout is a manifest of (shard, block, version) over folders of one version each.
 
 
 def _write(rows: DataFrame, folder: str, version: str) -> DataFrame:
-    rows.write.partitionBy("shard", "block_name").parquet(f"{folder}/{version}")
-    return rows.groupBy("shard", "block_name").agg(F.count("*").alias("n")).withColumn("version", F.lit(version))
+    rows.repartition("shard", "block_name").write.partitionBy("shard", "block_name").parquet(f"{folder}/{version}")
+    there = rows.sparkSession.read.schema(rows.schema).parquet(f"{folder}/{version}")
+    return there.groupBy("shard", "block_name").agg(F.count("*").alias("n")).withColumn("version", F.lit(version))
 
 
 def write_layout(rows: DataFrame, folder: str) -> DataFrame:
@@ -165,22 +211,24 @@ def read_layout(manifest: DataFrame, folder: str) -> DataFrame:
     return out
 
 
-def rewrite_affected(manifest: DataFrame, folder: str, moves: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Applies ``moves`` (``doc_id, shard, new_shard``; moved rows only) to a layout.
+def rewrite_affected(manifest: DataFrame, folder: str, moves: DataFrame, key: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """Applies ``moves`` (``key, shard, new_shard``; moved rows only) to a layout.
 
+    ``key`` names the rows of a shard: rows of one shard that share it, or have none, move
+    together, to the smallest shard named. Where they may part, take a number of each row.
     Blocks that lose or gain no row keep their files; the others are written anew under a
     version of their own, so readers of the old manifest are not disturbed and a failed run
     leaves it valid. Returns the new manifest and the blocks that were written.
     """
     version = f"v-{uuid.uuid4().hex}"
     layout = read_layout(manifest, folder)
-    moved = moves.select("doc_id", F.col("shard").alias("from"), "new_shard")
-    found = layout.join(moved, (layout["doc_id"].eqNullSafe(moved["doc_id"])) & (layout["shard"] == moved["from"])).select(
-        layout["shard"], layout["block_name"], "new_shard")
-    touched = stored(found.select("shard", "block_name").union(found.select("new_shard", "block_name")).distinct())
-    again = layout.join(touched, ["shard", "block_name"], "left_semi")
-    target = again.join(moved.withColumnRenamed("doc_id", "__id"), again["doc_id"].eqNullSafe(F.col("__id")) & (again["shard"] == F.col("from")), "left")
-    rows = target.withColumn("shard", F.coalesce("new_shard", "shard")).select(*layout.columns)
+    moved = moves.groupBy(F.col(key).alias("__key"), F.col("shard").alias("__from")).agg(F.min("new_shard").alias("__to"))
+    same = layout[key].eqNullSafe(F.col("__key")) & (layout["shard"] == F.col("__from"))
+    found = layout.join(moved, same).select("shard", "block_name", "__to")
+    touched = stored(found.select("shard", "block_name").union(found.select("__to", "block_name")).distinct())
+    again = layout.join(F.broadcast(touched), ["shard", "block_name"], "left_semi").select(*layout.columns)
+    target = again.join(moved, again[key].eqNullSafe(F.col("__key")) & (again["shard"] == F.col("__from")), "left")
+    rows = target.withColumn("shard", F.coalesce("__to", "shard")).select(*layout.columns)
     written = _write(rows, folder, version)
     kept = manifest.join(touched, ["shard", "block_name"], "left_anti")
     return stored(kept.unionByName(written.select(*kept.columns))), touched
