@@ -64,6 +64,16 @@ def test_repeated_rows_and_missing_ids(spark):
     assert got == sorted([(5, 2, 5, True), (5, 2, 5, True), (None, 2, 5, False), (9, 0, 9, True), (None, 0, None, True)], key=repr)
 
 
+def test_every_length_links_on_its_own(spark):
+    rng = np.random.default_rng(5)
+    long, short = rng.normal(size=(30, 16)), rng.normal(size=(20, 8))
+    vectors = [v for x in (long, short) for v in (*x, *x, *(x + rng.normal(size=x.shape) * 0.01))] + [[1.0, 2.0, 3.0]] * 2 + [[5.0]]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    own = list(range(30)) * 3 + [90 + i for i in range(20)] * 3 + [150, 150, 152]
+    got = run(spark, rows)
+    assert got == [(i, sum(o == own[i] for o in own) - 1, own[i], i == own[i]) for i in range(len(rows))]
+
+
 def test_empty(spark):
     assert Q.linked(spark.createDataFrame([], SCHEMA)).count() == 0
     assert run(spark, [(1, None), (2, [])]) == [(1, 0, 1, True), (2, 0, 2, True)]

@@ -14,7 +14,8 @@ lists as well as in the filter on the looked-up distances. Lists and vectors mee
 of bounded size, so a crowd of near copies is spread over many tasks, and a block returns
 counts and a spanning forest of its links, never all of them.
 
-Centroids are fitted on at most ``TRAIN`` classes, picked by hash; every row is indexed.
+Vectors of one length are compared with each other, each length by an index of its own.
+Centroids are fitted on at most ``TRAIN`` classes of it, picked by hash; every row is indexed.
 """
 
 from __future__ import annotations
@@ -130,13 +131,10 @@ def forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
 
 def classes_of(vectors: DataFrame) -> DataFrame:
     """``vec_id, vector, key`` of all rows; ``key`` is null where the vector links with nothing."""
-    size = F.size("embedding")
     wide = F.col("embedding").cast("array<double>")
     sound = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))) & (
         F.exists("embedding", lambda v: v != 0))
-    usual = (vectors.filter(size > 0).groupBy(size.alias("size")).count().orderBy(F.desc("count"), "size").limit(1).collect())
-    dimension = usual[0]["size"] if usual else 0
-    key = F.when((size == dimension) & sound, F.md5(F.to_json(F.struct(F.transform(wide, lambda v: v + 0.0).alias("v"))).cast("binary")))
+    key = F.when((F.size("embedding") > 0) & sound, F.md5(F.to_json(F.struct(F.transform(wide, lambda v: v + 0.0).alias("v"))).cast("binary")))
     return vectors.withColumn("key", key)
 
 
@@ -144,25 +142,8 @@ def packed(dtype: str, vectors: pd.Series) -> list[bytes]:
     return [np.asarray(v, dtype=dtype).tobytes() for v in vectors]
 
 
-def linked(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", limit: float = LIMIT) -> DataFrame:
-    """``vec_id, n_links, component_id, kept`` for every row.
-
-    ``n_links`` counts the other rows whose cosine is at least ``limit``, equal vectors
-    among them; a component is named by its smallest id. Null, empty and zero vectors, those
-    with null or non-finite components, and those whose length is not the most frequent one
-    link with nothing. Rows of one id are taken for rows of their own, with equal results if
-    equal; rows without an id count as links but name no component.
-    """
-    rows = narrow(importable(vectors), vec_id=vec_id, embedding=embedding)
-    dtype = "<f4" if "float" in dict(rows.dtypes)["embedding"] else "<f8"
-    keyed = stored(classes_of(rows))
-    named = keyed.filter("key IS NOT NULL").groupBy("key").agg(
-        F.min("vec_id").alias("first"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
-    classes = stored(named.withColumn("node", F.xxhash64("key")))
-    total = classes.count()
-    plain = keyed.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
-    if not total:
-        return plain
+def links_of(classes: DataFrame, total: int, dtype: str, limit: float) -> DataFrame:
+    """Counts and spanning links (``a, b, n_links``) of ``total`` classes of one length: ``node, n, embedding``."""
     # First by share, so that no task or the driver sorts more than a little over what is kept.
     drawn = classes.filter(F.pmod("node", F.lit(1_000_000_007)) < int(min(1.0, 1.5 * TRAIN / total) * 1_000_000_007))
     sample = drawn.orderBy("node").limit(TRAIN).select("embedding").toPandas()["embedding"]
@@ -218,7 +199,33 @@ def linked(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
             pd.DataFrame({"a": [ids_x[p] for p, _ in edges], "b": [ids_y[q] for _, q in edges], "n_links": 0}),
         ]).astype({"a": "Int64", "b": "Int64", "n_links": "int64"})
 
-    found = stored(visitors.groupBy("list", "m", "v").cogroup(members.groupBy("list", "m", "v")).applyInPandas(compare, FOUND))
+    return stored(visitors.groupBy("list", "m", "v").cogroup(members.groupBy("list", "m", "v")).applyInPandas(compare, FOUND))
+
+
+def linked(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding", limit: float = LIMIT) -> DataFrame:
+    """``vec_id, n_links, component_id, kept`` for every row.
+
+    ``n_links`` counts the other rows whose cosine is at least ``limit``, equal vectors
+    among them; a component is named by its smallest id. Null, empty and zero vectors and those
+    with null or non-finite components link with nothing; vectors link with those of their own
+    length only. Rows of one id are taken for rows of their own, with equal results if
+    equal; rows without an id count as links but name no component.
+    """
+    rows = narrow(importable(vectors), vec_id=vec_id, embedding=embedding)
+    dtype = "<f4" if "float" in dict(rows.dtypes)["embedding"] else "<f8"
+    keyed = stored(classes_of(rows))
+    named = keyed.filter("key IS NOT NULL").groupBy("key").agg(
+        F.min("vec_id").alias("first"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
+    classes = stored(named.withColumn("node", F.xxhash64("key")).withColumn("length", F.size("embedding")))
+    totals = {r["length"]: r["total"] for r in classes.groupBy("length").agg(F.count("*").alias("total")).collect()}
+    plain = keyed.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+    if not totals:
+        return plain
+    # A class that is the only one of its length has its own rows to link with, and no other.
+    found = classes.select(F.col("node").alias("a"), F.lit(None).cast("long").alias("b"), F.lit(0).cast("long").alias("n_links")).limit(0)
+    for length, total in sorted(totals.items()):
+        if total > 1:
+            found = found.union(links_of(classes.filter(F.col("length") == length), total, dtype, limit))
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("n_links").alias("others"))
     labels = components(found.filter("b IS NOT NULL"))
     placed = (classes.select("key", "node", "first", "n").join(counts, "node", "left").join(labels, "node", "left")
