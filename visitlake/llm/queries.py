@@ -7,7 +7,7 @@ from corpus_pipeline import run as run_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, hyperminhash, latent, linespread, productquant, resharding, secrets, suffixes, toxicity, urlrules
+from visitlake.llm import bpe, hyperminhash, latent, linespread, productquant, recompression, resharding, secrets, suffixes, toxicity, urlrules
 from visitlake.llm.common import read
 
 
@@ -59,6 +59,10 @@ def op10_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return productquant.linked(read(spark, sf_dir, "embeddings"))
 
 
+def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompression.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "pipeline": run_pipeline,
     "op1_latent_decontamination": op1_latent_decontamination,
@@ -71,6 +75,7 @@ QUERIES = {
     "op8_lyndon_suffixes": op8_lyndon_suffixes,
     "op9_secret_ownership": op9_secret_ownership,
     "op10_product_quantisation": op10_product_quantisation,
+    "op13_recompression": op13_recompression,
 }
 
 SQL: dict[str, str] = {
