@@ -7,7 +7,7 @@ from corpus_pipeline import run as run_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, hyperminhash, latent, linespread, productquant, recompression, resharding, secrets, suffixes, toxicity, urlrules
+from visitlake.llm import bpe, hyperminhash, kronecker, latent, linespread, productquant, recompression, resharding, secrets, suffixes, toxicity, urlrules
 from visitlake.llm.common import read
 
 
@@ -59,6 +59,12 @@ def op10_product_quantisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return productquant.linked(read(spark, sf_dir, "embeddings"))
 
 
+def op11_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Some labels are moved on by one, so that rows that are alike carry different ones."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return kronecker.mined(read(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0)
+
+
 def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(read(spark, sf_dir, "documents"))
 
@@ -75,10 +81,30 @@ QUERIES = {
     "op8_lyndon_suffixes": op8_lyndon_suffixes,
     "op9_secret_ownership": op9_secret_ownership,
     "op10_product_quantisation": op10_product_quantisation,
+    "op11_kronecker_negatives": op11_kronecker_negatives,
     "op13_recompression": op13_recompression,
 }
 
 SQL: dict[str, str] = {
+    "op11_kronecker_negatives": """
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM pairs WHERE same AND other <> anchor_id
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+)
+SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS INTEGER) AS rank,
+       other AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN pairs USING (anchor_id)
+WHERE NOT same AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+QUALIFY rank <= 5
+""",
     "op5_token_indexed_rules": f"""
 WITH rests AS (
   SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
