@@ -7,7 +7,7 @@ from corpus_pipeline import run as run_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from visitlake.llm import bpe, hyperminhash, kronecker, latent, linespread, productquant, recompression, resharding, secrets, suffixes, toxicity, urlrules
+from visitlake.llm import auction, bpe, hyperminhash, kronecker, latent, linespread, productquant, recompression, resharding, secrets, suffixes, toxicity, urlrules
 from visitlake.llm.common import read
 
 
@@ -65,6 +65,11 @@ def op11_kronecker_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kronecker.mined(read(spark, sf_dir, "embeddings"), label, F.col("vec_id") % 100 == 0)
 
 
+def op12_auction_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    return auction.repaired_conversations(conversations, auction.damaged(conversations))
+
+
 def op13_recompression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recompression.remove_repeats(read(spark, sf_dir, "documents"))
 
@@ -82,6 +87,7 @@ QUERIES = {
     "op9_secret_ownership": op9_secret_ownership,
     "op10_product_quantisation": op10_product_quantisation,
     "op11_kronecker_negatives": op11_kronecker_negatives,
+    "op12_auction_repair": op12_auction_repair,
     "op13_recompression": op13_recompression,
 }
 
