@@ -12,13 +12,16 @@ the same words finds the same symbol. So of all symbols whose support lies in a
 one of the highest round (of these: of smallest hash, then the leftmost) is the same in
 every window with the same words: the window's anchor, called by the words of its support.
 
+Neighbouring windows with equally named anchors form a run.
+
 1. The least and the greatest document of every anchor are gathered, combined before the
    shuffle. Only anchors met in more than one document can belong to a shared window; a
    bitmap of fixed size keeps them.
-2. The windows of those anchors are compared by anchor and content, 128 bits together: the
-   least document that holds a window decides whether the others lose its words.
+2. Of those, anchors that stand in runs of more than one content are marked in another bitmap.
+3. Runs of an anchor with one content are compared as a whole, the others window by window:
+   the least document that holds a piece decides whether the others lose its words.
 
-Nothing else is sent about windows whose anchor stands in one document only, and a window
+Nothing else is sent about windows whose anchor stands in one document only, and a piece
 that a third of all texts hold reaches the count as one row for each task and the join as a
 key that adaptive execution splits.
 """
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
@@ -45,9 +49,11 @@ BLANK = " \t\n\x0b\x0c\r"
 WORD = re.compile(rf"[^{BLANK}]+")
 BASE = 0x9E3779B97F4A7C15
 NO_ID = (1 << 63) - 1
+#: Bits of an anchor's name that the first two steps group by; equal ones only make them keep more.
+NAME_BITS = 40
 ANCHORS = "anchor long, low long, high long"
-STARTS = "anchor long, window long, doc_id long, text_hash long, start int"
-PACKED = "doc_id long, text_hash long, data binary"
+PIECES = "anchor int, content long, doc_id long, text_hash int, start int, count int"
+PACKED = "doc_id long, text_hash int, data binary"
 U = np.uint64
 
 
@@ -157,8 +163,8 @@ def least_in(key: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
-def anchored(words: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(start, anchor, content) of every window of the rows."""
+def anchored(words: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray, Contents]:
+    """Start and anchor of every window of the rows, and the hashes of the words."""
     starts = np.arange(max(0, len(words) - WINDOW + 1))
     starts = starts[row[starts] == row[starts + WINDOW - 1]]
     contents, anchor = Contents(words), np.zeros(len(starts), dtype=U)
@@ -182,25 +188,46 @@ def anchored(words: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.ndarray
         waiting = waiting[~some]
         if not len(waiting):
             break
-    return starts, anchor, contents.of(starts, starts + WINDOW)
+    return starts, anchor, contents
+
+
+@dataclass
+class Windows:
+    """Windows of some rows of a batch, and the runs they form."""
+
+    row: np.ndarray
+    start: np.ndarray
+    anchor: np.ndarray
+    content: np.ndarray
+    first: np.ndarray
+    count: np.ndarray
+    run_content: np.ndarray
+
+    @staticmethod
+    def of(row: np.ndarray, start: np.ndarray, anchor: np.ndarray, at: np.ndarray, contents: Contents) -> Windows:
+        """``at`` is where a window starts among the hashed words, ``start`` where in its own text."""
+        new = (row[1:] != row[:-1]) | (anchor[1:] != anchor[:-1])
+        first = np.flatnonzero(np.concatenate([[True], new])[: len(row)])
+        count = np.diff(np.append(first, len(row)))
+        return Windows(row, start, anchor, contents.of(at, at + WINDOW), first, count, contents.of(at[first], at[first] + count + WINDOW - 1))
 
 
 def as_bytes(text: object) -> bytes:
     return text.encode() if isinstance(text, str) else b""
 
 
-def parsed(texts: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """(row of the batch, start, anchor, content) of every window, in bounded portions."""
+def parsed(texts: pd.Series) -> Iterator[Windows]:
+    """The windows of all texts, in bounded portions."""
     waiting, size = [], 0
 
-    def together() -> Iterator[tuple[np.ndarray, ...]]:
+    def together() -> Windows:
         words, at = word_hashes(b" ".join(data for _, data in waiting))
         ends = np.cumsum([len(data) + 1 for _, data in waiting])
         owner = np.searchsorted(ends, at, side="right")
-        starts, anchor, content = anchored(words, owner)
+        starts, anchor, contents = anchored(words, owner)
         first = np.searchsorted(owner, np.arange(len(waiting)))
         own = owner[starts]
-        yield np.array([number for number, _ in waiting])[own], starts - first[own], anchor, content
+        return Windows.of(np.array([number for number, _ in waiting])[own], starts - first[own], anchor, starts, contents)
 
     for number, text in enumerate(texts):
         data = as_bytes(text)
@@ -208,33 +235,47 @@ def parsed(texts: pd.Series) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarra
             words = in_pieces(data)
             for offset in range(0, len(words) - WINDOW + 1, WORDS):
                 part = words[offset : offset + WORDS + WINDOW - 1]
-                starts, anchor, content = anchored(part, np.zeros(len(part), dtype=np.int64))
-                yield np.full(len(starts), number), starts + offset, anchor, content
+                starts, anchor, contents = anchored(part, np.zeros(len(part), dtype=np.int64))
+                yield Windows.of(np.full(len(starts), number), starts + offset, anchor, starts, contents)
             continue
         if size + len(data) > BYTES:
-            yield from together()
+            yield together()
             waiting, size = [], 0
         waiting.append((number, data))
         size += len(data) + 1
     if waiting:
-        yield from together()
+        yield together()
 
 
 def ids_of(batch: pd.DataFrame) -> np.ndarray:
     return batch["doc_id"].astype("Int64").fillna(NO_ID).to_numpy(dtype=np.int64)
 
 
+def named(anchor: np.ndarray) -> np.ndarray:
+    return (anchor >> U(64 - NAME_BITS)).astype(np.int64)
+
+
+def marked(bitmap: np.ndarray, names: np.ndarray) -> np.ndarray:
+    bit = names % (32 * len(bitmap))
+    return (bitmap[bit >> 5] >> (bit & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+
+
+def extremes(names: np.ndarray, values: np.ndarray) -> pd.DataFrame:
+    """The least and the greatest value of each name."""
+    order = np.argsort(names, kind="stable")
+    names, values = names[order], values[order]
+    first = np.flatnonzero(np.concatenate([[True], names[1:] != names[:-1]])[: len(names)])
+    if not len(first):
+        return pd.DataFrame({"anchor": first, "low": first, "high": first})
+    return pd.DataFrame({"anchor": names[first], "low": np.minimum.reduceat(values, first), "high": np.maximum.reduceat(values, first)})
+
+
 def find_anchors(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The least and the greatest document of each anchor, portion by portion."""
     for batch in batches:
         ids = ids_of(batch)
-        for number, _, anchor, _ in parsed(batch["text"]):
-            if not len(anchor):
-                continue
-            order = np.argsort(anchor, kind="stable")
-            anchor, owner = anchor[order], ids[number[order]]
-            first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-            yield pd.DataFrame({"anchor": anchor[first].view(np.int64), "low": np.minimum.reduceat(owner, first), "high": np.maximum.reduceat(owner, first)})
+        for found in parsed(batch["text"]):
+            yield extremes(named(found.anchor[found.first]), ids[found.row[found.first]])
 
 
 def bits_of(anchors: DataFrame, bits: int) -> np.ndarray:
@@ -250,25 +291,42 @@ def bits_of(anchors: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def shared_windows(rows: DataFrame, bits: int = BITS) -> DataFrame:
-    """``STARTS`` of every window whose anchor may stand in more than one document."""
-    shared = (rows.select("doc_id", "text").mapInPandas(find_anchors, ANCHORS).groupBy("anchor")
-              .agg(F.min("low").alias("low"), F.max("high").alias("high")).filter("low < high"))
-    known = rows.sparkSession.sparkContext.broadcast(bits_of(shared, bits))
+def spread(rows: DataFrame, found, bits: int) -> np.ndarray:
+    """A bitmap of the anchors for which ``found`` gives more than one value."""
+    each = rows.mapInPandas(found, ANCHORS).groupBy("anchor").agg(F.min("low").alias("low"), F.max("high").alias("high"))
+    return bits_of(each.filter("low < high"), bits)
+
 
-    def find_windows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        bitmap = known.value
+def pieces(rows: DataFrame, bits: int = BITS) -> DataFrame:
+    """``PIECES`` that may stand in more than one document: runs, or windows where runs of an anchor differ."""
+    context, texts = rows.sparkSession.sparkContext, rows.select("doc_id", "text")
+    shared = context.broadcast(spread(texts, find_anchors, bits))
+
+    def find_contents(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            ids, hashes = ids_of(batch), batch["text_hash"].to_numpy(dtype=np.int64)
-            for number, start, anchor, content in parsed(batch["text"]):
-                name = anchor.view(np.int64)
-                bit = np.mod(name, bits)
-                met = np.flatnonzero((bitmap[bit >> 5] >> (bit & 31).astype(np.uint32)) & np.uint32(1))
-                own = number[met]
-                yield pd.DataFrame({"anchor": name[met], "window": content[met].view(np.int64), "doc_id": ids[own], "text_hash": hashes[own],
-                                    "start": start[met].astype(np.int32)})
+            for found in parsed(batch["text"]):
+                names = named(found.anchor[found.first])
+                met = marked(shared.value, names)
+                yield extremes(names[met], found.run_content[met].view(np.int64))
+
+    mixed_up = context.broadcast(spread(texts, find_contents, bits))
 
-    return rows.mapInPandas(find_windows, STARTS)
+    def find_pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            ids, hashes = ids_of(batch), batch["text_hash"].to_numpy(dtype=np.int32)
+            for found in parsed(batch["text"]):
+                names = named(found.anchor[found.first])
+                met, single = marked(shared.value, names), marked(mixed_up.value, names)
+                runs = np.flatnonzero(met & ~single)
+                windows = np.flatnonzero(np.repeat(met & single, found.count))
+                at = np.concatenate([found.first[runs], windows])
+                own = found.row[at]
+                yield pd.DataFrame({
+                    "anchor": found.anchor[at].astype(np.uint32).view(np.int32), "content": np.concatenate([found.run_content[runs], found.content[windows]]).view(np.int64),
+                    "doc_id": ids[own], "text_hash": hashes[own], "start": found.start[at].astype(np.int32),
+                    "count": np.concatenate([found.count[runs], np.ones(len(windows), dtype=np.int64)]).astype(np.int32)})
+
+    return rows.mapInPandas(find_pieces, PIECES)
 
 
 def squeezed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -278,15 +336,14 @@ def squeezed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"], "data": [squeeze(as_bytes(t)) for t in batch["text"]]})
 
 
-def without(text: str, starts: list[int] | None) -> tuple[int, list[str]]:
-    """How many words a text has, and those that no listed window covers."""
+def without(text: str, gone: list[dict] | None) -> tuple[int, list[str]]:
+    """How many words a text has, and those that no listed piece covers."""
     words = WORD.findall(text)
-    if starts is None or not len(starts):
+    if gone is None or not len(gone):
         return len(words), words
     edges = np.zeros(len(words) + 1, dtype=np.int64)
-    at = np.unique(np.asarray(starts, dtype=np.int64))
-    edges[at] += 1
-    edges[at + WINDOW] -= 1
+    np.add.at(edges, [p["start"] for p in gone], 1)
+    np.add.at(edges, [p["start"] + p["count"] - 1 + WINDOW for p in gone], -1)
     left = np.flatnonzero(np.cumsum(edges)[:-1] == 0)
     return len(words), [words[i] for i in left]
 
@@ -302,20 +359,20 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     columns = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text
     rows = narrow(importable(docs), doc_id=doc_id, text=text)
-    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.xxhash64("text"), F.lit(0)).alias("text_hash"))
-    starts = shared_windows(rows, bits)
-    least = starts.groupBy("anchor", "window").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high")
-    gone = starts.join(least.select("anchor", "window", "low"), ["anchor", "window"]).filter("low < doc_id")
+    rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.hash("text").alias("text_hash"))
+    held = pieces(rows, bits)
+    least = held.groupBy("anchor", "content").agg(F.min("doc_id").alias("low"))
+    gone = held.join(least, ["anchor", "content"]).filter("low < doc_id")
     own = F.when(F.col("doc_id") < NO_ID, F.col("doc_id"))
-    by_row = gone.groupBy("doc_id", "text_hash").agg(F.collect_set("start").alias("starts")).select(own.alias("w_id"), F.col("text_hash").alias("w_hash"), "starts")
+    by_row = gone.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "count")).alias("gone")).select(own.alias("w_id"), F.col("text_hash").alias("w_hash"), "gone")
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_up = zstandard.ZstdDecompressor().decompress
         names = [c.split()[0] for c in columns.split(", ")]
         for batch in batches:
             out = []
-            for key, data, starts in zip(batch["doc_id"], batch["data"], batch["starts"], strict=True):
-                count, left = without(open_up(data).decode(), starts)
+            for key, data, lost in zip(batch["doc_id"], batch["data"], batch["gone"], strict=True):
+                count, left = without(open_up(data).decode(), lost)
                 kept = " ".join(left)
                 row = (key, count, count - len(left), sha256_hex(kept.encode()))
                 out.append((*row, kept) if keep_text else row)
@@ -323,4 +380,4 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
     packed = rows.mapInPandas(squeezed, PACKED)
     joined = packed.join(by_row, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")), "left")
-    return joined.select("doc_id", "data", "starts").mapInPandas(cut, columns)
+    return joined.select("doc_id", "data", "gone").mapInPandas(cut, columns)
