@@ -7,10 +7,12 @@ import pytest
 from tests.conftest import plan_of
 from visitlake.operators.windows import dedupe_latest
 from visitlake.plans.analysis import QUERIES
-from visitlake.registry import REGISTRY
+from visitlake.plans.crossfilter import crossfilter
+from visitlake.registry import FILTERS, REGISTRY
 from visitlake.sources import testdata
 
 WRITES = {"csv_roundtrip", "manifest_counts", "xf_encode", "xf_roundtrip", "xf_meta"}
+FROM_FACT = {"xf_filter_year": lambda spark, sf: crossfilter(testdata.star(spark, sf), FILTERS["xf_filter_year"])}
 
 
 def physical(df) -> str:
@@ -90,7 +92,7 @@ def test_measures_of_one_dimension_meet_it_after_aggregation(name, key, no_broad
 
 def test_date_filters_reach_the_scan(spark, sf_dir):
     for name in ("xf_filter_year", "period_point_scan"):
-        plan = physical(REGISTRY[name](spark, sf_dir))
+        plan = physical({**REGISTRY, **FROM_FACT}[name](spark, sf_dir))
         scans = [line for line in plan.splitlines() if "FileScan" in line and "orders.parquet" in line]
         assert scans and all("GreaterThanOrEqual(o_orderdate" in line for line in scans)
 

@@ -1,0 +1,183 @@
+"""Facet cells and prefix histograms answer like the fact, without reading it again."""
+
+import datetime as dt
+import random
+from dataclasses import replace
+
+import pytest
+from pyspark.sql import functions as F
+
+from tests.conftest import plan_of, rows
+from tests.test_measures import visit
+from visitlake.operators import distribution
+from visitlake.operators.distribution import PrefixHistogram, histogram, percentiles
+from visitlake.plans import crossfilter, facetcells
+from visitlake.plans.facetcells import FacetCells
+from visitlake.plans.measures import evaluate
+from visitlake.registry import FILTERS, REGISTRY, facet_cells, stored_waits
+from visitlake.sources import testdata
+from visitlake.sources.star import Star
+from visitlake.sources.tables import SCHEMAS
+
+SLICES = [
+    {}, {"Year": [2021]}, {"Year": [2020, 2022], "DayType": ["Weekend"]}, {"DepartmentName": ["Heart"], "PaymentMethod": ["Card"]},
+    {"AgeBand": ["18-35"], "Year": []}, {"Year": [1990]},
+]
+
+
+def crowd(spark, people=200, count=900):
+    """Some patients come often, some are unknown to the dimension, some visits have none."""
+    rng = random.Random(8)
+    day = lambda: f"{rng.choice([2020, 2021, 2022])}-{rng.randrange(1, 13):02d}-{rng.randrange(1, 29):02d}"
+    visits = []
+    for i in range(count):
+        patient = rng.choice([f"P{rng.randrange(people)}", "P1", f"X{rng.randrange(40)}", None])
+        visits.append(visit(i, day(), patient, pay=rng.choice(["M1", "M2"]), department=rng.choice(["E1", "E2", "E9"]), wait=rng.randrange(90)))
+    make = lambda name, data: spark.createDataFrame(data, SCHEMAS[name])
+    return Star.of(
+        make("visits", visits),
+        patient=make("patient", [(f"P{i}", "A", "Male", dt.date(1960 + i % 60, 1, 1), "X", "Y", "Z") for i in range(people)]),
+        department=make("department", [("E1", "Heart", "Inner"), ("E2", "Lung", "Inner")]),
+        payment=make("payment", [("M1", "Cash"), ("M2", "Card")]),
+    )
+
+
+@pytest.fixture(scope="module")
+def star(spark):
+    return crowd(spark)
+
+
+def test_cells_answer_like_the_fact(star):
+    cells = FacetCells.build(star)
+    for filters in SLICES:
+        assert rows(crossfilter.crossfilter_cells(cells, filters)) == rows(crossfilter.crossfilter(star, filters)), filters
+
+
+def test_sets_count_against_plain_sets(star):
+    cells = FacetCells.build(star)
+    seen = {}
+    for r in star.flat("PatientID", "DepartmentName", "PaymentMethod").filter("PaymentMethod = 'Card'").collect():
+        seen[r.PatientID] = seen.get(r.PatientID, 0) + 1
+    got = cells.patients({"PaymentMethod": ["Card"]}).first()
+    assert (got.Patients, got.RepeatPatients) == (len(seen), sum(n > 1 for n in seen.values()))
+
+
+def test_words_merge_in_any_order(spark):
+    rng = random.Random(2)
+    parts = [[rng.getrandbits(63), 0] for _ in range(9)]
+    for p in parts:
+        p[1] = p[0] & rng.getrandbits(63)
+    counts = [sum((o >> b & 1) + (t >> b & 1) for o, t in parts) for b in range(63)]
+    for _ in range(3):
+        rng.shuffle(parts)
+        df = spark.createDataFrame([([tuple(p) for p in parts],)], "s array<struct<once:bigint,twice:bigint>>")
+        got = df.select(facetcells.merged(df.s).alias("m")).first().m
+        assert [got.once >> b & 1 for b in range(63)] == [int(c > 0) for c in counts]
+        assert [got.twice >> b & 1 for b in range(63)] == [int(c > 1) for c in counts]
+
+
+def test_cells_are_kept_and_read_again(spark, star, tmp_path):
+    FacetCells.build(star, str(tmp_path))
+    again = FacetCells.read(spark, str(tmp_path))
+    assert rows(crossfilter.crossfilter_cells(again, {"Year": [2021]})) == rows(crossfilter.crossfilter(star, {"Year": [2021]}))
+    with pytest.raises(ValueError):
+        crossfilter.crossfilter_cells(again, {"DoctorName": ["x"]})
+
+
+def test_no_visits(spark, star):
+    empty = Star.of(star.visits(*SCHEMAS["visits"].fieldNames()).limit(0), **star.dims)
+    bundle = crossfilter.crossfilter_cells(FacetCells.build(empty), {}).collect()
+    assert len(bundle) == 1 and (bundle[0].Visits, bundle[0].Patients, bundle[0].RepeatPatients) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("name", [*FILTERS, "xf_wait_histogram", "xf_wait_percentiles", "xf_seen_within", "m_wait_percentiles"])
+def test_answers_do_not_read_the_fact(name, spark, sf_dir):
+    facet_cells(spark, sf_dir)
+    plan = plan_of(REGISTRY[name](spark, sf_dir))
+    assert "lineitem.parquet" not in plan and "orders.parquet" not in plan
+
+
+def counted(spark, sf_dir):
+    asked, star = [], testdata.star(spark, sf_dir)
+
+    def visits(*columns):
+        asked.append(columns)
+        return star.visits(*columns)
+
+    return replace(star, visits=visits), asked
+
+
+def test_the_fact_is_read_once(spark, sf_dir):
+    star, asked = counted(spark, sf_dir)
+    cells = FacetCells.build(star)
+    for filters in FILTERS.values():
+        crossfilter.crossfilter_cells(cells, filters).collect()
+    assert len(asked) == 1
+    star, asked = counted(spark, sf_dir)
+    waits = crossfilter.waits_of(star, ["DepartmentName", "Year"])
+    for answer in (crossfilter.wait_histogram, crossfilter.seen_within, crossfilter.wait_percentiles):
+        answer(star, {"Year": [1997]}, waits).collect()
+        answer(star, None, waits).collect()
+    evaluate(star, ["MedianWaitMinutes"], ["Year"], waits=waits).collect()
+    assert len(asked) == 1
+
+
+def test_queries_share_what_is_stored(spark, sf_dir):
+    assert facet_cells(spark, sf_dir) is facet_cells(spark, sf_dir)
+    assert stored_waits(spark, sf_dir, "DoctorID") is not stored_waits(spark, sf_dir, "DepartmentName", "Year")
+
+
+# Prefix histograms
+
+
+@pytest.fixture(scope="module", params=[7, 1024])
+def measured(request, spark):
+    """Groups with gaps, repeated values, values in many bins, and rows without a value or a group."""
+    rng = random.Random(3)
+    data = [(rng.choice(["a", "b", None]), rng.choice([1, 2, 3]), rng.choice([None, rng.randrange(-50, 50), rng.randrange(20), 100_000])) for _ in range(700)]
+    data += [("only nulls", 1, None), ("one", 1, 5)]
+    return spark.createDataFrame(data, "g string, h int, v int"), request.param
+
+
+POINTS = {"p0": 0, "p10": 10, "p50": 50, "p90": 90, "p100": 100}
+
+
+@pytest.mark.parametrize("by", [["g", "h"], ["g"], ["h"], []])
+def test_every_roll_up_has_the_percentiles_of_its_rows(measured, by, monkeypatch):
+    df, size = measured
+    monkeypatch.setattr(distribution, "BIN", size)
+    found = PrefixHistogram.build(df, ["g", "h"], "v").over(by)
+    for method in ("inc", "nearest"):
+        assert rows(found.percentiles(POINTS, method)) == rows(percentiles(df, by, "v", POINTS, method))
+    assert rows(found.histogram()) == rows(histogram(df, by, "v"))
+    assert rows(found.sizes("n")) == rows(df.groupBy(*by).agg({"*": "count"}))
+
+
+def test_running_counts_up_to_a_threshold(measured):
+    df, _ = measured
+    found = PrefixHistogram.build(df, ["g", "h"], "v").over(["g"]).upto(10, "n")
+    want = {}
+    for r in df.filter("v is not null").collect():
+        want[r.g] = want.get(r.g, 0) + (r.v <= 10)
+    assert {r.g: r.n for r in found.collect()} == want
+
+
+def test_some_groups_only(measured):
+    df, _ = measured
+    found = PrefixHistogram.build(df, ["g", "h"], "v").over(["g"], F.col("h").isin(1, 2))
+    assert rows(found.percentiles(POINTS)) == rows(percentiles(df.filter("h in (1, 2)"), ["g"], "v", POINTS))
+
+
+def test_unknown_columns_are_refused(measured):
+    df, _ = measured
+    with pytest.raises(ValueError):
+        PrefixHistogram.build(df, ["g"], "v").over(["h"])
+
+
+def test_measures_from_stored_waits(star):
+    waits = crossfilter.waits_of(star, ["DepartmentName", "Year"])
+    asked = ["MedianWaitMinutes", "WaitP10Minutes", "WaitP90Minutes"]
+    for by, filters in ((["DepartmentName"], {}), (["Year"], {"DepartmentName": ["Lung"]}), ([], {"Year": [2021]}), ([], {"Year": [1990]})):
+        assert rows(evaluate(star, asked, by, filters, waits)) == rows(evaluate(star, asked, by, filters)), (by, filters)
+    # What stored waits do not cover comes from the fact.
+    assert rows(evaluate(star, [*asked, "TotalRevenue"], ["PaymentMethod"], {}, waits)) == rows(evaluate(star, [*asked, "TotalRevenue"], ["PaymentMethod"]))

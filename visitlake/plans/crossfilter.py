@@ -4,27 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from visitlake.functions.bands import AGE_BANDS, band_order
 from visitlake.functions.numbers import money
-from visitlake.operators.distribution import cumulative_upto, histogram, percentiles
+from visitlake.operators.distribution import PrefixHistogram, cumulative_upto, histogram, percentiles
 from visitlake.operators.relational import union_periods
 from visitlake.operators.windows import dense_index, small_index
 from visitlake.plans.analysis import REPEAT_VISITS, SHORT_WAIT, ranked_doctors
+from visitlake.plans.facetcells import FACETS, MEMBERS, FacetCells
 from visitlake.plans.measures import visits_in
 from visitlake.sources.star import LazyTables, Star
 
 WEEKEND_BIT, MONTH_MASK = 0x80, 0x7F
 BYTE_CODES = 256
-FACETS = {
-    "department": "DepartmentName",
-    "payment": "PaymentMethod",
-    "age": "AgeBand",
-    "month": "YearMonth",
-}
 
 
 @dataclass(frozen=True)
@@ -158,11 +155,12 @@ def extract_meta(star: Star, codes: Mapping[str, DataFrame], coding: Encoding =
 
 
 def crossfilter(star: Star, filters: dict | None = None) -> DataFrame:
-    """Totals and one row per member of each facet, all under the same filters.
+    """Totals and one row per member of each facet, all under the same filters, from the fact.
 
     Visits are grouped once to the cells of all facets together; totals and facets are
     sums over those cells. Patients cannot be summed, so they get their own grouping,
-    for the total only.
+    for the total only. ``filters`` may be on any column; ``crossfilter_cells`` answers
+    those on members without the fact.
     """
     filters = dict(filters or {})
     rows = visits_in(star, [*FACETS.values(), "BillAmount", "WaitTimeMinutes", "SatisfactionScore"], filters)
@@ -170,6 +168,21 @@ def crossfilter(star: Star, filters: dict | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("Visits"), F.sum("BillAmount").alias("Revenue"),
         F.sum("WaitTimeMinutes").alias("WaitMinutes"), F.sum("SatisfactionScore").alias("Scores"),
     )
+    frequency = visits_in(star, ["PatientID"], filters).groupBy("PatientID").agg(F.count(F.lit(1)).alias("_n"))
+    patients = frequency.agg(
+        F.count(F.lit(1)).alias("Patients"), F.count_if(F.col("_n") >= REPEAT_VISITS).alias("RepeatPatients"))
+    return _bundle(cells, patients)
+
+
+def crossfilter_cells(cells: FacetCells, filters: dict | None = None) -> DataFrame:
+    """The same from stored cells; filters are on their members and the year."""
+    filters = {c: v for c, v in (filters or {}).items() if v}
+    if not cells.answers(filters):
+        raise ValueError(f"cells know {MEMBERS} and Year, not {sorted(set(filters))}")
+    return _bundle(cells.picked(filters), cells.patients(filters))
+
+
+def _bundle(cells: DataFrame, patients: DataFrame) -> DataFrame:
     sums = [F.sum(c).alias(c) for c in ("Visits", "Revenue", "WaitMinutes", "Scores")]
     members = cells.groupingSets([[F.col(c)] for c in FACETS.values()], *FACETS.values()).agg(
         *sums, *(F.grouping(c).alias(f"_{name}") for name, c in FACETS.items())
@@ -182,11 +195,8 @@ def crossfilter(star: Star, filters: dict | None = None) -> DataFrame:
         facet.alias("Facet"), member.alias("Member"), "Visits", "Revenue", "WaitMinutes", "Scores",
         F.lit(None).cast("bigint").alias("Patients"), F.lit(None).cast("bigint").alias("RepeatPatients"),
     )
-    frequency = visits_in(star, ["PatientID"], filters).groupBy("PatientID").agg(F.count(F.lit(1)).alias("_n"))
-    patients = frequency.agg(F.struct(
-        F.count(F.lit(1)).alias("Patients"), F.count_if(F.col("_n") >= REPEAT_VISITS).alias("RepeatPatients")
-    ).alias("_patients")).scalar()
-    total = cells.agg(*sums).withColumn("_patients", patients).select(
+    counted = patients.select(F.struct("Patients", "RepeatPatients").alias("_patients")).scalar()
+    total = cells.agg(*sums).withColumn("_patients", counted).select(
         F.lit("total").alias("Facet"), F.lit("all").alias("Member"),
         *(F.coalesce(c, F.lit(0)).alias(c) for c in ("Visits", "Revenue", "WaitMinutes", "Scores")),
         F.col("_patients.Patients").alias("Patients"), F.col("_patients.RepeatPatients").alias("RepeatPatients"),
@@ -200,22 +210,46 @@ def leaderboard(star: Star, filters: dict | None = None) -> DataFrame:
     return ranked_doctors(rows, star.dims["doctor"])
 
 
-def wait_histogram(star: Star, filters: dict | None = None) -> DataFrame:
+WAIT_POINTS = {"WaitP10": 10, "WaitP50": 50, "WaitP90": 90}
+
+
+def waits_of(star: Star, by: list[str], path: str | None = None) -> PrefixHistogram:
+    """The stored waits per finest group, read from the fact once."""
+    return PrefixHistogram.build(visits_in(star, [*by, "WaitTimeMinutes"], {}), by, "WaitTimeMinutes", path)
+
+
+def _waits(star: Star, filters: dict | None, waits: PrefixHistogram | None) -> PrefixHistogram | None:
+    """Waits per department under the filters, if the stored groups can tell."""
+    filters = {c: v for c, v in (filters or {}).items() if v}
+    if waits is None or not waits.covers(["DepartmentName", *filters]):
+        return None
+    keep = [F.col(c).isin(list(values)) for c, values in filters.items()]
+    return waits.over(["DepartmentName"], reduce(and_, keep) if keep else None)
+
+
+def wait_histogram(star: Star, filters: dict | None = None, waits: PrefixHistogram | None = None) -> DataFrame:
+    """Visits per department and minute. This and the next two read stored ``waits`` where
+    those cover the filters, and the fact otherwise."""
+    if (found := _waits(star, filters, waits)) is not None:
+        return found.histogram()
     rows = visits_in(star, ["DepartmentName", "WaitTimeMinutes"], dict(filters or {}))
     return histogram(rows, ["DepartmentName"], "WaitTimeMinutes")
 
 
-def seen_within(star: Star, filters: dict | None = None) -> DataFrame:
+def seen_within(star: Star, filters: dict | None = None, waits: PrefixHistogram | None = None) -> DataFrame:
+    if (found := _waits(star, filters, waits)) is not None:
+        return found.upto(SHORT_WAIT, "SeenWithin30")
     return cumulative_upto(
         wait_histogram(star, filters), ["DepartmentName"], "WaitTimeMinutes", SHORT_WAIT, "SeenWithin30"
     )
 
 
-def wait_percentiles(star: Star, filters: dict | None = None) -> DataFrame:
+def wait_percentiles(star: Star, filters: dict | None = None, waits: PrefixHistogram | None = None) -> DataFrame:
     """Nearest-rank percentiles per department, as the dashboard shows them."""
+    if (found := _waits(star, filters, waits)) is not None:
+        return found.percentiles(WAIT_POINTS, "nearest")
     rows = visits_in(star, ["DepartmentName", "WaitTimeMinutes"], dict(filters or {}))
-    points = {"WaitP10": 10, "WaitP50": 50, "WaitP90": 90}
-    return percentiles(rows, ["DepartmentName"], "WaitTimeMinutes", points, "nearest")
+    return percentiles(rows, ["DepartmentName"], "WaitTimeMinutes", WAIT_POINTS, "nearest")
 
 
 def partition_check(star: Star, band: str) -> DataFrame:

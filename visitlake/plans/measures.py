@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +21,7 @@ from visitlake.functions.bands import wait_colour
 from visitlake.functions.dates import CALENDAR, in_period
 from visitlake.functions.numbers import exact_ratio, growth_ratio, grouped_digits, mean, money, ratio, share
 from visitlake.functions.text import money_label
-from visitlake.operators.distribution import percentiles
+from visitlake.operators.distribution import PrefixHistogram, percentiles
 from visitlake.operators.relational import apply_filters
 from visitlake.operators.windows import dense_rank_by_value, dense_ranked, running_total, with_totals
 from visitlake.sources.star import AGE_COLUMNS, DIMENSION_KEYS, Star
@@ -225,9 +227,22 @@ def _resummed(additive: list[str]) -> list[Column]:
     return [(F.coalesce(F.sum(a), F.lit(0)) if a in COUNTS else F.sum(a)).alias(a) for a in additive]
 
 
-def _base(star: Star, needed: set[str], by: list[str], filters: dict) -> DataFrame:
+def _waits_only(waits: PrefixHistogram | None, additive: list[str], needed: set[str], by: list[str], filters: dict) -> DataFrame | None:
+    """Visits and percentiles of the wait out of stored groups, where nothing else is asked for."""
+    active = {c: v for c, v in filters.items() if v}
+    points = {name: p for name, p in PERCENTILES.items() if name in needed}
+    others = needed & (PER_PATIENT | {DOCTOR_COUNT}) or additive != ["TotalVisits"]
+    if waits is None or not points or others or not waits.covers([*by, *active]):
+        return None
+    found = waits.over(by, reduce(and_, (F.col(c).isin(list(v)) for c, v in active.items())) if active else None)
+    return _join(found.sizes("TotalVisits"), found.percentiles(points), by)
+
+
+def _base(star: Star, needed: set[str], by: list[str], filters: dict, waits: PrefixHistogram | None = None) -> DataFrame:
     """Everything that is one aggregation of the filtered visits."""
     additive = [a for a in ADDITIVE if a in needed or a == "TotalVisits"]
+    if (out := _waits_only(waits, additive, needed, by, filters)) is not None:
+        return out
     columns = [*by, *(c for a in additive for c in ADDITIVE[a][0])]
     patients, doctors = needed & PER_PATIENT, DOCTOR_COUNT in needed
     if "RepeatPatients" in needed or (patients and not doctors):
@@ -380,15 +395,17 @@ def _with_doctor_rank(
     return _join(out, ranks, ["DoctorName", *peers])
 
 
-def evaluate(star: Star, measures: list[str], by: list[str] = (), filters: dict | None = None) -> DataFrame:
+def evaluate(
+    star: Star, measures: list[str], by: list[str] = (), filters: dict | None = None, waits: PrefixHistogram | None = None
+) -> DataFrame:
     """One row per combination of ``by`` values among the filtered visits.
 
-    ``by`` and ``filters`` take fact, calendar, age and dimension columns. Group by
+    Percentiles of the wait asked for alone come from stored ``waits``, if they cover the columns. ``by`` and ``filters`` take fact, calendar, age and dimension columns. Group by
     ``DepartmentCategory`` as well as ``DepartmentName`` where names repeat.
     """
     by, filters = list(by), dict(filters or {})
     needed = {need for name in measures for need in MEASURES[name].needs}
-    out = _base(star, needed, by, filters)
+    out = _base(star, needed, by, filters, waits)
     if needed & {"VisitsLY", "RevenueLY"}:
         out = _with_prior_year(out, star, by, filters)
     if needed & {"CumulativeVisits", "CumulativeRevenue"}:

