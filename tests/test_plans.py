@@ -11,7 +11,7 @@ from visitlake.plans.crossfilter import crossfilter
 from visitlake.registry import FILTERS, REGISTRY
 from visitlake.sources import testdata
 
-WRITES = {"csv_roundtrip", "manifest_counts", "xf_encode", "xf_roundtrip", "xf_meta"}
+WRITES = {"csv_roundtrip", "manifest_counts", "xf_encode", "xf_roundtrip", "xf_meta", "reconcile_values"}
 FROM_FACT = {"xf_filter_year": lambda spark, sf: crossfilter(testdata.star(spark, sf), FILTERS["xf_filter_year"])}
 
 
@@ -111,3 +111,11 @@ def test_no_broadcast_of_a_growing_table_is_forced(no_broadcast, sf_dir):
         for position, line in enumerate(lines):
             if "BroadcastExchange" in line:
                 assert any("Generate inline" in following for following in lines[position:position + 4]), (name, line)
+
+
+@pytest.mark.parametrize("name", ["dq_orphans", "dq_constraints"])
+def test_checks_of_a_model_read_the_fact_once(name, no_broadcast, sf_dir):
+    plan = physical(REGISTRY[name](no_broadcast, sf_dir))
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert sum("lineitem.parquet" in line for line in scans) == 1
+    assert sum("orders.parquet" in line for line in scans) <= 1

@@ -1,14 +1,16 @@
 import datetime as dt
+import random
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 from visitlake.operators import quality
 from visitlake.plans import checks
-from visitlake.sources.star import Star
-from visitlake.sources.tables import SCHEMAS, literal_rows
+from visitlake.plans.crossfilter import Encoding, dictionaries, encode_facts
+from visitlake.sources.star import DIMENSION_KEYS, Star
+from visitlake.sources.tables import SCHEMAS, VISIT_COLUMNS, literal_rows
 
 
 def visit(i, **changes):
@@ -100,7 +102,7 @@ def test_phonetic_code(spark, name, code):
 
 
 def test_code_widths(spark):
-    rules = checks.code_width_rules(2020, 72, 3000)
+    rules = checks.code_width_rules(Encoding(base_year=2020, months=72, bill_offset=3000, bill_bytes=2))
     visits = [
         visit(1, BillAmount=Decimal("3000.00")), visit(2, BillAmount=Decimal("2999.00")),
         visit(3, BillAmount=Decimal("68535.00")), visit(4, BillAmount=Decimal("68536.00")),
@@ -111,6 +113,65 @@ def test_code_widths(spark):
     assert found == {"bill code": (2, "V2"), "wait code": (1, "V5"), "month code": (1, "V6")}
 
 
+@pytest.mark.parametrize("coding", [Encoding(months=72), Encoding(months=400), Encoding(bill_bytes=3, bill_offset=0), Encoding(bill_bytes=1)])
+def test_checks_and_encoder_draw_the_same_borders(spark, coding):
+    top = 256**coding.bill_bytes - 1 + coding.bill_offset
+    last = min(coding.months, 128) - 1
+    day = lambda month: dt.date(coding.base_year + month // 12, month % 12 + 1, 1)
+    good = {"VisitDate": day(0), "BillAmount": Decimal(coding.bill_offset), "WaitTimeMinutes": 0}
+    for change in ({}, {"BillAmount": Decimal(top)}, {"BillAmount": Decimal(top + 1)}, {"BillAmount": Decimal(coding.bill_offset - 1)},
+                   {"VisitDate": day(last)}, {"VisitDate": day(last + 1)}, {"VisitDate": dt.date(coding.base_year - 1, 12, 31)},
+                   {"WaitTimeMinutes": 255}, {"WaitTimeMinutes": 256}, {"WaitTimeMinutes": -1}):
+        s = star(spark, [visit(1, **{**good, **change})])
+        fits = not broken(quality.row_rules(s.visits("VisitID", "VisitDate", "BillAmount", "WaitTimeMinutes"), checks.code_width_rules(coding), "VisitID"))
+        try:
+            encode_facts(s, dictionaries(s, coding), coding).collect()
+            encoded = True
+        except Exception as error:
+            assert "VisitID" in str(error) or "visit V1" in str(error)
+            encoded = False
+        assert fits == encoded, change
+
+
+def test_the_profile_equals_the_checks_taken_one_by_one(spark):
+    rng = random.Random(5)
+    pick = lambda *values: rng.choice(values)
+    visits = [visit(rng.randrange(150), PatientID=pick("P1", "P2", None), DoctorID=pick("D1", "D7", "D8"), DepartmentID=pick("E1", None),
+                    SatisfactionScore=pick(0, 3, 5, None), WaitTimeMinutes=pick(-4, 3), VisitDate=pick(dt.date(2019, 1, 1), dt.date(2024, 1, 5))) for _ in range(300)]
+    visits += [visit("", VisitID=None), visit("", VisitID=None)]
+    s = star(spark, visits)
+    rules = [*checks.measure_rules("2020-01-01", "2026-01-01"), *checks.not_null_rules(["VisitID", "PatientID"])]
+    dims = {DIMENSION_KEYS[name]: dim for name, dim in s.dims.items()}
+    facts = s.visits(*VISIT_COLUMNS)
+    want = rows(quality.row_rules(facts, rules, "VisitID")) + rows(quality.unique_key(facts, "VisitID", "unique VisitID"))
+    for key, dim in dims.items():
+        missing = facts.join(dim.select(key), key, "left_anti").agg(F.count(F.lit(1)), F.min(key)).first()
+        want.append((f"orphan {key}", "error", missing[0], missing[1], missing[0] == 0))
+    got = rows(quality.profile(facts, "VisitID", rules, unique=True, dims=dims))
+    assert got == sorted(want, key=lambda r: tuple((v is not None, str(v)) for v in r))
+    empty = rows(quality.profile(facts.limit(0), "VisitID", rules, unique=True, dims=dims))
+    assert len(empty) == len(got) and all(r[2:] == (0, None, True) for r in empty)
+
+
+def test_samples_of_numbers_are_the_smallest_number(spark):
+    facts = spark.createDataFrame([(10, 100), (9, 100), (10, 20)], "id long, ref long")
+    dim = spark.createDataFrame([(7,)], "ref long")
+    got = {r.CheckID: (r.Violations, r.Sample) for r in quality.profile(facts, "id", [quality.Rule("low", F.col("id") > 0)], True, {"ref": dim}).collect()}
+    assert got == {"low": (3, "9"), "unique id": (1, "10"), "orphan ref": (3, "20")}
+
+
+def test_many_spellings_of_one_code(spark):
+    """More than are shown, in more than one slice."""
+    names = ["Chen" + "".join("aeiou"[i // 5**k % 5] for k in range(4)) for i in range(300)] + ["Delhi"]
+    df = spark.createDataFrame([(n,) for n in names], "City string")
+    row = quality.soundalikes(df, "City").filter("Code = 'C500'").first()
+    same = sorted(set(names) - {"Delhi"})
+    assert (row.Spellings, row.Collision) == (len(same), " / ".join(same[: quality.SHOWN]) + " / …")
+    assert quality.spellings(df, "City").filter("Code = 'C500'").count() == len(same)
+    plan = plan_of(quality.soundalikes(df, "City")).split("== Physical Plan ==")[1]
+    assert plan.index("collect_list") < plan.index("WindowGroupLimit")
+
+
 def test_warnings_do_not_stop_a_run(spark):
     df = spark.createDataFrame([visit(1)], SCHEMAS["visits"])
     results = quality.row_rules(df, [quality.Rule("odd wait", F.col("WaitTimeMinutes") == 0, "warning")], "VisitID")

@@ -1,5 +1,13 @@
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
 from tests.conftest import rows
-from visitlake.plans.reconcile import first_differences, reconcile
+from visitlake.operators import fingerprint
+from visitlake.plans.reconcile import differing_rows, first_differences, reconcile
+from visitlake.session import stored
+from visitlake.sources import exports
 
 
 def frame(spark, *data):
@@ -39,3 +47,58 @@ def test_report_shows_the_first_ten(spark):
     left, right = frame(spark, *[(str(i), "p", 1.0) for i in range(30)]), frame(spark, *[(str(i), "q", 1.0) for i in range(30)])
     differences = reconcile(left, right, ["k"])
     assert differences.count() == 30 and first_differences(differences, ["k"]).count() == 10
+
+
+def large(spark, n, change=lambda df: df):
+    return stored(change(spark.range(n).select(F.col("id").cast("string").alias("k"), (F.col("id") % 7).cast("string").alias("a"), (F.col("id") / 8).alias("n"))))
+
+
+def test_equal_tables_pass_no_row_to_the_grouping(spark):
+    left, right = large(spark, 20_000), large(spark, 20_000, lambda df: df.orderBy(F.desc("k")).repartition(7))
+    assert [side.count() for side in differing_rows(left, right, ["k"])] == [0, 0]
+    assert reconcile(left, right, ["k"]).count() == 0
+
+
+def test_only_leaves_that_differ_are_grouped(spark):
+    left = large(spark, 20_000)
+    right = large(spark, 20_000, lambda df: df.withColumn("a", F.when(F.col("k").isin("77", "19000"), "x").otherwise(F.col("a"))).filter("k <> '5'"))
+    passed = differing_rows(left, right, ["k"], leaves=1000)
+    assert all(side.count() < 100 for side in passed)
+    assert rows(reconcile(left, right, ["k"], leaves=1000)) == rows(reconcile(left, right, ["k"], leaves=None)) == [
+        ("19000", "a", "2", "x"), ("5", "(row)", "1", "0"), ("77", "a", "0", "x")]
+
+
+@pytest.mark.parametrize("leaves", [1, 3, 4096])
+def test_any_number_of_leaves_finds_the_same(spark, leaves):
+    rng = random.Random(leaves)
+    make = lambda: frame(spark, *[(rng.choice([None, *"abcdefgh"]), rng.choice([None, "", "p", "q"]), rng.choice([None, 1.0, 2.0])) for _ in range(60)])
+    left, right = stored(make()), stored(make())
+    assert rows(reconcile(left, right, ["k"], leaves)) == rows(reconcile(left, right, ["k"], None))
+
+
+def test_fingerprints_of_parts_add_up_to_the_whole(spark):
+    df = large(spark, 5000)
+    leaves = fingerprint.tree(df, ["k"], df.columns, 64)
+    root = leaves.agg(F.sum("Rows"), F.sum("Sum").cast("decimal(38,0)"), F.bit_xor("Xor"))
+    assert tuple(root.first()) == tuple(fingerprint.fingerprint(df).first()) == tuple(fingerprint.fingerprint(df.repartition(9)).first())
+    assert tuple(fingerprint.fingerprint(df.limit(0)).first()) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("data", [[("a", "b"), ("a", "b")], [("a", "b"), ("c", "d"), ("c", "d")], [("ab", ""), ("c", "d")], [("a", None), ("c", "d")], [("c", "d")]])
+def test_what_changes_a_fingerprint(spark, data):
+    whole = spark.createDataFrame([("a", "b"), ("c", "d")], "x string, y string")
+    other = spark.createDataFrame(data, "x string, y string")
+    assert exports.fingerprint_of(other) != exports.fingerprint_of(whole) == exports.fingerprint_of(whole.orderBy(F.desc("x")))
+    assert tuple(fingerprint.fingerprint(other).first()) != tuple(fingerprint.fingerprint(whole).first())
+
+
+def test_an_altered_cell_is_noticed(spark, tmp_path):
+    one = spark.createDataFrame([("k1", "x y"), ("k2", None), ("k3", "")], "k string, v string")
+    two = spark.createDataFrame([(1, 2.5), (2, None)], "n int, d double")
+    folder, schemas = str(tmp_path), {"one": one.schema, "two": two.schema}
+    manifest = exports.export_all({"one": one, "two": two}, folder, "here")
+    assert [r.RowCount for r in manifest.orderBy("Output").collect()] == [3, 2]
+    assert {r.Output: r.Fingerprint for r in manifest.collect()} == {"one": exports.fingerprint_of(one), "two": exports.fingerprint_of(two)}
+    assert exports.altered(manifest, folder, schemas).count() == 0
+    exports.export_csv(one.withColumn("v", F.when(F.col("k") == "k1", "x z").otherwise(F.col("v"))), f"{folder}/one")
+    assert [r.Output for r in exports.altered(manifest, folder, schemas).collect()] == ["one"]

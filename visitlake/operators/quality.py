@@ -1,6 +1,6 @@
 """Declarative data-quality rules.
 
-All row rules of a table are counted in one scan.
+All row rules of a table are counted in one scan; ``profile`` adds its keys to the same scan.
 Results are one row per rule: ``(CheckID, Severity, Violations, Sample, Passed)``.
 """
 
@@ -9,11 +9,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from visitlake.operators.relational import union_periods
 
+#: Spellings shown of a phonetic code, and the slices its spellings are dealt into to find them.
+SHOWN, SLICES = 100, 64
 
 @dataclass(frozen=True)
 class Rule:
@@ -60,19 +62,63 @@ def unique_key(df: DataFrame, key: str, check_id: str) -> DataFrame:
     return _result(found, check_id, F.col("_v"), F.col("_s"))
 
 
+def _typed(value: Column, kind: str) -> tuple[Column, Column]:
+    """A key as text, and as a number where that is how its kind is ordered."""
+    whole = kind in ("tinyint", "smallint", "int", "bigint") or kind.startswith("decimal")
+    return value.cast("string"), (value if whole else F.lit(None)).cast("decimal(38,0)")
+
+
+def profile(
+    facts: DataFrame, key: str, rules: list[Rule] = (), unique: bool = False, dims: dict[str, DataFrame] | None = None
+) -> DataFrame:
+    """Row rules, the unique ``key`` and the foreign keys of a fact in one scan and one shuffle.
+
+    Every row names what it is asked about: its own key, its foreign keys and the rules it
+    breaks. Equal names and values combine before the shuffle, so a key value that a third of
+    all rows hold, or a rule that all rows break, leaves each task as one row. The
+    dimensions' keys meet them once, all together.
+    """
+    dims, kinds = dims or {}, dict(facts.dtypes)
+    item = lambda name, text, number: F.struct(F.lit(name).alias("_name"), text.alias("_text"), number.alias("_number"))
+    own = _typed(F.col(key), kinds[key])
+    none = _typed(F.lit(None), "string")
+    asked = [item(f"unique {key}", *own)] if unique else []
+    asked += [item(f"orphan {name}", *_typed(F.col(name), kinds[name])) for name in dims]
+    broken = [F.when(F.coalesce(rule.broken, F.lit(False)), item(rule.id, *none)) for rule in rules]
+    items = F.concat(F.array(*asked), F.array_compact(F.array(*broken))) if asked and broken else (
+        F.array(*asked) if asked else F.array_compact(F.array(*broken)))
+    sample = F.struct(own[1].alias("_number"), own[0].alias("_text"))
+    named = facts.select(items.alias("_items"), F.when(own[0].isNotNull(), sample).alias("_key"))
+    counted = named.select(F.explode("_items").alias("_item"), "_key").select("_item.*", "_key").groupBy("_name", "_text", "_number").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_key").alias("_key"))
+    found, own_value = F.col("_n"), F.when(F.col("_text").isNotNull(), F.struct("_number", "_text"))
+    if unique:
+        repeated = F.when(F.col("_n") > 1, 1).otherwise(0)
+        found = F.when(F.col("_name") == f"unique {key}", repeated).otherwise(found)
+    is_rule = F.col("_name").isin([rule.id for rule in rules]) if rules else F.lit(False)
+    if dims:
+        known = union_periods([dim.select(F.lit(f"orphan {name}").alias("_name"), F.col(name).cast("string").alias("_text")) for name, dim in dims.items()])
+        counted = counted.join(known.distinct().withColumn("_known", F.lit(True)), ["_name", "_text"], "left")
+        found = F.when(F.col("_known"), 0).otherwise(found)
+    shown = F.when(is_rule, F.col("_key")).otherwise(own_value)
+    checked = counted.select("_name", found.cast("bigint").alias("_v"), shown.alias("_s")).filter("_v > 0")
+    totals = checked.groupBy("_name").agg(F.sum("_v").alias("_v"), F.min("_s").alias("_s"))
+    every = [(rule.id, rule.severity) for rule in rules] + [(f"unique {key}", "error")] * unique + [(f"orphan {name}", "error") for name in dims]
+    listed = facts.sparkSession.range(1).select(F.inline(F.array(*(
+        F.struct(F.lit(name).alias("_check"), F.lit(severity).alias("_severity")) for name, severity in every))))
+    results = listed.join(totals, F.col("_check") == F.col("_name"), "left")
+    violations = F.coalesce("_v", F.lit(0)).cast("bigint")
+    return results.select(F.col("_check").alias("CheckID"), F.col("_severity").alias("Severity"), violations.alias("Violations"),
+                          F.col("_s._text").alias("Sample"), (violations == 0).alias("Passed"))
+
+
 def orphans(visits: Callable[..., DataFrame], dims: dict[str, DataFrame]) -> DataFrame:
     """Fact rows per foreign key that no dimension row answers, with the smallest such key.
 
-    ``visits(column)`` gives the fact cut to one column. Each key column is counted by
-    value first, so the join sees every value once, however often the fact repeats it.
+    ``visits(*columns)`` gives the fact cut to those columns; it is read once for all keys.
     """
-    found = []
-    for key, dim in dims.items():
-        used = visits(key).groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-        missing = used.join(dim.select(key), key, "left_anti")
-        missing = missing.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_v"), F.min(key).alias("_s"))
-        found.append(_result(missing, f"orphan {key}", F.col("_v"), F.col("_s")))
-    return union_periods(found)
+    first = next(iter(dims))
+    return profile(visits(*dims), first, dims=dims)
 
 
 def expected_counts(actual: DataFrame, expected: DataFrame, label: str) -> DataFrame:
@@ -88,14 +134,28 @@ def expected_counts(actual: DataFrame, expected: DataFrame, label: str) -> DataF
     )
 
 
+def spellings(df: DataFrame, column: str) -> DataFrame:
+    """``Code, Spelling``: every distinct spelling with its phonetic code, in long form."""
+    distinct = df.select(F.col(column).alias("Spelling")).distinct()
+    return distinct.select(F.soundex("Spelling").alias("Code"), "Spelling")
+
+
 def soundalikes(df: DataFrame, column: str) -> DataFrame:
-    """Groups of distinct spellings that share a phonetic code."""
-    spellings = df.select(column).distinct()
-    groups = spellings.groupBy(F.soundex(column).alias("Code")).agg(
-        F.count(F.lit(1)).alias("Spellings"),
-        F.array_join(F.sort_array(F.collect_list(column)), " / ").alias("Collision"),
-    )
-    return groups.filter("Spellings > 1")
+    """Groups of distinct spellings that share a phonetic code: how many, and the first ``SHOWN`` of them.
+
+    The first ones of a code are found in slices of its spellings and then among those of the
+    slices, so no task lists a whole group; ``spellings`` has all of them.
+    """
+    slices = Window.partitionBy("Code", F.pmod(F.xxhash64("Spelling"), F.lit(SLICES))).orderBy("Spelling")
+    whole = Window.partitionBy("Code").orderBy("Spelling")
+    every = spellings(df, column)
+    counts = every.groupBy("Code").agg(F.count(F.lit(1)).alias("Spellings")).filter("Spellings > 1")
+    first = every.withColumn("_i", F.row_number().over(slices)).filter(F.col("_i") <= SHOWN)
+    first = first.withColumn("_i", F.row_number().over(whole)).filter(F.col("_i") <= SHOWN)
+    shown = first.groupBy(F.col("Code").alias("_code")).agg(F.sort_array(F.collect_list("Spelling")).alias("_shown"))
+    more = F.when(F.col("Spellings") > SHOWN, F.lit(" / …")).otherwise("")
+    return counts.join(shown, F.col("Code").eqNullSafe(F.col("_code"))).select(
+        "Code", "Spellings", F.concat(F.array_join("_shown", " / "), more).alias("Collision"))
 
 
 def soundalike_check(df: DataFrame, column: str, check_id: str) -> DataFrame:

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from visitlake.functions.dates import month_start
 from visitlake.operators.quality import (
-    Rule, enforce, expected_counts, leftover_variants, orphans, row_rules, soundalike_check, unique_key,
+    Rule, enforce, expected_counts, leftover_variants, profile, row_rules, soundalike_check, unique_key,
 )
 from visitlake.operators.relational import row_counts, union_periods
+from visitlake.plans.crossfilter import Encoding
 from visitlake.sources.star import DIMENSION_KEYS, Star
 from visitlake.sources.tables import VISIT_COLUMNS
 
@@ -49,26 +50,22 @@ def alias_rules() -> list[Rule]:
     return [Rule("alias differs from canonical", F.col("Variant") == F.col("Canonical"))]
 
 
-def code_width_rules(start_year: int, months: int, bill_offset: int) -> list[Rule]:
-    """Whether each value fits the code the encoded extract stores it in."""
-    month = (F.year("VisitDate") - start_year) * 12 + F.month("VisitDate") - 1
-    amount = F.bround("BillAmount", 0) - bill_offset
+def code_width_rules(coding: Encoding) -> list[Rule]:
+    """Whether each value fits the code the encoded extract stores it in, by the encoder's own bounds."""
     return [
-        Rule("month code", ~month.between(0, months - 1)),
-        Rule("wait code", ~F.col("WaitTimeMinutes").between(0, 255)),
-        Rule("bill code", ~amount.between(0, 65535)),
+        Rule("month code", ~coding.month_fits(coding.month(F.col("VisitDate")))),
+        Rule("wait code", ~coding.wait_fits(F.col("WaitTimeMinutes"))),
+        Rule("bill code", ~coding.bill_fits(coding.bill(F.col("BillAmount")))),
     ]
 
 
 def constraint_checks(star: Star, start: str, end: str) -> DataFrame:
-    """Primary keys, foreign keys and checks of the consolidated fact."""
+    """Primary keys, foreign keys and checks of the consolidated fact, which is read once."""
     rules = [*measure_rules(start, end), *not_null_rules(["VisitID", *DIMENSION_KEYS.values()])]
     by_key = {DIMENSION_KEYS[name]: dim for name, dim in star.dims.items()}
     return union_periods([
-        row_rules(star.visits(*VISIT_COLUMNS), rules, "VisitID"),
-        unique_key(star.visits("VisitID"), "VisitID", "unique VisitID"),
+        profile(star.visits(*VISIT_COLUMNS), "VisitID", rules, unique=True, dims=by_key),
         *(unique_key(dim, key, f"unique {key} in its dimension") for key, dim in by_key.items()),
-        orphans(star.visits, by_key),
     ])
 
 

@@ -35,6 +35,21 @@ class Encoding:
     department: tuple[str, ...] = ("DepartmentID",)
     payment: tuple[str, ...] = ("PaymentMethodID",)
 
+    def month(self, day: Column) -> Column:
+        return (F.year(day) - self.base_year) * 12 + F.month(day) - 1
+
+    def month_fits(self, month: Column) -> Column:
+        return month.between(0, min(self.months, MONTH_MASK + 1) - 1)
+
+    def wait_fits(self, wait: Column) -> Column:
+        return wait.between(0, BYTE_CODES - 1)
+
+    def bill(self, amount: Column) -> Column:
+        return F.bround(amount, 0) - self.bill_offset
+
+    def bill_fits(self, bill: Column) -> Column:
+        return bill.between(0, BYTE_CODES**self.bill_bytes - 1)
+
 
 def month_week(day: Column, base_year: int) -> Column:
     """Months since the base year in the low seven bits, the weekend in the eighth."""
@@ -87,18 +102,17 @@ def encode_facts(star: Star, codes: Mapping[str, DataFrame], coding: Encoding =
     or birth date, or with a month, wait or bill its code cannot hold."""
     df = with_codes(star, codes, coding).flat(
         "VisitID", "VisitDate", "AgeBand", "SatisfactionScore", "WaitTimeMinutes", "BillAmount", "dept", "pay", "doctor", "patient")
-    month = (F.year("VisitDate") - coding.base_year) * 12 + F.month("VisitDate") - 1
-    wait, bill = F.col("WaitTimeMinutes"), (F.bround("BillAmount", 0) - coding.bill_offset).cast("int")
+    month, wait, bill = coding.month(F.col("VisitDate")), F.col("WaitTimeMinutes"), coding.bill(F.col("BillAmount"))
     known = lambda code, what: _required(F.col(code), F.col(code).isNotNull(), f"unknown {what}")
     age = band_order(F.col("AgeBand"), AGE_BANDS) - 1
     return df.select(
         "VisitID",
-        _required(month_week(F.col("VisitDate"), coding.base_year), month.between(0, min(coding.months, MONTH_MASK + 1) - 1), "month out of range").alias("monthweek"),
+        _required(month_week(F.col("VisitDate"), coding.base_year), coding.month_fits(month), "month out of range").alias("monthweek"),
         known("dept", "department").cast("int").alias("dept"), known("pay", "payment method").cast("int").alias("pay"),
         _required(age, age.isNotNull(), "no birth date").alias("age"),
         known("doctor", "doctor").alias("doctor"), F.col("SatisfactionScore").alias("sat"),
-        _required(wait, wait.between(0, 255), "wait does not fit a byte").alias("wait"),
-        _required(bill, bill.between(0, 256**coding.bill_bytes - 1), f"bill does not fit {coding.bill_bytes} bytes").alias("bill"),
+        _required(wait, coding.wait_fits(wait), "wait does not fit a byte").alias("wait"),
+        _required(bill.cast("int"), coding.bill_fits(bill), f"bill does not fit {coding.bill_bytes} bytes").alias("bill"),
         known("patient", "patient").alias("patient"),
     )
 

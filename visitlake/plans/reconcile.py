@@ -7,30 +7,54 @@ from pyspark.sql import functions as F
 
 from visitlake.functions.numbers import growth_percent, grouped_digits, ratio
 from visitlake.functions.text import comparable
+from visitlake.operators.fingerprint import LEAVES, differing, leaf, tree
 from visitlake.operators.relational import row_counts, union_periods
 from visitlake.operators.windows import with_lag
 from visitlake.plans.analysis import q10_top_doctors
 from visitlake.plans.measures import evaluate
 from visitlake.plans.summary import extremes
+from visitlake.session import stored
 from visitlake.sources.star import Star
 
 
-def reconcile(expected: DataFrame, actual: DataFrame, keys: list[str]) -> DataFrame:
+def comparable_rows(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys and cells as the normalised text that is compared."""
+    return df.select(*(F.trim(F.col(c).cast("string")).alias(c) if c in keys else comparable(F.col(c)).alias(c) for c in df.columns))
+
+
+def differing_rows(expected: DataFrame, actual: DataFrame, keys: list[str], leaves: int = LEAVES) -> tuple[DataFrame, DataFrame]:
+    """The normalised rows of both sides whose leaf of the key differs between them.
+
+    One pass over each side takes its leaves' fingerprints; the numbers of those that differ,
+    at most ``leaves``, are then sent to a second pass. Equal tables of any size pass no row
+    on, and a few differences a few leaves of rows.
+    """
+    left, right = comparable_rows(expected, keys), comparable_rows(actual, keys)
+    trees = [stored(tree(side, keys, side.columns, leaves)) for side in (left, right)]
+    bad = stored(differing(*trees).withColumnRenamed("Leaf", "_leaf"))
+    return tuple(side.join(F.broadcast(bad), leaf(keys, leaves) == F.col("_leaf"), "left_semi") for side in (left, right))
+
+
+def reconcile(expected: DataFrame, actual: DataFrame, keys: list[str], leaves: int | None = LEAVES) -> DataFrame:
     """Differences cell by cell: ``(<keys>, Column, Expected, Actual)``.
 
-    Cells are compared as normalised text. Equal rows cancel out in one grouping over the
-    whole row, so only differing rows go on. A key that holds a single row on each side is
-    compared column by column; any other key is reported once as ``(row)`` with its row
-    counts, so repeated keys never multiply.
+    Cells are compared as normalised text. Only rows in leaves whose fingerprints differ are
+    grouped (see ``differing_rows``; both sides are read twice and should be stored tables;
+    ``leaves=None`` groups all rows in one pass instead, for results that are small anyway).
+    Equal rows cancel out in one grouping over the whole row, so only differing rows go on. A
+    key that holds a single row on each side is compared column by column; any other key is
+    reported once as ``(row)`` with its row counts, so repeated keys never multiply.
     """
     if expected.columns != actual.columns:
         raise ValueError(f"headers differ: {expected.columns} and {actual.columns}")
+    if leaves is None:
+        expected, actual = comparable_rows(expected, keys), comparable_rows(actual, keys)
+    else:
+        expected, actual = differing_rows(expected, actual, keys, leaves)
     cells = [c for c in expected.columns if c not in keys]
-    text = [comparable(F.col(c)).alias(c) for c in cells]
-    key_text = [F.trim(F.col(k).cast("string")).alias(k) for k in keys]
     one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
-    both = expected.select(*key_text, *text, one.alias("_e"), none.alias("_a")).unionByName(
-        actual.select(*key_text, *text, none.alias("_e"), one.alias("_a"))
+    both = expected.select(*keys, *cells, one.alias("_e"), none.alias("_a")).unionByName(
+        actual.select(*keys, *cells, none.alias("_e"), one.alias("_a"))
     )
     rows = both.groupBy(*keys, *cells).agg(F.sum("_e").alias("_e"), F.sum("_a").alias("_a"))
     rows = rows.filter("_e <> _a").withColumn("_row", F.struct(*cells))

@@ -15,7 +15,7 @@ from visitlake.plans import checks, clean, crossfilter, generate, reconcile, sum
 from visitlake.plans.analysis import QUERIES
 from visitlake.plans.facetcells import FacetCells
 from visitlake.plans.measures import calendar_of, evaluate
-from visitlake.session import scratch_path
+from visitlake.session import scratch_path, stored
 from visitlake.sources import exports, testdata
 from visitlake.sources.star import DIMENSION_KEYS, with_doctor_names
 from visitlake.sources.tables import VISIT_COLUMNS
@@ -290,7 +290,7 @@ def city_counts(spark, sf):
 @query
 def xf_encode_checks(spark, sf):
     fact = testdata.visits(spark, sf, "VisitID", "VisitDate", "WaitTimeMinutes", "BillAmount")
-    rules = checks.code_width_rules(testdata.BASE_YEAR, testdata.MONTHS, testdata.BILL_OFFSET)
+    rules = checks.code_width_rules(CODING)
     sizes = crossfilter.dictionary_checks(testdata.star(spark, sf), CODING)
     return quality.row_rules(fact, rules, "VisitID").unionByName(sizes)
 
@@ -475,7 +475,7 @@ def reconcile_values(spark, sf):
     columns = ["VisitID", "VisitDate", "VisitTime", "DoctorID", "DepartmentID", "WaitTimeMinutes"]
     latest = windows.dedupe_latest(testdata.visits(spark, sf, *columns), "VisitID", ["VisitDate", "VisitTime"])
     raw = testdata.visits(spark, sf, "DepartmentID", "WaitTimeMinutes")  # without the headers
-    return reconcile.reconcile(_service(raw), _service(latest), ["DepartmentID"])
+    return reconcile.reconcile(stored(_service(raw)), stored(_service(latest)), ["DepartmentID"])
 
 
 @query
