@@ -11,11 +11,16 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_SETTING = "spark.checkpoint.dir"
 
 
-def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str = "visitlake") -> SparkSession:
-    """A session for tests and benches. On a cluster, use the one the cluster gives."""
+def local_session(cores: int | str = 8, shuffle_partitions: int = 8, name: str = "visitlake", event_log: str | None = None) -> SparkSession:
+    """A session for tests and benches. On a cluster, use the one the cluster gives.
+    ``event_log`` is a folder for an event log that can be read while jobs run; files are then
+    read by the tasks themselves, since what other threads read for them is not counted."""
+    builder = SparkSession.builder.master(f"local[{cores}]")
+    if event_log:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log).config("spark.eventLog.compress", "false")
+        builder = builder.config("spark.hadoop.parquet.hadoop.vectored.io.enabled", "false")
     return (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(name)
+        builder.appName(name)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
