@@ -11,7 +11,7 @@ from visitlake.plans.crossfilter import crossfilter
 from visitlake.registry import FILTERS, REGISTRY
 from visitlake.sources import testdata
 
-WRITES = {"csv_roundtrip", "manifest_counts", "xf_encode", "xf_roundtrip", "xf_meta", "reconcile_values"}
+WRITES = {"csv_roundtrip", "manifest_counts", "xf_encode", "xf_roundtrip", "xf_meta", "xf_packed", "xf_packed_roundtrip", "reconcile_values"}
 FROM_FACT = {"xf_filter_year": lambda spark, sf: crossfilter(testdata.star(spark, sf), FILTERS["xf_filter_year"])}
 
 

@@ -92,27 +92,29 @@ def dense_rank_by_value(
     return df.join(ranks, match, "left").drop(*(f"_r_{c}" for c in [*keys, value]))
 
 
-def dense_index(dim: DataFrame, keys: list[str], alias: str) -> DataFrame:
-    """0-based position of each distinct key in key order, for a dimension of any size.
+def numbered(df: DataFrame, keys: list[str], alias: str) -> DataFrame:
+    """Rows with their 0-based position in key order, for any number of rows; equal keys in any order.
 
-    Keys are range-partitioned and sorted, numbered inside each partition, and written
+    Rows are range-partitioned and sorted, numbered inside each partition, and written
     to the shared folder so that both later reads see the same ranges. Only the row count
     per partition, one row each, is then summed up and broadcast.
     """
-    ordered = (
-        dim.select(*keys).distinct().repartitionByRange(*keys).sortWithinPartitions(*keys)
-        .withColumn("_id", F.monotonically_increasing_id())
-    )
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("_id", F.monotonically_increasing_id())
     ordered = stored(ordered).withColumn("_part", F.shiftright("_id", _LOCAL_BITS))
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = ordered.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     starts = starts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
     position = F.col("_id").bitwiseAND((1 << _LOCAL_BITS) - 1)
     return ordered.join(F.broadcast(starts), "_part").select(
-        *keys, (F.col("_start") + position).alias(alias)
+        *df.columns, (F.col("_start") + position).alias(alias)
     )
 
 
+def dense_index(dim: DataFrame, keys: list[str], alias: str) -> DataFrame:
+    """0-based position of each distinct key in key order, for a dimension of any size."""
+    return numbered(dim.select(*keys).distinct(), keys, alias)
+
+
 def small_index(dim: DataFrame, keys: list[str], alias: str, limit: int = 256) -> DataFrame:
     """``dense_index`` for a dimension whose code fits one byte. A key beyond ``limit`` stops
     the job: more keys than that must not be ordered in one task, nor fit the code."""

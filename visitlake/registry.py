@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from visitlake.functions.dates import in_period
 from visitlake.functions.numbers import money
 from visitlake.operators import quality, relational, windows
-from visitlake.plans import checks, clean, crossfilter, generate, reconcile, summary, workloads
+from visitlake.plans import checks, clean, crossfilter, generate, packed, reconcile, summary, workloads
 from visitlake.plans.analysis import QUERIES
 from visitlake.plans.facetcells import FacetCells
 from visitlake.plans.measures import calendar_of, evaluate
@@ -398,11 +398,7 @@ def xf_encode(spark, sf):
     return _encoded(spark, sf)[2]
 
 
-@query
-def xf_roundtrip(spark, sf):
-    """The encoded extract decoded and summed up again."""
-    _, codes, encoded = _encoded(spark, sf)
-    decoded = crossfilter.decode_facts(encoded, codes, CODING)
+def _summed(decoded: DataFrame) -> DataFrame:
     return decoded.groupBy("MonthStart", "DayType", "DepartmentName", "AgeBand").agg(
         F.count(F.lit(1)).alias("Visits"), F.sum("WaitTimeMinutes").alias("WaitMinutes"),
         F.sum("SatisfactionScore").alias("Scores"), money(F.sum("BillAmount")).alias("Revenue"),
@@ -410,6 +406,34 @@ def xf_roundtrip(spark, sf):
     )
 
 
+@query
+def xf_roundtrip(spark, sf):
+    """The encoded extract decoded and summed up again."""
+    _, codes, encoded = _encoded(spark, sf)
+    return _summed(crossfilter.decode_facts(encoded, codes, CODING))
+
+
+def _packed(spark, sf):
+    """The extract as bytes, the width of each column, and the codes."""
+    _, codes, encoded = _encoded(spark, sf)
+    counts = [packed.width_of(testdata.table(spark, sf, name).count()) for name in ("supplier", "customer")]
+    sizes = packed.widths(CODING, *counts)
+    return packed.pack(encoded, sizes), sizes, codes
+
+
+@query
+def xf_packed(spark, sf):
+    return packed.totals(_packed(spark, sf)[0])
+
+
+@query
+def xf_packed_roundtrip(spark, sf):
+    """The packed extract unpacked, decoded and summed up again."""
+    chunks, sizes, codes = _packed(spark, sf)
+    rows = packed.unpack(chunks, sizes).withColumnRenamed("Row", "VisitID")
+    return _summed(crossfilter.decode_facts(rows, codes, CODING))
+
+
 @query
 def xf_meta(spark, sf):
     star = testdata.star(spark, sf)
