@@ -11,7 +11,7 @@ from tests.conftest import plan_of, rows
 from tests.test_measures import visit
 from visitlake.operators import distribution
 from visitlake.operators.distribution import PrefixHistogram, histogram, percentiles
-from visitlake.plans import crossfilter, facetcells
+from visitlake.plans import crossfilter, facetcells, reconcile, summary
 from visitlake.plans.facetcells import FacetCells
 from visitlake.plans.measures import evaluate
 from visitlake.registry import FILTERS, REGISTRY, facet_cells, stored_waits
@@ -181,3 +181,11 @@ def test_measures_from_stored_waits(star):
         assert rows(evaluate(star, asked, by, filters, waits)) == rows(evaluate(star, asked, by, filters)), (by, filters)
     # What stored waits do not cover comes from the fact.
     assert rows(evaluate(star, [*asked, "TotalRevenue"], ["PaymentMethod"], {}, waits)) == rows(evaluate(star, [*asked, "TotalRevenue"], ["PaymentMethod"]))
+
+
+def test_published_figures_from_cells_are_those_of_the_fact(spark, sf_dir):
+    star, asked = counted(spark, sf_dir)
+    cells = facet_cells(spark, sf_dir)
+    assert rows(reconcile.acceptance_figures(star, cells)) == rows(reconcile.acceptance_figures(testdata.star(spark, sf_dir)))
+    assert len(asked) <= 3
+    assert rows(summary.extremes(star, cells)) == rows(summary.extremes(testdata.star(spark, sf_dir)))

@@ -94,6 +94,10 @@ class FacetCells:
         df = apply_filters(df, {c: v for c, v in filters.items() if c != "Year"})
         return df.filter(_year().isin(list(years))) if years else df
 
+    def by(self, *members: str) -> DataFrame:
+        """Sums per member of one or several facets, or per ``Year``."""
+        return self.cells.withColumn("Year", _year()).groupBy(*members).agg(*(F.sum(name).alias(name) for name in SUMS))
+
     def picked(self, filters: dict) -> DataFrame:
         return self._picked(self.cells, filters)
 

@@ -11,6 +11,7 @@ from visitlake.operators.fingerprint import LEAVES, differing, leaf, tree
 from visitlake.operators.relational import row_counts, union_periods
 from visitlake.operators.windows import with_lag
 from visitlake.plans.analysis import q10_top_doctors
+from visitlake.plans.facetcells import FacetCells
 from visitlake.plans.measures import evaluate
 from visitlake.plans.summary import extremes
 from visitlake.session import stored
@@ -89,8 +90,10 @@ PUBLISHED = [
 ]
 
 
-def acceptance_figures(star: Star) -> DataFrame:
-    """Every published headline figure as formatted text: ``(Figure, Value)``."""
+def acceptance_figures(star: Star, cells: FacetCells | None = None) -> DataFrame:
+    """Every published headline figure as formatted text: ``(Figure, Value)``.
+
+    Growth, age bands and the longest wait are sums of stored ``cells`` if there are some."""
     totals = evaluate(star, PUBLISHED)
     visits, patients = F.col("TotalVisits"), F.col("DistinctPatients")
     count = lambda name: grouped_digits(F.col(name))
@@ -118,17 +121,20 @@ def acceptance_figures(star: Star) -> DataFrame:
     pairs = F.array(*(F.struct(F.lit(k).alias("Figure"), v.alias("Value")) for k, v in text.items()))
     headline = totals.select(F.inline(pairs))
 
-    cells = star.flat("Year", "AgeBand").groupBy("Year", "AgeBand").agg(F.count(F.lit(1)).alias("Visits"))
-    yearly = cells.groupBy("Year").agg(F.sum("Visits").alias("Visits"))
+    if cells is None:
+        counted = star.flat("Year", "AgeBand").groupBy("Year", "AgeBand").agg(F.count(F.lit(1)).alias("Visits"))
+    else:
+        counted = cells.by("Year", "AgeBand").select("Year", "AgeBand", "Visits")
+    yearly = counted.groupBy("Year").agg(F.sum("Visits").alias("Visits"))
     grown = with_lag(yearly, ["Visits"], 1, "Year").filter("PriorVisits is not null")
     growth = grown.select(
         F.concat(F.lit("Visit growth "), F.col("Year")).alias("Figure"),
         growth_percent(F.col("Visits"), F.col("PriorVisits")).cast("string").alias("Value"),
     )
-    bands = cells.groupBy("AgeBand").agg(F.sum("Visits").alias("Visits")).select(
+    bands = counted.groupBy("AgeBand").agg(F.sum("Visits").alias("Visits")).select(
         F.concat(F.lit("Age band "), F.col("AgeBand")).alias("Figure"), grouped_digits(F.col("Visits")).alias("Value")
     )
-    longest = extremes(star).filter("Extreme = 'longest'").select(
+    longest = extremes(star, cells).filter("Extreme = 'longest'").select(
         F.lit("Longest wait").alias("Figure"),
         F.concat("DepartmentName", F.lit(": "), F.col("AverageWaitMinutes").cast("string"), F.lit(" over "),
                  grouped_digits(F.col("TotalVisits")), F.lit(" visits")).alias("Value"),

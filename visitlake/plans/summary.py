@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from visitlake.functions.bands import wait_colour
-from visitlake.functions.numbers import ratio
+from visitlake.functions.numbers import mean, ratio
 from visitlake.functions.text import thousands_label
 from visitlake.operators.windows import gap_tiers
 from visitlake.plans.analysis import annual_growth, service_risk
+from visitlake.plans.facetcells import FacetCells
 from visitlake.sources.star import Star
 
 CRORE = 10_000_000
@@ -38,9 +39,16 @@ def wait_tiers(star: Star, gap: Decimal = TIER_GAP) -> DataFrame:
     )
 
 
-def extremes(star: Star) -> DataFrame:
-    """The departments with the longest and the shortest average wait."""
-    risk = service_risk(star)
+def service_of(cells: FacetCells) -> DataFrame:
+    """Average wait and satisfaction per department, out of stored cells."""
+    service, n = cells.by("DepartmentName").filter("DepartmentName IS NOT NULL"), F.col("Visits")
+    return service.select("DepartmentName", n.alias("TotalVisits"), mean(F.col("Scores"), n).alias("AverageSatisfaction"),
+                          mean(F.col("WaitMinutes"), n).alias("AverageWaitMinutes"))
+
+
+def extremes(star: Star, cells: FacetCells | None = None) -> DataFrame:
+    """The departments with the longest and the shortest average wait, from stored cells if there are some."""
+    risk = service_risk(star) if cells is None else service_of(cells)
     row = F.struct("DepartmentName", "TotalVisits", "AverageWaitMinutes", "AverageSatisfaction")
     # Equal waits go to the lower satisfaction, then to the name.
     rest = [F.col("AverageSatisfaction"), F.col("DepartmentName")]

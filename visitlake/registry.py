@@ -510,7 +510,7 @@ def reconcile_keys(spark, sf):
 
 @query
 def acceptance_figures(spark, sf):
-    return reconcile.acceptance_figures(testdata.star(spark, sf))
+    return reconcile.acceptance_figures(testdata.star(spark, sf), facet_cells(spark, sf))
 
 
 @query
@@ -525,7 +525,7 @@ def exec_wait_tiers(spark, sf):
 
 @query
 def exec_extremes(spark, sf):
-    return summary.extremes(testdata.star(spark, sf))
+    return summary.extremes(testdata.star(spark, sf), facet_cells(spark, sf))
 
 
 # Workloads
