@@ -189,3 +189,15 @@ def test_published_figures_from_cells_are_those_of_the_fact(spark, sf_dir):
     assert rows(reconcile.acceptance_figures(star, cells)) == rows(reconcile.acceptance_figures(testdata.star(spark, sf_dir)))
     assert len(asked) <= 3
     assert rows(summary.extremes(star, cells)) == rows(summary.extremes(testdata.star(spark, sf_dir)))
+
+
+def test_ranks_by_name_read_the_fact_once(spark, sf_dir):
+    star, asked = counted(spark, sf_dir)
+    ranks = ["TotalVisits", "DoctorPerformanceRank", "DoctorPerformanceRankExact"]
+    by_name = {r.DoctorName: tuple(r)[1:] for r in evaluate(star, ranks, ["DoctorName"]).collect()}
+    assert len(asked) == 1
+    by_key = {r.DoctorName: tuple(r)[2:] for r in evaluate(star, ranks, ["DoctorID", "DoctorName"]).collect()}
+    assert by_name == by_key
+    # With measures that are no sums of doctors the rows come from the fact, the ranks do not change.
+    more = evaluate(star, [*ranks, "DistinctPatients"], ["DoctorName"]).collect()
+    assert {r.DoctorName: tuple(r)[1:4] for r in more} == by_key

@@ -24,6 +24,7 @@ from visitlake.functions.text import money_label
 from visitlake.operators.distribution import PrefixHistogram, percentiles
 from visitlake.operators.relational import apply_filters
 from visitlake.operators.windows import dense_rank_by_value, dense_ranked, running_total, with_totals
+from visitlake.session import stored
 from visitlake.sources.star import AGE_COLUMNS, DIMENSION_KEYS, Star
 from visitlake.sources.tables import VISIT_COLUMNS
 from visitlake.plans.analysis import MIN_RANKED_VISITS, SHORT_WAIT
@@ -374,8 +375,27 @@ def _with_category_revenue(out: DataFrame, star: Star, by: list[str], filters: d
     return _join(out, category, kept)
 
 
+DOCTOR_RANKS = {"DoctorPerformanceRank", "DoctorPerformanceRankExact"}
+
+
+def _per_doctor(star: Star, needed: set[str], by: list[str], filters: dict) -> DataFrame | None:
+    """Sums of each doctor, stored, where rows show names but ranks are those of doctors: the
+    fact is read once for the names' rows and all ranks."""
+    if not needed & DOCTOR_RANKS or "DoctorID" in by or "DoctorName" not in by:
+        return None
+    additive = [a for a in ADDITIVE if a in needed | {"TotalVisits", "_Scores", "_Waits"}]
+    return stored(_sums_by(star, additive, ["DoctorID", *(c for c in by if c not in DOCTOR_COLUMNS)], filters))
+
+
+def _named(doctors: DataFrame, star: Star, by: list[str]) -> DataFrame:
+    """Sums of doctors per name."""
+    names = star.dims["doctor"].select("DoctorID", "DoctorName")
+    additive = [a for a in ADDITIVE if a in doctors.columns]
+    return doctors.join(names, "DoctorID", "left").groupBy(*by).agg(*_resummed(additive))
+
+
 def _with_doctor_rank(
-    out: DataFrame, star: Star, by: list[str], filters: dict, alias: str, points: Column, scale: int
+    out: DataFrame, star: Star, by: list[str], doctors: DataFrame | None, alias: str, points: Column, scale: int
 ) -> DataFrame:
     """Dense rank by ``points`` per visit among doctors with enough visits; the rest, and
     rows that do not stand for one doctor, stay NULL. ``scale`` is what a score is worth
@@ -389,7 +409,7 @@ def _with_doctor_rank(
     if "DoctorName" not in by:
         return out.withColumn(alias, F.lit(None).cast("bigint"))
     # A name stands for a doctor if no other one bears it; the ranks are those of all doctors.
-    doctors = ranked(_sums_by(star, ["TotalVisits", "_Scores", "_Waits"], ["DoctorID", *peers], filters))
+    doctors = ranked(doctors)
     named = star.dims["doctor"].groupBy("DoctorName").agg(F.min("DoctorID").alias("DoctorID"), F.count_distinct("DoctorID").alias("_n"))
     ranks = doctors.join(named.filter("_n = 1").drop("_n"), "DoctorID").select("DoctorName", *peers, alias)
     return _join(out, ranks, ["DoctorName", *peers])
@@ -405,7 +425,9 @@ def evaluate(
     """
     by, filters = list(by), dict(filters or {})
     needed = {need for name in measures for need in MEASURES[name].needs}
-    out = _base(star, needed, by, filters, waits)
+    doctors = _per_doctor(star, needed, by, filters)
+    plain = doctors is not None and needed <= {*ADDITIVE, *DOCTOR_RANKS}
+    out = _named(doctors, star, by) if plain else _base(star, needed, by, filters, waits)
     if needed & {"VisitsLY", "RevenueLY"}:
         out = _with_prior_year(out, star, by, filters)
     if needed & {"CumulativeVisits", "CumulativeRevenue"}:
@@ -417,9 +439,9 @@ def evaluate(
     if "CategoryRevenue" in needed:
         out = _with_category_revenue(out, star, by, filters)
     if "DoctorPerformanceRank" in needed:
-        out = _with_doctor_rank(out, star, by, filters, "DoctorPerformanceRank", _c("_Scores"), 1)
+        out = _with_doctor_rank(out, star, by, doctors, "DoctorPerformanceRank", _c("_Scores"), 1)
     if "DoctorPerformanceRankExact" in needed:
-        out = _with_doctor_rank(out, star, by, filters, "DoctorPerformanceRankExact", _rank_points(), WAIT_WEIGHT)
+        out = _with_doctor_rank(out, star, by, doctors, "DoctorPerformanceRankExact", _rank_points(), WAIT_WEIGHT)
     if "UnfilteredVisits" in needed:
         every = star.visits("VisitID").agg(F.count(F.lit(1)).alias("_n"))
         out = out.withColumn("UnfilteredVisits", every.scalar())
