@@ -9,7 +9,8 @@ from visitlake.llm.queries import SQL, op5_token_indexed_rules
 URLS = [None, "", "no-scheme.org/x", "http://A.Example.ORG/es/x", "http://example.org/es/x?q#f", "http://badexample.org/es/", "https://x.com/fr/1",
         "https://x.com/de", "https://x.com/de/", "http://example.org", "http://org/", "http://org?x=/", "x://y.example.org/en/123://z",
         "http://free-bets.example.net/en/5", "http://bets2.example.net/en/", "http://e.net/a/casino", "http://h.example.org/en/2",
-        "http://x.example.org/EN/1", "ftp://user@com/fr/:80/", "http://" + "a" * 5000 + ".com/fr/" + "b/" * 5000, "http://üñ.org/ß"]
+        "http://x.example.org/EN/1", "ftp://user@com/fr/:80/", "http://" + "a" * 5000 + ".com/fr/" + "b/" * 5000, "http://üñ.org/ß",
+        "http://e.net/casino\u212a", "http://e.net/casino\u0130x", "http://e.net/CASINO/", "http://e.net/\u212acasino", "http://CASINO\u0130.net/"]
 
 
 def plain(url, rules, default):
@@ -49,6 +50,19 @@ def test_patterns_and_their_tokens(spark):
     assert got == {1: "track", 2: "any", 3: "seg", 4: None, 5: "track"}
 
 
+def test_letters_beyond_ascii_end_a_token_as_the_sql_says(spark):
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR)")
+    duck.executemany("INSERT INTO pages VALUES (?, ?)", list(enumerate(URLS)))
+    want = duck.execute(SQL["op5_token_indexed_rules"]).fetchall()
+    pages = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    judged = U.judge(pages, U.rule_table(spark, U.GIVEN + U.OWN))
+    got = judged.select("page_id", "host", "path", U.F.when(judged.tier == 0, judged.rule), "verdict")
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    blocked = {r.page_id for r in got.collect() if r.verdict == "block"}
+    assert {URLS.index(u) for u in URLS if u and "\u212a" in u or u and "\u0130" in u} <= blocked
+
+
 def test_filed_under_the_rarest_token(spark):
     pages = spark.createDataFrame([(i, f"http://x.example.org/{'es' if i == 3 else 'en'}/") for i in range(9)], "page_id long, url string")
     index = U.filed(U.keyed(pages), U.rule_table(spark, [U.host_rule("example.org/es/", "block")])).first()

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from visitlake.session import stored
 
-__all__ = ["importable", "line_key", "narrow", "read", "sha256_hex", "stored"]
+__all__ = ["importable", "line_key", "narrow", "read", "sha256_hex", "stored", "unused"]
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -35,6 +35,16 @@ def narrow(df: DataFrame, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{theirs}`").alias(ours) for ours, theirs in columns.items()])
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, with as many underscores in front as no column of the table has."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def line_key(text: Column) -> list[Column]:
     """128 bits of a string as two longs: two seeds, so the halves are independent."""
     return [F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2")]

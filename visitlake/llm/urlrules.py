@@ -60,13 +60,18 @@ def rule_table(spark: SparkSession, rules: Iterable[tuple[str, str, int, str]])
     return spark.createDataFrame(rows, RULE)
 
 
+def lowered(text: Column) -> Column:
+    """A-Z only: other letters are no part of a token, in whatever case."""
+    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.translate(text, upper, upper.lower())
+
+
 def host_and_path(url: Column) -> tuple[Column, Column]:
     """The part after the first ``://`` up to ``/``, ``?``, ``#`` with A-Z lowered, and from there to ``?`` or ``#``."""
     rest = F.when(F.instr(url, "://") > 0, F.expr(f"substring({'__url'}, instr({'__url'}, '://') + 3)")).otherwise("")
     host = F.regexp_extract(rest, r"\A[^/?#]*", 0)
     path = F.regexp_extract(rest, r"\A[^/?#]*([^?#]*)", 1)
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    return F.translate(host, upper, upper.lower()), path
+    return lowered(host), path
 
 
 def keyed(pages: DataFrame) -> DataFrame:
@@ -75,7 +80,7 @@ def keyed(pages: DataFrame) -> DataFrame:
     rows = pages.withColumn("__url", url).select("page_id", "url", host.alias("host"), path.alias("path"))
     rows = rows.withColumn("key", F.concat("host", "path"))
     # Splitting leaves an empty token in front of a separator; it is wanted in any case.
-    return rows.withColumn("tokens", F.array_distinct(F.concat(F.array(F.lit("")), F.split(F.lower("key"), "[^a-z0-9]+"))))
+    return rows.withColumn("tokens", F.array_distinct(F.concat(F.array(F.lit("")), F.split(lowered(F.col("key")), "[^a-z0-9]+"))))
 
 
 def sized(index: DataFrame) -> DataFrame:
