@@ -13,7 +13,7 @@ def brute(rows, limit=L.SITES):
     for i, t, s, *_ in rows:
         for line in (t or "").split("\n"):
             line = line.strip(L.BLANKS)
-            if len(line) >= L.MIN_CHARS:
+            if line:
                 sites[line].add(s or "")
                 texts[line].add(t)
                 if i is not None:
@@ -57,6 +57,16 @@ def test_empty_table(spark):
     assert L.remove_boilerplate(spark.createDataFrame([], SCHEMA)).count() == 0
 
 
+def test_columns_of_any_name_are_kept(spark):
+    names = ["__lines", "__left", "__gone", "__id", "___id", "__n_removed", "__n_lines"]
+    rows = [row(i, f"line of its own {i}\nthe very same footer line", f"s{i}")[:4] + tuple(range(i, i + 7)) for i in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names))
+    out = L.strip_documents(docs)
+    assert out.columns == docs.columns
+    assert sorted(tuple(r)[4:] for r in out.collect()) == sorted(r[4:] for r in rows)
+    assert [len(r.text.split("\n")) for r in out.orderBy("doc_id").collect()] == [2, 1, 1, 1, 1, 1]
+
+
 def test_stage_updates_the_count(spark):
     rows = [row(i, f"line of its own {i}\nthe very same footer line", f"s{i}") for i in range(6)]
     out = L.strip_documents(spark.createDataFrame(rows, SCHEMA))

@@ -9,8 +9,7 @@ them; for lines near it the sites and texts are counted exactly.
 
 Lines at or over the limit are removed everywhere but in their home, the document with the
 smallest id that holds them, so no line vanishes from the corpus. Lines are the same if
-they differ in blanks around them only. The query leaves lines shorter than ``MIN_CHARS``
-alone, as its SQL does; the pipeline's stage takes every line that is not blank.
+they differ in blanks around them only, and every line that is not blank takes part.
 DataFrame functions only.
 """
 
@@ -19,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.llm.common import line_key, narrow, stored
+from visitlake.llm.common import line_key, narrow, stored, unused
 
-SITES, MIN_CHARS, BLANKS = 5, 15, " \t\r"
+SITES, BLANKS = 5, " \t\r"
 #: 2^12 registers: a standard error of 1.6 percent, so 8 percent are five of them.
 SKETCH_BITS, MARGIN = 12, 0.08
 
@@ -34,11 +33,11 @@ def trimmed(line: Column) -> Column:
     return F.btrim(line, F.lit(BLANKS))
 
 
-def held_lines(docs: DataFrame, min_chars: int) -> DataFrame:
-    """``doc_id, site, text_hash, h1, h2`` for every line long enough to count."""
+def held_lines(docs: DataFrame) -> DataFrame:
+    """``doc_id, site, text_hash, h1, h2`` for every line that is not blank."""
     lines = docs.select("doc_id", F.coalesce("site", F.lit("")).alias("site"), F.xxhash64("text").alias("text_hash"),
                         F.explode(split_lines(F.col("text"))).alias("line"))
-    lines = lines.withColumn("line", trimmed(F.col("line"))).filter(F.length("line") >= min_chars)
+    lines = lines.withColumn("line", trimmed(F.col("line"))).filter(F.length("line") > 0)
     return lines.select("doc_id", "site", "text_hash", *line_key(F.col("line")))
 
 
@@ -60,9 +59,9 @@ def exact_spreads(lines: DataFrame, near: DataFrame) -> DataFrame:
     return n_sites.join(n_texts, ["h1", "h2"]).select("h1", "h2", F.least("n_sites", "n_texts").alias("exact"))
 
 
-def boilerplate(docs: DataFrame, sites: int = SITES, min_chars: int = MIN_CHARS) -> DataFrame:
+def boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     """``h1, h2, home`` of the lines at or over the limit. Of ``doc_id, text, site``."""
-    lines = held_lines(docs, min_chars)
+    lines = held_lines(docs)
     candidates = stored(spreads(lines, sites))
     clear = F.col("spread") > sites * (1 + MARGIN)
     counted = exact_spreads(lines, candidates.filter(~clear)).filter(F.col("exact") >= sites)
@@ -70,33 +69,38 @@ def boilerplate(docs: DataFrame, sites: int = SITES, min_chars: int = MIN_CHARS)
         candidates.filter(~clear).join(counted, ["h1", "h2"]).select("h1", "h2", "home"))
 
 
-def remove_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source",
-                       sites: int = SITES, min_chars: int = MIN_CHARS) -> DataFrame:
-    """Every row with its own columns, the text without its boilerplate lines, and
-    ``__n_lines``, ``__n_removed``.
+def remove_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source", sites: int = SITES,
+                       n_lines: str = "__n_lines", n_removed: str = "__n_removed") -> DataFrame:
+    """Every row with its own columns, the text without its boilerplate lines, and its number of
+    lines and of those removed, under the names given.
 
     Documents that hold none are not changed; a text may become empty, its row stays. A null
     text stays null and has no lines; an empty one has one empty line. A null site is a site
     of its own. Rows without an id are never a home. Repeated rows are one text on one site,
-    and stay repeated.
+    and stay repeated. Columns may have any names but those two; an empty table stays empty.
     """
     rows = narrow(docs, doc_id=doc_id, text=text, site=site)
-    found = stored(boilerplate(rows, sites, min_chars))
-    gone = (held_lines(rows, min_chars).join(found, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("home")))
-            .groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias("__gone")).withColumnRenamed("doc_id", "__id"))
-    lines, own = split_lines(F.col(f"`{text}`")), F.col(f"`{text}`")
-    left = F.filter("__lines", lambda x: ~F.array_contains("__gone", F.struct(*line_key(trimmed(x)))) | (F.length(trimmed(x)) < min_chars))
-    joined = docs.join(gone, F.col(f"`{doc_id}`").eqNullSafe(F.col("__id")), "left").withColumn("__lines", lines)
-    joined = joined.withColumn("__left", F.when(F.col("__gone").isNotNull(), left).otherwise(F.col("__lines")))
-    kept = F.when(F.col("__gone").isNull(), own).otherwise(F.array_join("__left", "\n"))
-    return (joined.withColumn("__n_lines", F.when(own.isNull(), 0).otherwise(F.size("__lines")))
-            .withColumn("__n_removed", F.size("__lines") - F.size("__left"))
-            .select(*[kept.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns], "__n_lines", "__n_removed"))
+    found = stored(boilerplate(rows, sites))
+    lines, left, gone, other = unused(docs, "__lines", "__left", "__gone", "__id")
+    bad = (held_lines(rows).join(found, ["h1", "h2"]).filter(~F.col("doc_id").eqNullSafe(F.col("home")))
+           .groupBy("doc_id").agg(F.collect_set(F.struct("h1", "h2")).alias(gone)).withColumnRenamed("doc_id", other))
+    own = F.col(f"`{text}`")
+    stay = F.filter(lines, lambda x: ~F.array_contains(gone, F.struct(*line_key(trimmed(x)))) | (F.length(trimmed(x)) == 0))
+    joined = docs.join(bad, F.col(f"`{doc_id}`").eqNullSafe(F.col(other)), "left").withColumn(lines, split_lines(own))
+    joined = joined.withColumn(left, F.when(F.col(gone).isNotNull(), stay).otherwise(F.col(lines)))
+    kept = F.when(F.col(gone).isNull(), own).otherwise(F.array_join(left, "\n"))
+    counted = F.when(own.isNull(), 0).otherwise(F.size(lines)).alias(n_lines)
+    removed = (F.size(lines) - F.size(left)).alias(n_removed)
+    return joined.select(*[kept.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns], counted, removed)
 
 
 def strip_documents(docs: DataFrame) -> DataFrame:
-    """The documents with their columns, texts and ``n_chars`` after removal of boilerplate lines of any length."""
-    stripped = remove_boilerplate(docs, min_chars=1)
+    """The documents with their columns, texts and ``n_chars`` after removal of boilerplate lines.
+
+    Nulls, repeated rows, empty tables and other columns as ``remove_boilerplate`` has them; ``n_chars``
+    of a text that has lost nothing is left as it was."""
+    n_lines, n_removed = unused(docs, "__n_lines", "__n_removed")
+    stripped = remove_boilerplate(docs, n_lines=n_lines, n_removed=n_removed)
     count = F.length("text").cast("long")
-    return stripped.select(*[F.when(F.col("__n_removed") > 0, count).otherwise(F.col("n_chars")).alias(c) if c == "n_chars"
+    return stripped.select(*[F.when(F.col(n_removed) > 0, count).otherwise(F.col("n_chars")).alias(c) if c == "n_chars"
                              else F.col(f"`{c}`") for c in docs.columns])

@@ -139,7 +139,7 @@ WITH split AS (
   SELECT row, doc_id, coalesce(source, '') AS site, text, pos, lines[pos] AS raw, trim(lines[pos], ' ' || chr(9) || chr(13)) AS line
   FROM (SELECT *, unnest(range(1, len(lines) + 1)) AS pos FROM split)
 ), bad AS (
-  SELECT line, min(doc_id) AS home FROM held WHERE length(line) >= {linespread.MIN_CHARS}
+  SELECT line, min(doc_id) AS home FROM held WHERE line <> ''
   GROUP BY line HAVING least(count(DISTINCT site), count(DISTINCT text)) >= {linespread.SITES}
 ), kept AS (
   SELECT row, string_agg(raw, chr(10) ORDER BY pos) FILTER (WHERE bad.line IS NULL OR doc_id = home) AS text,
