@@ -27,11 +27,11 @@ def learned(spark):
 def test_scores_every_row(spark, learned):
     rows = [(1, "the cat sat", "x", 1), (2, "you idiot you idiot", "y", 1), (3, None, "z", 2), (4, "", "z", 2), (2, "you idiot you idiot", "y", 1),
             (None, "cat " * 50_000, None, None)]
-    got = learned.score(spark.createDataFrame(rows, SCHEMA).drop("__p"), score="p", predicted="label").collect()
+    got = learned.score(spark.createDataFrame(rows, SCHEMA), score="p", predicted="label").collect()
     assert len(got) == len(rows) and all(0 <= r.p <= 1 and r.label == int(r.p >= 0.5) for r in got)
     assert [r.label for r in got if r.doc_id == 2] == [1, 1]
     assert {r.label for r in got if r.doc_id in (1, 3, 4)} == {0}
-    assert set(got[0].asDict()) == {"doc_id", "text", "score", "p", "label"}
+    assert set(got[0].asDict()) == {"doc_id", "text", "score", "p", "label", "__p"}
 
 
 def test_no_labels_or_one_class(spark):
@@ -83,6 +83,6 @@ def test_held_out_accuracy(spark):
 def test_clean_documents_stay(spark):
     docs = spark.createDataFrame(made(400, lambda i: i % 3 == 0), SCHEMA)
     labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(200)], LABELS)
-    kept = T.keep_clean(docs.drop("__p"), labels)
-    assert kept.columns == ["doc_id", "text", "score"]
+    kept = T.keep_clean(docs, labels)
+    assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(400) if i % 3]

@@ -23,10 +23,12 @@ from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.llm.common import importable, narrow, stored
+from visitlake.llm.common import importable, narrow, stored, unused
 
 FOLDS, HELD_OUT, CALIBRATION = 5, 0, 4
 MAX_LABELLED, LEXICON_SIZE, TREES, DEPTH = 100_000, 5_000, 30, 4
+#: Rows a leaf of a tree has at least: fewer say nothing where one label in ten is wrong.
+LEAF_ROWS = 8
 STEMS, STRONG, WINDOW, NEAR, WEIGHTS_KEPT = (4, 5), 4.0, 40, 4, 400_000
 
 INSULTS = frozenset("""
@@ -167,18 +169,23 @@ class ToxicityModel:
     rate: float
 
     def score(self, df: DataFrame, text: str = "text", score: str = "score", predicted: str = "predicted") -> DataFrame:
-        """All rows and columns of ``df`` with a score from 0 to 1 and 1 where it is 0.5 or more."""
+        """All rows and columns of ``df`` with a score from 0 to 1 and 1 where it is 0.5 or more.
+
+        The columns travel as one, so that none of them can clash with what the model adds;
+        columns named like the two results are replaced."""
+        columns = [c for c in df.columns if c not in (score, predicted)]
         if self.trees is None:
-            out = df.withColumn(score, F.lit(self.rate))
+            out = df.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"), F.lit(self.rate).alias("__score"))
         else:
-            own = ("__features", "__raw", "__probability", "__p", "__calibrated", "__tree")
-            out = importable(df).withColumn("__features", array_to_vector(feature_column(F.col(f"`{text}`"), self.lexicon)))
-            out = self.trees.transform(out).withColumn("__p", vector_to_array("__probability")[1])
+            table = importable(df).select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("__row"),
+                                          array_to_vector(feature_column(F.col(f"`{text}`"), self.lexicon)).alias("__features"))
+            out = self.trees.transform(table).withColumn("__p", vector_to_array("__probability")[1])
             out = self.calibration.transform(out) if self.calibration else out.withColumn("__calibrated", F.col("__p"))
             # A trace of the uncalibrated value keeps the order within the steps of the calibration.
             value = F.col("__calibrated") * 0.999 + F.col("__p") * 0.001
-            out = out.withColumn(score, F.greatest(F.lit(0.0), F.least(F.lit(1.0), value))).drop(*own)
-        return out.withColumn(predicted, (F.col(score) >= 0.5).cast("int"))
+            out = out.withColumn("__score", F.greatest(F.lit(0.0), F.least(F.lit(1.0), value)))
+        return out.select(*[F.col("__row").getField(c).alias(c) for c in columns], F.col("__score").alias(score),
+                          (F.col("__score") >= 0.5).cast("int").alias(predicted))
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
@@ -200,7 +207,7 @@ def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str =
     table = stored(rows.select(array_to_vector(feature_column(F.col("text"), lexicon)).alias("__features"),
                                F.col("y").cast("double").alias("y"), "fold"))
     boosted = GBTClassifier(featuresCol="__features", labelCol="y", predictionCol="__tree", maxIter=trees,
-                            maxDepth=DEPTH, stepSize=0.2, seed=7)
+                            maxDepth=DEPTH, stepSize=0.2, minInstancesPerNode=LEAF_ROWS, seed=7)
     boosted = boosted.setRawPredictionCol("__raw").setProbabilityCol("__probability")
     model = boosted.fit(table.filter(F.col("fold") != CALIBRATION).coalesce(8))
     unseen = model.transform(table.filter(F.col("fold") == CALIBRATION)).select(
@@ -221,7 +228,10 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows, with their own columns, that the model does not reject."""
+    """The rows, with their own columns, that the model does not reject.
+
+    Null and empty texts are clean as long as the labels have clean rows; repeated rows stay repeated, an empty table stays empty."""
     columns = docs.columns
-    scored = fit(docs, labels).score(docs, score="__score", predicted="__rejected")
-    return scored.filter("__rejected = 0").select(*[F.col(f"`{c}`") for c in columns])
+    score, rejected = unused(docs, "__score", "__rejected")
+    scored = fit(docs, labels).score(docs, score=score, predicted=rejected)
+    return scored.filter(F.col(rejected) == 0).select(*[F.col(f"`{c}`") for c in columns])
