@@ -40,6 +40,7 @@ CORE = LENGTH - CELL + 1
 #: Strings handled at once, a text's long stretches are cut here; symbols in one suffix array; members of a group in one task.
 STRETCH, SYMBOLS, LARGE = 200_000, 60_000, 2_000
 POSITION = (1 << 18) - 1
+CELLS_AT_ONCE = 20_000
 RUNS = "doc_id long, text_hash long, runs array<struct<first:int,last:int,at:int,anchor:long,content:long>>"
 CELLS = "doc_id long, text_hash long, at int, cell int, anchor long, core long, left binary, right binary"
 PACKED = "doc_id long, text_hash long, data binary"
@@ -185,21 +186,23 @@ def find_runs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def cut_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The cells of a document's listed runs. Tails end where the run ends, so a string is in one cell only."""
+    names = [c.split()[0] for c in CELLS.split(", ")]
+    frame = lambda rows: pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64"})
     for batch in batches:
-        for _, row in batch.iterrows():
-            data, rows = unsqueezed(row["data"]), []
-            for run in row["runs"]:
-                at = run["at"]
-                for cell in range((at - run["last"]) // CELL, (at - run["first"]) // CELL + 1):
+        rows: list[tuple] = []
+        for key, text_hash, packed, runs in zip(batch["doc_id"].astype("Int64"), batch["text_hash"], batch["data"], batch["runs"], strict=True):
+            data = unsqueezed(packed)
+            for run in runs:
+                at, first, end = run["at"], run["first"], run["last"] + LENGTH
+                for cell in range((at - run["last"]) // CELL, (at - first) // CELL + 1):
                     core = at - cell * CELL
-                    rows.append((at, cell, run["anchor"], data[core : core + CORE],
-                                 data[max(run["first"], core - CELL + 1) : core],
-                                 data[core + CORE : min(run["last"] + LENGTH, core + CORE + CELL - 1)]))
-            out = pd.DataFrame(rows, columns=["at", "cell", "anchor", "core", "left", "right"])
-            out["core"] = [int.from_bytes(hashlib.blake2b(c, digest_size=8).digest(), "little", signed=True) for c in out["core"]]
-            out.insert(0, "doc_id", row["doc_id"])
-            out.insert(1, "text_hash", row["text_hash"])
-            yield out.astype({"doc_id": "Int64"})
+                    digest = hashlib.blake2b(data[core : core + CORE], digest_size=8).digest()
+                    rows.append((key, text_hash, at, cell, run["anchor"], int.from_bytes(digest, "little", signed=True),
+                                 data[max(first, core - CELL + 1) : core], data[core + CORE : min(end, core + CORE + CELL - 1)]))
+            if len(rows) >= CELLS_AT_ONCE:
+                yield frame(rows)
+                rows = []
+        yield frame(rows)
 
 
 def repeated_starts(contents: Sequence[tuple[int, bytes, bytes]]) -> list[list[int]]:
@@ -258,10 +261,31 @@ def compare_cells(cells: pd.DataFrame) -> pd.DataFrame:
     ids, hashes, at, cell = (cells[c].to_numpy() for c in ("doc_id", "text_hash", "at", "cell"))
     for i, starts in found.items():
         core = at[i] - cell[i] * CELL
-        rows += [(ids[i], hashes[i], core - t, core - t + LENGTH) for t in starts]
+        rows += [(ids[i], hashes[i], core - most, core - least + LENGTH) for least, most in stretches(starts)]
     return pd.DataFrame(rows, columns=["doc_id", "text_hash", "start", "end"]).astype({"doc_id": "Int64"})
 
 
+def stretches(numbers: Sequence[int]) -> list[tuple[int, int]]:
+    """First and last of each run of whole numbers that follow each other, of sorted ones."""
+    out: list[tuple[int, int]] = []
+    for n in numbers:
+        if out and n == out[-1][1] + 1:
+            out[-1] = (out[-1][0], n)
+        else:
+            out.append((n, n))
+    return out
+
+
+def spans_of_cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One span for each run of repeated starts of a cell."""
+    for batch in batches:
+        rows = []
+        for key, text_hash, at, cell, starts in zip(*(batch[c] for c in ("doc_id", "text_hash", "at", "cell", "starts")), strict=True):
+            core = at - cell * CELL
+            rows += [(key, text_hash, core - most, core - least + LENGTH) for least, most in stretches(sorted(starts))]
+        yield pd.DataFrame(rows, columns=["doc_id", "text_hash", "start", "end"]).astype({"doc_id": "Int64"})
+
+
 def large_groups(cells: DataFrame) -> DataFrame:
     """The same for groups too large for a task: a row for each string, counted by content."""
     t = F.explode(F.sequence(F.lit(0), F.lit(CELL - 1))).alias("t")
@@ -269,8 +293,9 @@ def large_groups(cells: DataFrame) -> DataFrame:
     strings = strings.withColumn("string", F.expr(f"md5(concat(substring(left, length(left) - t + 1, t), substring(right, 1, {CELL - 1} - t)))"))
     key = ["anchor", "cell", "core", "t", "string"]
     often = strings.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1").select(*key)
-    start = (F.col("at") - F.col("cell") * CELL - F.col("t")).cast("int")
-    return strings.join(often, key).select("doc_id", "text_hash", start.alias("start"), (start + LENGTH).alias("end"))
+    # A cell has at most as many starts as it is wide; they leave as spans.
+    repeated = strings.join(often, key).groupBy("doc_id", "text_hash", "at", "cell").agg(F.collect_set("t").alias("starts"))
+    return repeated.mapInPandas(spans_of_cells, SPANS)
 
 
 def united(spans: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
