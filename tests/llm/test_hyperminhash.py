@@ -91,8 +91,9 @@ def test_registers_estimate_the_similarity():
 
 
 def test_sets_do_not_depend_on_the_order_of_repeats():
-    assert (H.shingles("a b c d e f a b c d e") == np.unique(H.shingles("a b c d e f a b c d e"))).all()
-    assert len(H.shingles("a b")) == 1 and (H.shingles("a b") != H.shingles("a b c")).all()
+    of = lambda text: H.shingles(text, H.WordHashes())
+    assert (of("a b c d e f a b c d e") == np.unique(of("a b c d e f a b c d e"))).all()
+    assert len(of("a b")) == 1 and (of("a b") != of("a b c")).all()
 
 
 @pytest.mark.parametrize("edges", [[], [(1, 1)], [(5, 4), (4, 3), (3, 2), (2, 1), (9, 8), (8, 9)], [(i, i + 1) for i in range(20)], [(0, i) for i in range(1, 50)]])
@@ -111,3 +112,17 @@ def test_one_of_each_component_stays(spark):
     kept = H.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string"))
     assert kept.columns == ["doc_id", "text", "source"]
     assert sorted(r.doc_id for r in kept.collect()) == [1, 7, 8, 9]
+
+
+def test_words_kept_are_bounded_by_bytes(monkeypatch):
+    text = " ".join(f"word{i % 700}" for i in range(3000))
+    whole = H.shingles(text, H.WordHashes())
+    monkeypatch.setattr(H, "WORD_BYTES", 5000)
+    known = H.WordHashes()
+    assert (H.shingles(text, known) == whole).all() and len(known) < 5000 / H.ENTRY_BYTES
+
+
+def test_stage_keeps_columns_of_any_name(spark):
+    text = "one two three four five six seven eight"
+    docs = spark.createDataFrame([(1, text, "a", 7), (2, text, "b", 8), (3, "something else entirely", "c", 9)], "doc_id long, text string, __text string, __kept int")
+    assert sorted(map(tuple, H.keep_one(docs).collect())) == [(1, text, "a", 7), (3, "something else entirely", "c", 9)]

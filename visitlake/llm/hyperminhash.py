@@ -29,14 +29,15 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.llm.common import importable, narrow, stored
+from visitlake.llm.common import importable, narrow, stored, unused
 from visitlake.llm.components import components
 
 WORDS, SHARE = 5, 85
 BANDS, ROWS, MANTISSA = 32, 6, 10
 REGISTERS = BANDS * ROWS
 EMPTY = 0xFFFF
-WORDS_KEPT = 400_000
+#: Bytes a task spends on words met before, and what one costs beside its letters.
+WORD_BYTES, ENTRY_BYTES, TEXTS_AT_ONCE = 16_000_000, 170, 512
 #: Members of a bucket in one block, and rows a task is meant to get of many small ones.
 BLOCK, TASK_ROWS = 256, 2_000
 SKETCH = "doc_id long, n_shingles long, key binary, registers binary, buckets array<long>"
@@ -50,24 +51,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class WordHashes(dict):
+    """Hashes of words met before, for one task and of bounded size."""
+
+    def __init__(self):
+        super().__init__()
+        self.size = 0
+
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
+        self.size += len(word) + ENTRY_BYTES
+        if self.size > WORD_BYTES:
             self.clear()
+            self.size = len(word) + ENTRY_BYTES
         value = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
         return value
 
 
-@cache
-def word_hashes() -> WordHashes:
-    return WordHashes()
-
-
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+def shingles(text: str | None, known: WordHashes, words: int = WORDS) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles; a shorter text is one shingle as a whole."""
     split = text.encode().lower().split() if text else []  # on bytes: A-Z only, and ASCII blanks only
     if not split:
         return np.empty(0, dtype=np.uint64)
-    hashes = np.fromiter(map(word_hashes().__getitem__, split), dtype=np.uint64, count=len(split))
+    hashes = np.fromiter(map(known.__getitem__, split), dtype=np.uint64, count=len(split))
     size = min(words, len(split))
     rolled = np.full(len(split) - size + 1, size, dtype=np.uint64)
     for k in range(size):
@@ -112,10 +116,11 @@ def sketches(docs: DataFrame) -> DataFrame:
     """Of ``doc_id, text``. Texts without words have no key, registers or buckets."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
         for batch in batches:
             rows = []
             for text in batch["text"]:
-                hashes = shingles(text if isinstance(text, str) else None)
+                hashes = shingles(text if isinstance(text, str) else None, known)
                 if len(hashes):
                     sketch = registers(hashes)
                     rows.append((len(hashes), hashlib.md5(hashes.tobytes()).digest(), sketch.tobytes(), bucket_keys(sketch)))
@@ -179,10 +184,13 @@ def shingle_sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """``node, shingles, short`` (their lower halves, sorted) of the documents named by ``nodes``."""
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordHashes()
         for batch in batches:
-            sets = [shingles(text if isinstance(text, str) else None) for text in batch["text"]]
-            short = [np.sort(x.astype(np.uint32)).tobytes() for x in sets]
-            yield pd.DataFrame({"node": batch["doc_id"], "shingles": [x.view(np.int64) for x in sets], "short": short}).astype({"node": "Int64"})
+            for start in range(0, len(batch), TEXTS_AT_ONCE):
+                part = batch.iloc[start : start + TEXTS_AT_ONCE]
+                sets = [shingles(text if isinstance(text, str) else None, known) for text in part["text"]]
+                short = [np.sort(x.astype(np.uint32)).tobytes() for x in sets]
+                yield pd.DataFrame({"node": part["doc_id"], "shingles": [x.view(np.int64) for x in sets], "short": short}).astype({"node": "Int64"})
 
     wanted = docs.join(nodes.select(F.col("node").alias("doc_id")), "doc_id", "left_semi")
     return importable(wanted).mapInPandas(of, "node long, shingles array<long>, short binary")
@@ -282,6 +290,7 @@ def keep_one(docs: DataFrame, share: int = SHARE) -> DataFrame:
     """One row of each component, with its own columns: the one with the smallest id. Texts
     without words and rows linked with nothing all stay; repeated rows stay once."""
     columns = docs.columns
-    kept = linked(docs, share=share).filter("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
-    return left.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).select(*[F.col(f"`{c}`") for c in columns])
+    own, words = unused(docs, "__kept", "__text")
+    kept = linked(docs, share=share).filter("kept").select(F.col("doc_id").alias(own)).distinct()
+    left = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(own)), "left_semi")
+    return left.withColumn(words, F.xxhash64("text")).dropDuplicates(["doc_id", words]).select(*[F.col(f"`{c}`") for c in columns])
