@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tests.conftest import rows
+from tests.conftest import plan_of, rows
 from visitlake.plans import packed
 from visitlake.plans.crossfilter import Encoding
 
@@ -55,3 +55,12 @@ def test_a_code_that_does_not_fit_stops_the_job(spark, value):
 def test_widths():
     assert [packed.width_of(n) for n in (0, 1, 256, 257, 65536, 65537, 2**24, 2**24 + 1)] == [1, 1, 1, 2, 2, 3, 3, 4]
     assert sum(packed.widths(Encoding()).values()) == 11
+
+
+def test_a_code_is_not_cut_out_of_a_whole_chunk(spark):
+    """Codes are read from small blocks that are rows of their own; the rows are those packed across block borders."""
+    data, df = made(spark, 2 * packed.BLOCK + 5, 4)
+    again = packed.unpack(packed.pack(df, SIZES, rows=packed.BLOCK + 3), SIZES)
+    plan = plan_of(again)
+    assert plan.split("== Physical Plan ==")[1].count("Generate") >= 3
+    assert [tuple(r) for r in again.orderBy("Row").select(*SIZES).collect()] == [row[1:] for row in sorted(data)]

@@ -16,6 +16,8 @@ from visitlake.operators.windows import numbered
 from visitlake.plans.crossfilter import Encoding
 
 ROWS = 4096
+#: Rows of a chunk that are unpacked together.
+BLOCK = 64
 
 
 def widths(coding: Encoding, doctor: int = 1, patient: int = 2) -> dict[str, int]:
@@ -57,16 +59,26 @@ def pack(encoded: DataFrame, sizes: dict[str, int], key: str = "VisitID", rows:
 
 
 def unpack(packed: DataFrame, sizes: dict[str, int]) -> DataFrame:
-    """The codes again as whole numbers, with the ``Row`` each has: one column for each of ``sizes``."""
-    parts = packed.groupBy("Chunk", "FirstRow", "Rows").agg(*(
-        F.max(F.when(F.col("ColumnName") == name, F.hex("Bytes"))).alias(f"_{name}") for name in sizes))
-    rows = parts.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("Rows") - 1)).alias("_i"))
-
-    def code(name: str, width: int) -> Column:
-        pair = lambda i: F.substring(F.col(f"_{name}"), F.col("_i").cast("int") * 2 * width + 1 + 2 * i, F.lit(2))
-        return F.conv(F.concat(*(pair(i) for i in reversed(range(width)))), 16, 10).cast("int" if width < 4 else "bigint").alias(name)
+    """The codes again as whole numbers, with the ``Row`` each has: one column for each of ``sizes``.
 
-    return rows.select((F.col("FirstRow") + F.col("_i")).alias("Row"), *(code(name, width) for name, width in sizes.items()))
+    A chunk is cut into blocks of ``BLOCK`` rows before its codes are read, since every reading of a code
+    passes over the value it is cut from; the lists of a block's codes are then rows side by side.
+    """
+    parts = packed.groupBy("Chunk", "FirstRow", "Rows").agg(*(
+        F.max(F.when(F.col("ColumnName") == name, F.col("Bytes"))).alias(f"_{name}") for name in sizes))
+    block = lambda at: F.struct((F.col("FirstRow") + at).alias("_first"), *(
+        F.substring(F.col(f"_{name}"), at * width + 1, F.lit(BLOCK * width)).alias(f"_{name}") for name, width in sizes.items()))
+    blocks = parts.select(F.inline(F.transform(F.sequence(F.lit(0), F.col("Rows").cast("int") - 1, F.lit(BLOCK)), block)))
+
+    def codes(name: str, width: int) -> Column:
+        digits = lambda at: F.hex(F.substring(F.col(f"_{name}"), at, F.lit(1)))
+        whole = lambda at: digits(at) if width == 1 else F.concat(*(digits(at + i) for i in reversed(range(width))))
+        starts = F.sequence(F.lit(1), F.length(f"_{name}") - width + 1, F.lit(width))
+        return F.transform(starts, lambda at: F.conv(whole(at), 16, 10).cast("int" if width < 4 else "bigint")).alias(name)
+
+    lists = blocks.select("_first", F.arrays_zip(*(codes(name, width) for name, width in sizes.items())).alias("_codes"))
+    rows = lists.select("_first", F.posexplode("_codes").alias("_i", "_code"))
+    return rows.select((F.col("_first") + F.col("_i")).alias("Row"), *(F.col(f"_code.{name}").alias(name) for name in sizes))
 
 
 def totals(packed: DataFrame) -> DataFrame:
