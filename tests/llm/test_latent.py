@@ -188,3 +188,14 @@ def test_stage_keeps_columns_of_any_name(spark):
     docs = spark.createDataFrame([(1, item, 5, "x"), (2, "nothing of the kind", 6, "y"), (None, None, 7, "z")], "doc_id long, text string, __id int, __hash string")
     bench = spark.createDataFrame([(9, item)], "item_id long, text string")
     assert sorted(map(tuple, L.keep_unleaked(docs, bench).collect()), key=repr) == [(2, "nothing of the kind", 6, "y"), (None, None, 7, "z")]
+
+
+def test_the_space_is_fitted_on_every_row(spark, monkeypatch):
+    seen, fit = [], L.latent_space
+    monkeypatch.setattr(L, "FITTED", 10)
+    monkeypatch.setattr(L.sampled, "__defaults__", (10,))
+    monkeypatch.setattr(L, "latent_space", lambda tokens, *rest: seen.append(tokens.count()) or fit(tokens, *rest))
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(i, " ".join(words(rng, 40))) for i in range(60)], "doc_id long, text string")
+    L.leaks(docs, spark.createDataFrame([(1, " ".join(words(rng, 20)))], "item_id long, text string"))
+    assert seen == [60]

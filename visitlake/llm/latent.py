@@ -48,7 +48,7 @@ CLOSE, COPIED, SIMILAR, ANSWERED = 0.15, 0.8, 0.5, 0.8
 ANSWER_SHARE, LEAST_ANSWER = 0.25, 4
 #: Items compared in one pass over the documents; more items take more passes.
 ITEMS_AT_ONCE, TEXTS_AT_ONCE, CHUNK_BYTES = 1_000, 128, 1_000_000
-#: Rows the latent space is fitted on, about: a sample by hash. Every row is searched.
+#: Rows of a ``sampled`` table, about.
 FITTED = 50_000
 WORD = re.compile(r"\w+")
 
@@ -227,7 +227,7 @@ def sketch(tokens: DataFrame, weights: np.ndarray, block: np.ndarray) -> np.ndar
 
 
 def sampled(tokens: DataFrame, most: int = FITTED) -> DataFrame:
-    """About ``most`` rows, picked by a hash of id and text: all of them where there are fewer."""
+    """About ``most`` rows, picked by a hash of id and text, for trials: ``leaks`` fits its space on all rows."""
     total = tokens.count()
     share = min(1.0, most / max(total, 1))
     return tokens if share == 1.0 else tokens.filter(F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(1_000_000_007)) < int(share * 1_000_000_007))
@@ -327,7 +327,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: s
     if number:
         n_halves, by_column, n_texts, by_word = frequencies(rows, len(vocabulary))
         shares = dict(zip(vocabulary, by_word / max(n_texts, 1), strict=True))
-        space = latent_space(sampled(rows), weights_of(n_halves, by_column))[0]
+        space = latent_space(rows, weights_of(n_halves, by_column))[0]
     found = []
     for turn in range(passes):
         some = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == turn).orderBy("item_id", "text").collect()
