@@ -184,3 +184,15 @@ def test_month_gaps(spark):
     assert broken(checks.month_gaps(days)) == {"months without a gap": (3, "3 of 6")}
     assert broken(checks.month_gaps(days.filter("VisitDate < date'2023-12-01'"))) == {}
     assert broken(checks.month_gaps(days.filter("false"))) == {}
+
+
+def test_entries_of_a_profile_are_hashed_once_and_join_nothing(spark):
+    """Keys of a fact and of its dimensions meet in one hash grouping, whole numbers as numbers."""
+    facts = spark.createDataFrame([(1, 5, 7, None), (1, 5, 8, "a"), (2, 2**60 + 1, 10, "b"), (None, None, 9, "b")], "id long, big long, few int, name string")
+    dims = {"big": spark.createDataFrame([(2**60,), (5,), (None,)], "big long"),
+            "few": spark.createDataFrame([("7",), ("07",)], "few string"), "name": spark.createDataFrame([("b",), ("b",), (None,)], "name string")}
+    found = quality.profile(facts, "id", [quality.Rule("low", F.col("few") > 7)], True, dims)
+    got = {r.CheckID: (r.Violations, r.Sample) for r in found.collect()}
+    assert got == {"low": (3, "1"), "unique id": (1, "1"), "orphan big": (2, str(2**60 + 1)), "orphan few": (3, "8"), "orphan name": (2, "a")}
+    plan = plan_of(found).split("== Physical Plan ==")[1]
+    assert "HashAggregate(keys=[_check" in plan and "_text" not in "".join(line for line in plan.splitlines() if "Join" in line)

@@ -62,10 +62,8 @@ def unique_key(df: DataFrame, key: str, check_id: str) -> DataFrame:
     return _result(found, check_id, F.col("_v"), F.col("_s"))
 
 
-def _typed(value: Column, kind: str) -> tuple[Column, Column]:
-    """A key as text, and as a number where that is how its kind is ordered."""
-    whole = kind in ("tinyint", "smallint", "int", "bigint") or kind.startswith("decimal")
-    return value.cast("string"), (value if whole else F.lit(None)).cast("decimal(38,0)")
+#: Kinds of keys that are counted as numbers.
+WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def profile(
@@ -73,42 +71,45 @@ def profile(
 ) -> DataFrame:
     """Row rules, the unique ``key`` and the foreign keys of a fact in one scan and one shuffle.
 
-    Every row names what it is asked about: its own key, its foreign keys and the rules it
-    breaks. Equal names and values combine before the shuffle, so a key value that a third of
-    all rows hold, or a rule that all rows break, leaves each task as one row. The
-    dimensions' keys meet them once, all together.
+    Every row lists what it is asked about: its own key, its foreign keys, and its key once more for
+    each rule it breaks. An entry is the number of its check and the value, as a whole number where both sides
+    have one. Equal entries combine before the shuffle, so a key value that a third of all rows hold leaves each
+    task as one row. The dimensions' keys are entries of the same grouping, so no join follows it.
     """
     dims, kinds = dims or {}, dict(facts.dtypes)
-    item = lambda name, text, number: F.struct(F.lit(name).alias("_name"), text.alias("_text"), number.alias("_number"))
-    own = _typed(F.col(key), kinds[key])
-    none = _typed(F.lit(None), "string")
-    asked = [item(f"unique {key}", *own)] if unique else []
-    asked += [item(f"orphan {name}", *_typed(F.col(name), kinds[name])) for name in dims]
-    broken = [F.when(F.coalesce(rule.broken, F.lit(False)), item(rule.id, *none)) for rule in rules]
+    every = [(rule.id, rule.severity) for rule in rules] + [(f"unique {key}", "error")] * unique + [(f"orphan {name}", "error") for name in dims]
+    first_dim = len(rules) + unique
+    whole = {name: kinds[name] in WHOLE and dict(dim.dtypes)[name] in WHOLE for name, dim in dims.items()}
+    own_whole = kinds[key] in WHOLE
+
+    def entry(check: int, value: Column, as_number: bool) -> list[Column]:
+        text, number = (F.lit(None), value) if as_number else (value, F.lit(None))
+        return [F.lit(check).alias("_check"), text.cast("string").alias("_text"), number.cast("bigint").alias("_number")]
+
+    own = lambda check: F.struct(*entry(check, F.col(key), own_whole))
+    asked = [own(len(rules))] * unique + [F.struct(*entry(first_dim + i, F.col(name), whole[name])) for i, name in enumerate(dims)]
+    broken = [F.when(F.coalesce(rule.broken, F.lit(False)), own(i)) for i, rule in enumerate(rules)]
     items = F.concat(F.array(*asked), F.array_compact(F.array(*broken))) if asked and broken else (
         F.array(*asked) if asked else F.array_compact(F.array(*broken)))
-    sample = F.struct(own[1].alias("_number"), own[0].alias("_text"))
-    named = facts.select(items.alias("_items"), F.when(own[0].isNotNull(), sample).alias("_key"))
-    counted = named.select(F.explode("_items").alias("_item"), "_key").select("_item.*", "_key").groupBy("_name", "_text", "_number").agg(
-        F.count(F.lit(1)).alias("_n"), F.min("_key").alias("_key"))
-    found, own_value = F.col("_n"), F.when(F.col("_text").isNotNull(), F.struct("_number", "_text"))
-    if unique:
-        repeated = F.when(F.col("_n") > 1, 1).otherwise(0)
-        found = F.when(F.col("_name") == f"unique {key}", repeated).otherwise(found)
-    is_rule = F.col("_name").isin([rule.id for rule in rules]) if rules else F.lit(False)
-    if dims:
-        known = union_periods([dim.select(F.lit(f"orphan {name}").alias("_name"), F.col(name).cast("string").alias("_text")) for name, dim in dims.items()])
-        counted = counted.join(known.distinct().withColumn("_known", F.lit(True)), ["_name", "_text"], "left")
-        found = F.when(F.col("_known"), 0).otherwise(found)
-    shown = F.when(is_rule, F.col("_key")).otherwise(own_value)
-    checked = counted.select("_name", found.cast("bigint").alias("_v"), shown.alias("_s")).filter("_v > 0")
-    totals = checked.groupBy("_name").agg(F.sum("_v").alias("_v"), F.min("_s").alias("_s"))
-    every = [(rule.id, rule.severity) for rule in rules] + [(f"unique {key}", "error")] * unique + [(f"orphan {name}", "error") for name in dims]
+    entries = facts.select(F.inline(items)).select("*", F.lit(1).alias("_n"), F.lit(0).alias("_known"))
+    known = [dim.filter(F.col(name).isNotNull()).select(*entry(first_dim + i, F.col(name), whole[name]), F.lit(0).alias("_n"), F.lit(1).alias("_known"))
+             for i, (name, dim) in enumerate(dims.items())]
+    counted = union_periods([entries, *known]).groupBy("_check", "_text", "_number").agg(
+        F.sum("_n").alias("_n"), F.max("_known").alias("_known"))
+    repeated = (F.col("_check") == len(rules)) & F.lit(unique)
+    found = F.when(F.col("_known") == 1, 0).when(repeated, F.when(F.col("_n") > 1, 1).otherwise(0)).otherwise(F.col("_n"))
+    # A number that is compared as a text still stands in the order of numbers.
+    ordered = [i for i, name in enumerate([key] * first_dim + list(dims)) if kinds[name] in WHOLE or kinds[name].startswith("decimal")]
+    number = F.when(F.col("_check").isin(ordered), F.coalesce(F.col("_number"), F.col("_text").try_cast("decimal(38,0)"))) if ordered else F.lit(None)
+    shown = F.coalesce(F.col("_text"), F.col("_number").cast("string"))
+    value = F.when(shown.isNotNull(), F.struct(number.cast("decimal(38,0)").alias("_number"), shown.alias("_text")))
+    checked = counted.select("_check", found.cast("bigint").alias("_v"), value.alias("_s")).filter("_v > 0")
+    totals = checked.groupBy("_check").agg(F.sum("_v").alias("_v"), F.min("_s").alias("_s"))
     listed = facts.sparkSession.range(1).select(F.inline(F.array(*(
-        F.struct(F.lit(name).alias("_check"), F.lit(severity).alias("_severity")) for name, severity in every))))
-    results = listed.join(totals, F.col("_check") == F.col("_name"), "left")
+        F.struct(F.lit(i).alias("_place"), F.lit(name).alias("_name"), F.lit(severity).alias("_severity")) for i, (name, severity) in enumerate(every)))))
+    results = listed.join(totals, F.col("_place") == F.col("_check"), "left")
     violations = F.coalesce("_v", F.lit(0)).cast("bigint")
-    return results.select(F.col("_check").alias("CheckID"), F.col("_severity").alias("Severity"), violations.alias("Violations"),
+    return results.select(F.col("_name").alias("CheckID"), F.col("_severity").alias("Severity"), violations.alias("Violations"),
                           F.col("_s._text").alias("Sample"), (violations == 0).alias("Passed"))
 
 
