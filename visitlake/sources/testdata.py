@@ -104,7 +104,6 @@ def visits(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     headers = [c for c in columns if c not in FROM_LINE]
     if not headers:
         return lines.select(*(FROM_LINE[c]().alias(c) for c in columns))
-    lines = lines.select("l_orderkey", *(FROM_LINE[c]().alias(c) for c in columns if c in FROM_LINE))
     plain = dict.fromkeys(source for c in headers for source in ORDER_DIMENSIONS.get(c, [c]))
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), *(FROM_ORDER[c]().alias(c) for c in plain)
@@ -116,8 +115,10 @@ def visits(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
         orders = orders.withColumn("AgeBand", age_band_on(F.col("VisitDate")))
     if "PaymentMethod" in headers:
         orders = orders.join(payments(spark), "PaymentMethodID", "left")
-    # A left join keeps every line, and never makes the lines the broadcast side.
-    return lines.join(orders.select("l_orderkey", *headers), "l_orderkey", "left").select(*columns)
+    # A left join keeps every line, and never makes the lines the broadcast side. Columns of a line are made
+    # after it: each source column is shuffled once, however many columns come from it.
+    joined = lines.join(orders.select("l_orderkey", *headers), "l_orderkey", "left")
+    return joined.select(*(FROM_LINE[c]().alias(c) if c in FROM_LINE else F.col(c) for c in columns))
 
 
 def birth_date(key: Column) -> Column:
