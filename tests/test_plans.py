@@ -119,3 +119,11 @@ def test_checks_of_a_model_read_the_fact_once(name, no_broadcast, sf_dir):
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert sum("lineitem.parquet" in line for line in scans) == 1
     assert sum("orders.parquet" in line for line in scans) <= 1
+
+
+def test_derived_columns_are_made_after_the_header_is_joined(no_broadcast, sf_dir):
+    """A line is shuffled with its source columns, each once."""
+    lines = physical(testdata.visits(no_broadcast, sf_dir)).splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    assert any("concat_ws" in line for line in lines[:join])
+    assert not any("concat_ws" in line for line in lines[join:])
