@@ -199,3 +199,63 @@ def test_the_space_is_fitted_on_every_row(spark, monkeypatch):
     docs = spark.createDataFrame([(i, " ".join(words(rng, 40))) for i in range(60)], "doc_id long, text string")
     L.leaks(docs, spark.createDataFrame([(1, " ".join(words(rng, 20)))], "item_id long, text string"))
     assert seen == [60]
+
+
+def test_words_of_many_texts_are_hashed_as_one_by_one(monkeypatch):
+    rng = random.Random(21)
+    some = ["a", "B_9", "élan", "Straße", "İx", "日本", "x" * 63, "y" * 64, "z" * 65, "é" * 90, "w" * 300, "naïve"]
+    between = [" ", "\n", ", ", "—", "«", " ", "'", "\x85", "...", "\U0001f600", "\x00"]
+    texts = ["".join(rng.choice(some) + rng.choice(between) for _ in range(rng.randrange(40))) for _ in range(60)]
+    texts += [None, "", "—", "one", " ", None, "ends", "x"]
+    vocabulary = L.Vocabulary(sorted({w for t in texts[:5] for w in L.words_of(t)}))
+    for size in (L.CHUNK_BYTES, 50):
+        monkeypatch.setattr(L, "CHUNK_BYTES", size)
+        found, counts = L.hashed_texts(texts)
+        assert counts.tolist() == [len(L.words_of(t)) for t in texts]
+        assert found.tolist() == [int(h) for t in texts for h in L.hashed(L.words_of(t))]
+        held = vocabulary.held_by(found, counts)
+        assert [h.tolist() for h in held] == [vocabulary.held(L.hashed(L.words_of(t))).tolist() for t in texts]
+    assert [h.tolist() for h in L.Vocabulary([]).held_by(found, counts)] == [[]] * len(texts)
+    assert [len(x) for x in L.hashed_texts([None, ""])] == [0, 2]
+
+
+def test_rows_are_summed_by_number():
+    rng = np.random.default_rng(6)
+    numbers = np.where(rng.random((500, 5)) < 0.3, 7, rng.integers(0, 400, (500, 5))).astype(np.uint16)
+    rows = rng.normal(size=(500, 3))
+    want = np.zeros((400, 3))
+    np.add.at(want, numbers.ravel(), np.repeat(rows, 5, axis=0))
+    found, sums = L.summed(numbers, rows)
+    assert sorted(found.tolist()) == np.unique(numbers).tolist() and np.allclose(sums, want[found])
+    assert [len(x) for x in L.summed(numbers[:0], rows[:0])] == [0, 0]
+
+
+def test_candidates_are_all_that_are_close_and_can_leak():
+    """Against each passage and item compared by itself: what is left out has under half of the item around."""
+    rng = random.Random(4)
+    items = [(k, " ".join(words(rng, n, 300))) for k, n in enumerate((5, 20, 33, 70))]
+    texts = [words(rng, n, 300) for n in (0, 3, 16, 90, 250)] + [words(rng, 20, 300) + items[2][1].split() + words(rng, 9, 300)]
+    space = np.random.default_rng(5).normal(size=(L.FEATURES + 1, 8)).astype(np.float32)
+    space[-1] = 0
+    held = {w: 0.01 for _, t in items for w in t.split()}
+    table, passages = L.Items(items, held, space), L.Passages.of([L.columns_of(t) for t in texts])
+    own = L.unit(passages.joined(passages.halves(space)))
+    got, want = set(zip(*(x.tolist() for x in table.candidates(passages, space, 0.15)), strict=True)), set()
+    for p, (doc, number) in enumerate(zip(passages.owner, passages.number, strict=True)):
+        for k, item in enumerate(table.items):
+            parts = L.Passages.of([L.columns_of(item.words)])
+            latent = L.unit(parts.joined(parts.halves(space)))[::2]
+            around = texts[doc][max(0, number * L.HALF - len(item.words)) : number * L.HALF + 2 * L.HALF + len(item.words)]
+            if (latent @ own[p]).max() >= 0.15 and any(item.shares(around)):
+                want.add((p, k))
+    assert want and want <= got and len(got) < len(passages.owner) * len(items) / 2
+
+
+def test_a_task_sums_several_partitions(spark, monkeypatch):
+    seen, made = [], type(spark.range(1)).mapInPandas
+    rng = random.Random(7)
+    docs = spark.createDataFrame([(i, " ".join(words(rng, 30))) for i in range(200)], "doc_id long, text string").repartition(80)
+    tokens = L.tokenised(docs).repartition(80)
+    monkeypatch.setattr(type(tokens), "mapInPandas", lambda df, *how: seen.append(df.rdd.getNumPartitions()) or made(df, *how))
+    L.sketch(tokens, np.ones(L.FEATURES + 1, dtype=np.float32), np.ones((L.FEATURES, 2), dtype=np.float32))
+    assert seen == [max(80 // L.FITTED_AT_ONCE, spark.sparkContext.defaultParallelism)]

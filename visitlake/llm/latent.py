@@ -28,7 +28,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pandas as pd
@@ -50,7 +50,11 @@ ANSWER_SHARE, LEAST_ANSWER = 0.25, 4
 ITEMS_AT_ONCE, TEXTS_AT_ONCE, CHUNK_BYTES = 1_000, 128, 1_000_000
 #: Rows of a ``sampled`` table, about.
 FITTED = 50_000
+#: Bytes of a word that is hashed together with others. Partitions fitted by one task, each task sends one sum.
+SHORT, FITTED_AT_ONCE = 64, 8
 WORD = re.compile(r"\w+")
+#: What ends a word: beyond ASCII, and as a byte of a text in which that has become a blank.
+BEYOND, END, ASCII = re.compile(r"[^\w\x00-\x7f]"), re.compile(rb"[^0-9A-Za-z_\x80-\xff]"), bytes(range(128))
 
 
 def words_of(text: object) -> list[str]:
@@ -62,6 +66,60 @@ def hashed(words: Sequence[str]) -> np.ndarray:
     return np.fromiter(map(zlib.crc32, map(str.encode, words)), dtype=np.uint32, count=len(words))
 
 
+@cache
+def checksums() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Whether a byte is part of a word; what it changes in a CRC-32, by the bytes that follow it; the CRC-32 of zero bytes."""
+    letter = np.array([not END.match(bytes([b])) for b in range(256)])
+    zeros = [zlib.crc32(bytes(n)) for n in range(SHORT + 1)]
+    change = [zlib.crc32(bytes([b]) + bytes(n)) ^ zeros[n + 1] for n in range(SHORT) for b in range(256)]
+    return letter, np.array(change, dtype=np.uint32), np.array(zeros, dtype=np.uint32)
+
+
+def hashed_words(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of every word, that of ``hashed``, and the byte it starts at: a CRC-32 is the exclusive or of
+    what its bytes change, so all words are hashed by one pass over the bytes."""
+    letter, change, zeros = checksums()
+    raw = np.frombuffer(data, dtype=np.uint8)
+    inside = np.zeros(len(raw) + 2, dtype=bool)
+    inside[1:-1] = letter[raw]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint32), starts
+    lengths = ends - starts
+    codes, last = raw[inside[1:-1]], np.cumsum(lengths)
+    behind = np.repeat(last.astype(np.int32), lengths) - np.arange(1, len(codes) + 1, dtype=np.int32)
+    changed = np.bitwise_xor.accumulate(change[np.minimum(behind, SHORT - 1) * 256 + codes])[last - 1]
+    out = changed ^ zeros[np.minimum(lengths, SHORT)]
+    out[1:] ^= changed[:-1]
+    for k in np.flatnonzero(lengths > SHORT):
+        out[k] = zlib.crc32(data[starts[k] : ends[k]])
+    return out, starts
+
+
+def word_bytes(text: str) -> bytes:
+    """The text's bytes, in which those beyond ASCII are parts of words."""
+    data = text.encode(errors="replace")
+    beyond = b"" if text.isascii() else data.translate(None, ASCII)
+    return BEYOND.sub(" ", text).encode() if BEYOND.search(beyond.decode()) else data
+
+
+def hashed_texts(texts: Sequence[object]) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of the words of all texts, one text after the other, and how many words each has."""
+    whole = [word_bytes(t.lower()) if isinstance(t, str) else b"" for t in texts]
+    data, found, at = b"\n".join(whole), [], 0
+    ends = np.cumsum([len(w) + 1 for w in whole])
+    counts = np.zeros(len(whole), dtype=np.int64)
+    while at < len(data):  # one long text is cut between words
+        cut = END.search(data, at + CHUNK_BYTES)
+        end = cut.start() if cut else len(data)
+        hashes, starts = hashed_words(data[at:end])
+        found.append(hashes)
+        counts += np.diff(np.searchsorted(starts + at, ends), prepend=0)
+        at = end
+    return np.concatenate(found) if found else np.zeros(0, dtype=np.uint32), counts
+
+
 def columns_of(words: Sequence[str]) -> np.ndarray:
     return (hashed(words) % FEATURES).astype(np.uint16)
 
@@ -72,6 +130,8 @@ class Vocabulary:
     def __init__(self, words: Sequence[str]):
         found = hashed(words)
         self.hashes, self.places = np.unique(found, return_index=True)
+        self.some = np.zeros(1 << 18, dtype=bool)
+        self.some[self.hashes % len(self.some)] = True
 
     def held(self, found: np.ndarray) -> np.ndarray:
         """The places of the words that are among some hashes, in order."""
@@ -81,6 +141,17 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.hashes, distinct), len(self.hashes) - 1)
         return np.sort(self.places[at[self.hashes[at] == distinct]]).astype(np.uint32)
 
+    def held_by(self, found: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+        """The same for each of some texts, given the hashes of all and how many are each text's."""
+        if not len(self.hashes):
+            return [np.zeros(0, dtype=np.uint32)] * len(counts)
+        few = np.flatnonzero(self.some[found % len(self.some)])
+        at = np.minimum(np.searchsorted(self.hashes, found[few]), len(self.hashes) - 1)
+        sound = self.hashes[at] == found[few]
+        text, size = np.repeat(np.arange(len(counts)), counts)[few[sound]], int(self.places.max()) + 1
+        held = np.unique(text * size + self.places[at[sound]])
+        return np.split((held % size).astype(np.uint32), np.searchsorted(held, np.arange(1, len(counts)) * size))
+
 
 @dataclass
 class Passages:
@@ -114,6 +185,14 @@ class Passages:
         after[goes_on] = halves[1:][goes_on[:-1]]
         return halves + after
 
+    def joined_at(self, at: np.ndarray, weights: np.ndarray) -> np.ndarray:
+        """The same for some halves only, given the rows to be summed."""
+        after = np.minimum(at + 1, max(len(self.owner) - 1, 0))
+        goes_on = (after > at) & (self.owner[after] == self.owner[at])
+        both = sum(weights[self.columns[at, i]] for i in range(HALF))
+        both[goes_on] += sum(weights[self.columns[after[goes_on], i]] for i in range(HALF))
+        return both
+
     def spread(self, joined: np.ndarray) -> np.ndarray:
         """What the passages a half is part of sum up to."""
         begun = np.insert(self.owner[1:] == self.owner[:-1], 0, False) if len(self.owner) else np.zeros(0, dtype=bool)
@@ -152,9 +231,9 @@ def tokenised(rows: DataFrame, vocabulary: Sequence[str] = ()) -> DataFrame:
 
     def of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in chunks(batches):
-            found = [hashed(words_of(t)) for t in part["text"]]
-            columns = [(h % FEATURES).astype(np.uint16).tobytes() for h in found]
-            out = part[names].assign(columns=columns, held=[places.held(h).tobytes() for h in found])
+            found, counts = hashed_texts(part["text"].tolist())
+            columns = np.split((found % FEATURES).astype(np.uint16), np.cumsum(counts)[:-1])
+            out = part[names].assign(columns=[c.tobytes() for c in columns], held=[h.tobytes() for h in places.held_by(found, counts)])
             yield out.astype({c: "Int64" for c in ("doc_id", "text_hash") if c in names})
 
     kinds = ", ".join(f"{name} {kind}" for name, kind in rows.dtypes)
@@ -200,6 +279,26 @@ def inverse_frequencies(tokens: DataFrame) -> np.ndarray:
     return weights_of(*frequencies(tokens)[:2])
 
 
+def summed(numbers: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that occur in a table, and for each the sum of the ``rows`` of its places, one row a row of the table.
+
+    Frequent numbers are summed one by one; of the others the first places are added at once, then the second, and so on."""
+    flat = numbers.ravel()
+    order = np.argsort(flat, kind="stable")
+    first = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0)[: len(flat)])
+    count = np.diff(np.append(first, len(flat)))
+    by_count = np.argsort(-count, kind="stable")
+    first, count, place = first[by_count], count[by_count], order // numbers.shape[1]
+    out = np.zeros((len(first), rows.shape[1]), dtype=rows.dtype)
+    frequent = int((count >= 64).sum())
+    for k in range(frequent):
+        out[k] = rows[place[first[k] : first[k] + count[k]]].sum(axis=0)
+    for n in range(int(count[frequent:].max(initial=0))):
+        end = int(np.searchsorted(-count, -n, side="left"))
+        out[frequent:end] += rows[place[first[frequent:end] + n]]
+    return flat[order][first], out
+
+
 def sketch(tokens: DataFrame, weights: np.ndarray, block: np.ndarray) -> np.ndarray:
     """A'A times a random block, where the rows of A are the weighted passages."""
 
@@ -211,14 +310,14 @@ def sketch(tokens: DataFrame, weights: np.ndarray, block: np.ndarray) -> np.ndar
             if not len(passages.owner):
                 continue
             sums = passages.spread(passages.joined(passages.halves(weighted)))
-            flat = passages.columns.ravel()
-            order = np.argsort(flat, kind="stable")
-            firsts = np.flatnonzero(np.append(True, np.diff(flat[order]) != 0))
-            total[flat[order][firsts]] += np.add.reduceat(sums[order // HALF], firsts, axis=0)
+            columns, of_columns = summed(passages.columns, sums)
+            total[columns] += of_columns
         some = np.flatnonzero(total[:FEATURES].any(axis=1))
         yield pd.DataFrame({"feature": some.astype(np.int32), "row": pd.Series(list(total[some] * weights[some, None]), dtype=object)})
 
-    rows = tokens.select("columns").mapInPandas(multiply, "feature int, row array<double>").select("feature", array_to_vector("row").alias("row"))
+    # A task's sum is as large as the space, whatever it has read, so few tasks send less.
+    tasks = max(tokens.sparkSession.sparkContext.defaultParallelism, tokens.rdd.getNumPartitions() // FITTED_AT_ONCE)
+    rows = tokens.select("columns").coalesce(tasks).mapInPandas(multiply, "feature int, row array<double>").select("feature", array_to_vector("row").alias("row"))
     found = rows.groupBy("feature").agg(vector_to_array(Summarizer.sum(F.col("row"))).alias("row")).toPandas()
     out = np.zeros((FEATURES, block.shape[1]))
     if len(found):
@@ -274,6 +373,7 @@ class Item:
 
     def __init__(self, item_id: int, words: list[str], held: dict[str, float]):
         self.id, self.words, self.counts = item_id, words, Counter(words)
+        self.columns = Counter(columns_of(words).tolist())
         content = [w for w in words if held[w] <= COMMON]
         self.little = len(content) < max(LEAST_ANSWER, LITTLE * len(words))
         if self.little:
@@ -296,12 +396,12 @@ class Item:
 
     def shares(self, words: Sequence[str]) -> tuple[float, float, float]:
         """Shares of the item, its content and its answer that occur in order; zero where the item cannot have leaked."""
-        own = Counter(w for w in words if w in self.masks)
-        if sum((own & self.counts).values()) < SIMILAR * len(self.words):
+        own, least = [w for w in words if w in self.masks], SIMILAR * len(self.words)
+        if len(own) < least or sum((Counter(own) & self.counts).values()) < least:
             return 0.0, 0.0, 0.0
-        return (common_subsequence(self.masks, words) / len(self.words),
-                common_subsequence(self.content_masks, words) / max(self.n_content, 1),
-                common_subsequence(self.answer_masks, words) / max(self.n_answer, 1))
+        return (common_subsequence(self.masks, own) / len(self.words),
+                common_subsequence(self.content_masks, own) / max(self.n_content, 1),
+                common_subsequence(self.answer_masks, own) / max(self.n_answer, 1))
 
 
 def leaked(whole: float, content: float, answer: float) -> bool:
@@ -349,32 +449,63 @@ class Items:
         parts = Passages.of([columns_of(i.words) for i in self.items])
         latent = unit(parts.joined(parts.halves(space)))
         # Every other passage covers the item; they are grouped by their place in it.
-        places = [np.flatnonzero(parts.number == n) for n in range(0, int(parts.number.max(initial=0)) + 1, 2)]
-        self.latent = [(parts.owner[rows], np.ascontiguousarray(latent[rows].T)) for rows in places]
+        self.latent = []
+        for n in range(0, int(parts.number.max(initial=0)) + 1, 2):
+            at = np.flatnonzero(parts.number == n)
+            self.latent.append(np.full((len(self.items), latent.shape[1]), np.nan, dtype=np.float32))
+            self.latent[-1][parts.owner[at]] = latent[at]
+        reach = np.array([-(-len(i.words) // HALF) for i in self.items], dtype=int)
+        # Columns of the tables below, so that items of one reach stand side by side.
+        self.order = np.argsort(reach, kind="stable")
+        self.reaches = [(r, *np.searchsorted(reach[self.order], [r, r + 1])) for r in np.unique(reach).tolist()]
         self.holds = np.zeros((FEATURES + 1, len(self.items)), dtype=np.uint8)
-        for k, item in enumerate(self.items):
-            self.holds[columns_of(list(item.told_by)), k] = 1
-        self.least = np.array([i.least for i in self.items])
+        for k, item in enumerate(self.order):
+            self.holds[columns_of(list(self.items[item].told_by)), k] = 1
+        self.least = np.array([self.items[item].least for item in self.order])
         self.little = np.array([i.little for i in self.items], dtype=bool)
-        self.reach = np.array([-(-len(i.words) // HALF) for i in self.items], dtype=int)
 
     def candidates(self, passages: Passages, space: np.ndarray, close: float) -> tuple[np.ndarray, np.ndarray]:
-        """(half, item): close in the latent space or with little content, and with enough of the item's words around."""
-        own = unit(passages.joined(passages.halves(space)))
-        near = np.zeros((len(own), len(self.items)), dtype=bool)
-        for items, latent in self.latent:
-            near[:, items] |= own @ latent >= close
-        near[:, self.little] = True
+        """(half, item): with enough of the item's words around, and close in the latent space or with little content."""
         counts = sum(self.holds[passages.columns[:, i]] for i in range(HALF))
         sums = np.vstack([np.zeros((1, len(self.items)), dtype=np.int32), np.cumsum(counts, axis=0, dtype=np.int32)])
         place = np.arange(len(passages.owner))
         begin = place - passages.number
         end = begin + np.bincount(passages.owner)[passages.owner]
-        for reach in np.unique(self.reach):
-            mine = np.flatnonzero(self.reach == reach)
-            around = sums[np.minimum(end, place + 2 + reach)][:, mine] - sums[np.maximum(begin, place - reach)][:, mine]
-            near[:, mine] &= around >= self.least[mine]
-        return np.nonzero(near)
+        found = []
+        for reach, low, high in self.reaches:
+            around = sums[np.minimum(end, place + 2 + reach), low:high] - sums[np.maximum(begin, place - reach), low:high]
+            half, item = np.nonzero(around >= np.ceil(self.least[low:high]).astype(np.int32))
+            found.append((half, self.order[low + item]))
+        half, item = (np.concatenate(x) for x in zip(*found, strict=True))
+        # The few that are left are looked up in the latent space.
+        some, at = np.unique(half, return_inverse=True)
+        own = unit(passages.joined_at(some, space))
+        near = self.little[item]
+        for latent in self.latent:
+            near |= np.einsum("ij,ij->i", own[at], latent[item]) >= close
+        half, item = half[near], item[near]
+        possible = self.possible(passages, half, item)
+        half, item = half[possible], item[possible]
+        by_half = np.lexsort((item, half))
+        return half[by_half], item[by_half]
+
+    def possible(self, passages: Passages, half: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Which of some candidates can have as many of the item's words around as a leak needs: neighbours
+        are told at once, by columns, of which no fewer agree than words."""
+        by_item = np.lexsort((half, item))
+        p, k, flat = half[by_item], item[by_item], passages.columns.ravel()
+        owner, out = passages.owner[p], np.zeros(len(p), dtype=bool)
+        if not len(p):
+            return out
+        first = np.flatnonzero(np.append(True, (np.diff(k) != 0) | (np.diff(p) != 1) | (np.diff(owner) != 0)))
+        last = np.append(first[1:], len(p)) - 1
+        begin = p[first] - passages.number[p[first]]
+        end = begin + np.bincount(passages.owner)[owner[first]]
+        for a, b, low, high in zip(first, last, HALF * begin, HALF * end, strict=True):
+            this = self.items[k[a]]
+            around = flat[max(low, HALF * p[a] - len(this.words)) : min(high, HALF * (p[b] + 2) + len(this.words))].tolist()
+            out[by_item[a : b + 1]] = sum((Counter(c for c in around if c in this.columns) & this.columns).values()) >= SIMILAR * len(this.words)
+        return out
 
 
 def search(texts: list[tuple[int, str]], held: dict[str, float], space: np.ndarray, close: float):
