@@ -81,6 +81,21 @@ def test_a_full_bitmap_changes_nothing(spark):
     assert run(spark, rows, bits=32) == brute(rows)
 
 
+def test_many_texts_are_parsed_in_portions_that_a_cache_holds():
+    texts = [" ".join(f"w{k % 97}" for k in range(i, i + 4000)) for i in range(60)]
+    found = list(R.parsed(texts))
+    assert sum(len(f.start) for f in found) == 60 * 3988 and max(len(f.start) for f in found) <= 120_000
+    assert [int(r) for f in found for r in f.row] == [i for i in range(60) for _ in range(3988)]
+
+
+def test_bytes_are_split_where_words_end():
+    text = "a\x1cb\x85c\u00a0d\u2003é\x0b\x0c\r\n\t  日本\x1f \x00 z"
+    assert [w.decode() for w in R.without(text.encode(), None)[1]] == WORD.findall(text)
+    words = [f"w{k}" for k in range(40)]
+    count, left = R.without(" ".join(words).encode(), [{"start": 3, "count": 1}, {"start": 20, "count": 4}])
+    assert (count, [w.decode() for w in left]) == (40, words[:3] + words[16:20] + words[36:])
+
+
 def test_empty_table(spark):
     assert run(spark, []) == []
 
@@ -116,3 +131,16 @@ def test_query_over_the_whole_table(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     got = sorted(map(tuple, op13_recompression(spark, sf_dir).collect()), key=repr)
     assert got == brute([(r.doc_id, r.text) for r in documents.collect()])
+
+
+def test_texts_that_lose_nothing_are_not_shuffled(spark, monkeypatch):
+    rng = random.Random(9)
+    shared = " ".join(f"s{k}" for k in range(30))
+    rows = [(i, " ".join(f"w{rng.randrange(10**6)}" for _ in range(50)) + (" " + shared if i % 20 == 0 else "")) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    joins, join = [], type(docs).join
+    monkeypatch.setattr(type(docs), "join", lambda a, b, *how: joins.append(a) or join(a, b, *how))
+    out = R.remove_repeats(docs)
+    sent = [r for r in joins[-1].collect() if r.data is not None]
+    assert sorted(r.doc_id for r in sent) == [20, 40, 60, 80]
+    assert sorted((tuple(r) for r in out.collect()), key=repr) == brute(rows)

@@ -21,6 +21,7 @@ Neighbouring windows with equally named anchors form a run.
 3. Runs of an anchor with one content are compared as a whole, the others window by window:
    the least document that holds a piece decides whether the others lose its words.
 
+Texts that lose no word are not shuffled: a third bitmap tells them from the others.
 Nothing else is sent about windows whose anchor stands in one document only, and a piece
 that a third of all texts hold reaches the count as one row for each task and the join as a
 key that adaptive execution splits.
@@ -39,21 +40,21 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.llm.common import importable, narrow, sha256_hex
+from visitlake.llm.common import importable, narrow, sha256_hex, stored
 from visitlake.llm.hyperminhash import mixed
 
 WINDOW, ROUNDS = 13, 2
-#: Bytes and words handled at once, however texts are long or many. Bits of the anchors' bitmap.
-BYTES, WORDS, BITS = 2_000_000, 400_000, 1 << 27
-BLANK = " \t\n\x0b\x0c\r"
-WORD = re.compile(rf"[^{BLANK}]+")
+#: Bytes and words handled at once, however texts are long or many, so few that their arrays stay in a core's cache. Bits of the anchors' bitmap.
+BYTES, WORDS, BITS = 400_000, 80_000, 1 << 27
+#: Bits of the bitmap of texts that lose words.
+TEXT_BITS = 1 << 24
 BASE = 0x9E3779B97F4A7C15
 NO_ID = (1 << 63) - 1
 #: Bits of an anchor's name that the first two steps group by; equal ones only make them keep more.
 NAME_BITS = 40
 ANCHORS = "anchor long, low long, high long"
 PIECES = "anchor int, content long, doc_id long, text_hash int, start int, count int"
-PACKED = "doc_id long, text_hash int, data binary"
+RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 U = np.uint64
 
 
@@ -78,7 +79,8 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         return np.zeros(0, dtype=U), starts
     codes = byte_codes()[raw[inside]]
     first = np.cumsum(lengths) - lengths
-    codes *= powers(BASE, int(lengths.max()))[np.arange(len(codes)) - np.repeat(first, lengths)]
+    place = np.arange(len(codes), dtype=np.int32) - np.repeat(first.astype(np.int32), lengths)
+    codes *= powers(BASE, int(lengths.max()))[place]
     return mixed(np.add.reduceat(codes, first) + lengths.astype(U)), starts
 
 
@@ -113,7 +115,8 @@ def neighbours(row: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def shifted(values: np.ndarray, by: int) -> np.ndarray:
-    return values[np.clip(np.arange(len(values)) + by, 0, len(values) - 1)]
+    """Of each place the value before (-1) or behind (1) it, at the ends its own."""
+    return np.concatenate([values[:1], values[:-1]] if by < 0 else [values[1:], values[-1:]])
 
 
 def rounds(words: np.ndarray, row: np.ndarray, count: int = ROUNDS) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -329,16 +332,9 @@ def pieces(rows: DataFrame, bits: int = BITS) -> DataFrame:
     return rows.mapInPandas(find_pieces, PIECES)
 
 
-def squeezed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Texts as they are sent through the shuffle: about half their size."""
-    squeeze = zstandard.ZstdCompressor(level=1).compress
-    for batch in batches:
-        yield pd.DataFrame({"doc_id": batch["doc_id"].astype("Int64"), "text_hash": batch["text_hash"], "data": [squeeze(as_bytes(t)) for t in batch["text"]]})
-
-
-def without(text: str, gone: list[dict] | None) -> tuple[int, list[str]]:
-    """How many words a text has, and those that no listed piece covers."""
-    words = WORD.findall(text)
+def without(data: bytes, gone: list[dict] | None) -> tuple[int, list[bytes]]:
+    """How many words a text has, and those that no listed piece covers. Bytes are split at blanks, tabs and line ends of ASCII only."""
+    words = data.split()
     if gone is None or not len(gone):
         return len(words), words
     edges = np.zeros(len(words) + 1, dtype=np.int64)
@@ -357,27 +353,42 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     comes in. Rows of one id take nothing from each other; a row without an id comes after
     all that have one and takes nothing from any. ``keep_text`` adds the words that stay, joined by one space, as ``kept``.
     """
-    columns = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept string" * keep_text
+    columns = RESULT + ", kept string" * keep_text
+    names = [c.split()[0] for c in columns.split(", ")]
     rows = narrow(importable(docs), doc_id=doc_id, text=text)
     rows = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.hash("text").alias("text_hash"))
     held = pieces(rows, bits)
     least = held.groupBy("anchor", "content").agg(F.min("doc_id").alias("low"))
     gone = held.join(least, ["anchor", "content"]).filter("low < doc_id")
     own = F.when(F.col("doc_id") < NO_ID, F.col("doc_id"))
-    by_row = gone.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "count")).alias("gone")).select(own.alias("w_id"), F.col("text_hash").alias("w_hash"), "gone")
+    by_row = stored(gone.groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("start", "count")).alias("gone")).select(own.alias("w_id"), F.col("text_hash").alias("w_hash"), "gone"))
+    losing = rows.sparkSession.sparkContext.broadcast(bits_of(by_row.select(F.xxhash64("w_id", "w_hash").alias("anchor")), min(bits, TEXT_BITS)))
+
+    def result(data: bytes, lost: list[dict] | None) -> tuple:
+        count, left = without(data, lost)
+        kept = b" ".join(left)
+        out = (count, count - len(left), sha256_hex(kept))
+        return (*out, kept.decode()) if keep_text else out
+
+    def whole_or_packed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Texts that lose nothing are done; others are sent through the shuffle at about half their size."""
+        squeeze = zstandard.ZstdCompressor(level=1).compress
+        for batch in batches:
+            sent = marked(losing.value, batch["name"].to_numpy(dtype=np.int64))
+            out = [(squeeze(as_bytes(t)), *[None] * (len(names) - 1)) if to_be_cut else (None, *result(as_bytes(t), None)) for t, to_be_cut in zip(batch["text"], sent, strict=True)]
+            done = pd.DataFrame(out, columns=["data", *names[1:]]).astype({"n_words": "Int64", "n_removed": "Int64"})
+            yield done.assign(doc_id=batch["doc_id"].astype("Int64"), text_hash=batch["text_hash"])
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         open_up = zstandard.ZstdDecompressor().decompress
-        names = [c.split()[0] for c in columns.split(", ")]
         for batch in batches:
-            out = []
-            for key, data, lost in zip(batch["doc_id"], batch["data"], batch["gone"], strict=True):
-                count, left = without(open_up(data).decode(), lost)
-                kept = " ".join(left)
-                row = (key, count, count - len(left), sha256_hex(kept.encode()))
-                out.append((*row, kept) if keep_text else row)
-            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64"})
-
-    packed = rows.mapInPandas(squeezed, PACKED)
+            done = zip(*(batch[n] for n in names[1:]), strict=True)
+            out = [(key, *(row if data is None else result(open_up(data), lost)))
+                   for key, data, lost, row in zip(batch["doc_id"], batch["data"], batch["gone"], done, strict=True)]
+            yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "n_words": "Int64", "n_removed": "Int64"})
+
+    # Bits are told by the remainder, so a name counts without its sign.
+    named_rows = rows.withColumn("name", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(min(bits, TEXT_BITS))))
+    packed = named_rows.mapInPandas(whole_or_packed, "text_hash int, data binary, " + columns)
     joined = packed.join(by_row, F.col("doc_id").eqNullSafe(F.col("w_id")) & (F.col("text_hash") == F.col("w_hash")), "left")
-    return joined.select("doc_id", "data", "gone").mapInPandas(cut, columns)
+    return joined.select(*names, "data", "gone").mapInPandas(cut, columns)
