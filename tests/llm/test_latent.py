@@ -259,3 +259,13 @@ def test_a_task_sums_several_partitions(spark, monkeypatch):
     monkeypatch.setattr(type(tokens), "mapInPandas", lambda df, *how: seen.append(df.rdd.getNumPartitions()) or made(df, *how))
     L.sketch(tokens, np.ones(L.FEATURES + 1, dtype=np.float32), np.ones((L.FEATURES, 2), dtype=np.float32))
     assert seen == [max(80 // L.FITTED_AT_ONCE, spark.sparkContext.defaultParallelism)]
+
+
+def test_rows_that_stay_are_not_shuffled_to_be_told_from_leaks(spark):
+    from tests.conftest import plan_of
+
+    item = " ".join(f"secret{i}" for i in range(20))
+    docs = spark.createDataFrame([(i, item if i == 3 else f"text {i}") for i in range(20)], "doc_id long, text string")
+    kept = L.keep_unleaked(docs, spark.createDataFrame([(9, item)], "item_id long, text string"))
+    assert "BroadcastHashJoin" in plan_of(kept) and "SortMergeJoin" not in plan_of(kept)
+    assert sorted(r.doc_id for r in kept.collect()) == [i for i in range(20) if i != 3]

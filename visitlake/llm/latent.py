@@ -549,6 +549,7 @@ def keep_unleaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     Null and empty texts stay; repeated rows stay or go together; an empty table stays empty."""
     columns = docs.columns
     key, words = unused(docs, "__id", "__hash")
-    bad = leaks(docs, benchmark).filter(F.size("leaks") > 0).select(F.col("doc_id").alias(key), F.col("text_hash").alias(words)).distinct()
+    # Stored, so that its size is known: few of the rows leak, and the others need no shuffle to be told from them.
+    bad = stored(leaks(docs, benchmark).filter(F.size("leaks") > 0).select(F.col("doc_id").alias(key), F.col("text_hash").alias(words)).distinct())
     same = F.col("doc_id").eqNullSafe(F.col(key)) & F.xxhash64("text").eqNullSafe(F.col(words))
     return docs.join(bad, same, "left_anti").select(*[F.col(f"`{c}`") for c in columns])
