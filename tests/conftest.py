@@ -28,6 +28,30 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+@pytest.fixture
+def files_of(spark, monkeypatch):
+    """Of a module: a list that gets the number of files of each table it stores, with many shuffle partitions."""
+    held = {"spark.sql.shuffle.partitions": "30", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+
+    def of(module) -> list[int]:
+        counts, stored = [], module.stored
+
+        def counted(df, *args):
+            out = stored(df, *args)
+            counts.append(len(out.inputFiles()))
+            return out
+
+        monkeypatch.setattr(module, "stored", counted)
+        return counts
+
+    yield of
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
 @pytest.fixture(scope="session")
 def sf_dir():
     path = f"{TESTDATA}/sf0.001"

@@ -1,6 +1,8 @@
 import hashlib
 import random
 
+import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -89,3 +91,19 @@ def test_query_on_whole_documents(spark, sf_dir, library):
         assert row.n_tokens == len(ids)
         assert row.ids_sha256 == hashlib.sha256(b"".join(i.to_bytes(4, "little") for i in ids)).hexdigest()
         assert row.decoded_sha256 == hashlib.sha256(texts[row.doc_id].encode()).hexdigest()
+
+
+def test_few_texts_are_held_at_once(encoder, monkeypatch):
+    class Table:
+        def mapInPandas(self, encode, schema):
+            return encode
+
+    monkeypatch.setattr(bpe, "importable", lambda docs: docs)
+    monkeypatch.setattr(bpe, "narrow", lambda docs, **columns: docs)
+    monkeypatch.setattr(bpe, "TEXTS_AT_ONCE", 3)
+    encode = bpe.encode_documents(Table(), PATH, PATTERN, keep_ids=True)
+    texts = [*TEXTS, None]
+    parts = list(encode(iter([pd.DataFrame({"doc_id": range(len(texts)), "text": texts}), pd.DataFrame({"doc_id": [99], "text": ["last"]})])))
+    assert [len(p) for p in parts] == [3, 3, 3, 2, 1]
+    ids = {r.doc_id: r.ids.tolist() for p in parts for r in p.itertuples()}
+    assert ids == {i: np.frombuffer(encoder.encode(t or ""), dtype="<u4").tolist() for i, t in [*enumerate(texts), (99, "last")]}

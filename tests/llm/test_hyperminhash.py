@@ -4,6 +4,7 @@ import re
 import numpy as np
 import pytest
 
+from visitlake.llm import components as C
 from visitlake.llm import hyperminhash as H
 from visitlake.llm.components import components
 
@@ -107,6 +108,27 @@ def test_components(spark, edges):
     assert got == want
 
 
+def test_rounds_are_stored_in_as_many_files_as_their_edges_need(spark, files_of, monkeypatch):
+    edges = spark.createDataFrame([(i, i + 1) for i in range(200) if i != 90], "a long, b long")
+    want = {i: 0 if i <= 90 else 91 for i in range(201)}
+    files = files_of(C)
+    assert {r.node: r.component for r in components(edges).collect()} == want
+    assert len(files) > 2 and max(files) == 1
+    monkeypatch.setattr(C, "EDGES_AT_ONCE", 70)
+    files.clear()
+    assert {r.node: r.component for r in components(edges).collect()} == want
+    assert max(files) == 1 + 199 // 70
+
+
+def test_small_tables_are_stored_in_few_files(spark, files_of):
+    files = files_of(H)
+    rows = [(i, " ".join(f"w{(i // 2) * 50 + k}" for k in range(40)) + (" more" if i % 2 else "")) for i in range(200)]
+    got = H.linked(spark.createDataFrame(rows, "doc_id long, text string").coalesce(2))
+    assert sorted((r.doc_id, r.component_id) for r in got.collect()) == [(i, i - i % 2) for i in range(200)]
+    sketched, classes, members, sets, _, left, across, *_ = files
+    assert sketched == 2 and classes == members == sets == 1 and left <= 1 and across <= 1
+
+
 def test_one_of_each_component_stays(spark):
     rows = [(1, "a b c d e f", "s"), (2, "a b c d e f", "t"), (2, "a b c d e f", "t"), (1, "a b c d e f", "s"), (7, "", None), (8, None, "u"), (9, "other", "u")]
     kept = H.keep_one(spark.createDataFrame(rows, "doc_id long, text string, source string"))

@@ -88,3 +88,11 @@ def test_query_matches_sql(spark, sf_dir):
     df = op7_line_spread(spark, sf_dir)
     assert df.columns == names
     assert sorted(map(tuple, df.collect()), key=repr) == sorted(cursor.fetchall(), key=repr)
+
+
+def test_boilerplate_is_stored_in_few_files(spark, files_of):
+    rows = [(i, "\n".join([f"footer {k}" for k in range(60)] + [f"own {i}"]), f"s{i}") for i in range(12)]
+    files = files_of(L)
+    stripped = L.remove_boilerplate(spark.createDataFrame(rows, "doc_id long, text string, source string"))
+    assert sorted(r.text == f"own {r.doc_id}" for r in stripped.collect()) == [False] + [True] * 11
+    assert len(files) == 2 and files[0] > 10 and files[1] == 1

@@ -30,6 +30,8 @@ from visitlake.llm.common import importable, narrow
 ENCODED = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Bounds on what a worker remembers of earlier words. Only speed depends on them.
 WORDS_KEPT, PAIRS_KEPT, LONG_WORD = 400_000, 400_000, 400
+#: Texts whose ids a worker holds at once.
+TEXTS_AT_ONCE = 256
 
 
 class Vocabulary:
@@ -203,15 +205,15 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, doc_id: str = "do
     """Encodes each whole text and decodes the ids again.
 
     A row in, a row out, without a shuffle; null texts count as empty (no tokens, the hash of
-    nothing), repeated rows are repeated, other columns are left out. Memory is bounded by a batch of texts and by
-    ``WORDS_KEPT``. ``keep_ids`` adds the ids themselves as ``ids array<long>``.
+    nothing), repeated rows are repeated, other columns are left out. Memory is bounded by a batch of texts, the ids
+    of ``TEXTS_AT_ONCE`` and ``WORDS_KEPT``. ``keep_ids`` adds the ids themselves as ``ids array<long>``.
     """
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder = encoder_for(path, pattern)
-        for batch in batches:
+        for part in (batch.iloc[at : at + TEXTS_AT_ONCE] for batch in batches for at in range(0, len(batch), TEXTS_AT_ONCE)):
             rows = []
-            for key, whole in zip(batch["doc_id"], batch["text"], strict=True):
+            for key, whole in zip(part["doc_id"], part["text"], strict=True):
                 packed = encoder.encode(whole) if isinstance(whole, str) else b""
                 row = (key, len(packed) // 4, hashlib.sha256(packed).hexdigest(),
                        hashlib.sha256(encoder.decode(packed)).hexdigest())

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.llm.common import stored
+from visitlake.llm.common import fewer, stored
+
+#: Edges in one file of a round, at least, if there are as many.
+EDGES_AT_ONCE = 50_000
 
 
 def _linked_to_smallest(edges: DataFrame) -> DataFrame:
@@ -20,11 +23,12 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     Alternates the large-star and the small-star step until the edges no longer change:
     a number of rounds that grows with the logarithm of the nodes, each two joins on the
     edge table. No neighbour list is collected; a node with many edges is a skewed join key,
-    which adaptive execution splits. Each round is written and read again. Self-loops and
-    nulls are ignored.
+    which adaptive execution splits. Each round is written and read again, in as many files as
+    its edges need: they never become more. Self-loops and nulls are ignored.
     """
     both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).filter("u <> v")
-    current, before = stored(both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()), None
+    edges = both.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    current, before = stored(fewer(edges, both.count(), EDGES_AT_ONCE)), None
     while True:
         mark = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before or mark[0] == 0:
@@ -35,4 +39,4 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         large = _linked_to_smallest(undirected).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         tied = _linked_to_smallest(large)
         small = tied.select(F.col("v").alias("u"), F.col("m").alias("v")).union(tied.select("u", F.col("m").alias("v")))
-        current = stored(small.filter("u > v").distinct())
+        current = stored(fewer(small.filter("u > v").distinct(), mark[0], EDGES_AT_ONCE))

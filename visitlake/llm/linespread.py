@@ -18,9 +18,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from visitlake.llm.common import line_key, narrow, stored, unused
+from visitlake.llm.common import fewer, line_key, narrow, stored, unused
 
 SITES, BLANKS = 5, " \t\r"
+#: Boilerplate lines in one file, at least, if there are as many.
+LINES_AT_ONCE = 50_000
 #: 2^12 registers: a standard error of 1.6 percent, so 8 percent are five of them.
 SKETCH_BITS, MARGIN = 12, 0.08
 
@@ -65,8 +67,9 @@ def boilerplate(docs: DataFrame, sites: int = SITES) -> DataFrame:
     candidates = stored(spreads(lines, sites))
     clear = F.col("spread") > sites * (1 + MARGIN)
     counted = exact_spreads(lines, candidates.filter(~clear)).filter(F.col("exact") >= sites)
-    return candidates.filter(clear).select("h1", "h2", "home").union(
+    found = candidates.filter(clear).select("h1", "h2", "home").union(
         candidates.filter(~clear).join(counted, ["h1", "h2"]).select("h1", "h2", "home"))
+    return fewer(found, candidates.count(), LINES_AT_ONCE)
 
 
 def remove_boilerplate(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", site: str = "source", sites: int = SITES,
