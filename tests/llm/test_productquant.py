@@ -107,3 +107,57 @@ def test_recall_on_the_table(spark, monkeypatch):
     every /= np.linalg.norm(every, axis=1, keepdims=True)
     want = (every @ every.T >= 0.9).sum(1) - 1
     assert sum(got.values()) >= 0.99 * want.sum() and want.sum() > 50_000
+
+
+def all_pairs(vectors, limit=0.9):
+    unit = np.asarray(vectors, dtype=np.float32).astype(float)
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    return (unit @ unit.T >= limit).sum(1) - 1
+
+
+def test_what_is_sent_stays_in_proportion(spark):
+    """No vector is sent to every list that it may have a neighbour in."""
+    def files():
+        manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        there = manager.getAllFiles()
+        return {there.apply(i).getPath(): there.apply(i).length() for i in range(there.size())}
+
+    vectors = np.random.default_rng(4).normal(size=(8000, 64)).astype(np.float32)
+    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").repartition(4).cache()
+    rows.count()
+    before = files()
+    assert Q.linked(rows).agg({"n_links": "sum"}).first()[0] == 0
+    assert sum(n for f, n in files().items() if f not in before) < 8 * vectors.nbytes
+    rows.unpersist()
+
+
+@pytest.mark.parametrize("rank", [4, 64])
+def test_places_lose_next_to_nothing(spark, monkeypatch, rank):
+    """Few vectors at a place, many rounds and blocks; at the limit, and where vectors differ in few directions only."""
+    for name, value in {"TRAIN": 1500, "BLOCK": 10, "PAIR_S": 1e-3, "PLACE_S": 0, "LITTLE": 1}.items():
+        monkeypatch.setattr(Q, name, value)
+    fitted, fit = [], Q.Places.fit
+    monkeypatch.setattr(Q.Places, "fit", staticmethod(lambda *a: fitted.append(fit(*a)) or fitted[-1]))
+    rng = np.random.default_rng(6)
+    space = np.linalg.qr(rng.normal(size=(64, 64)))[0][:rank]
+    centres = rng.normal(size=(2000 if rank == 64 else 500, rank)) @ space
+    vectors = np.concatenate([c + rng.normal(size=(rng.integers(1, 4), rank)) @ space * np.linalg.norm(c) * rng.uniform(0, 0.5) / rank**0.5 for c in centres])
+    vectors = np.concatenate([vectors, vectors[:1] + rng.normal(size=(150, rank)) @ space * 0.01 * np.linalg.norm(vectors[0]) / rank**0.5])
+    want = all_pairs(vectors)
+    got = dict(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").transform(Q.linked).select("vec_id", "n_links").collect())
+    got = np.array([got[i] for i in range(len(vectors))])
+    assert (got <= want).all() and got.sum() >= 0.995 * want.sum()
+    assert rank == 4 or fitted[0].held > 1
+
+
+def test_a_pair_counts_at_the_first_place_it_shares():
+    x = np.array([[1, 5, 9], [2, 5, -1]], dtype=np.int32)
+    assert Q.earlier(9, x, x).tolist() == [[True, True], [True, True]]
+    assert Q.earlier(5, x, x).tolist() == [[True, False], [False, True]]
+
+
+def test_the_furthest_pairs_of_directions():
+    rng = np.random.default_rng(3)
+    first, second = rng.normal(size=(2, 40, 9))
+    want = np.argsort(-(first[:, :, None] + second[:, None]).reshape(40, -1), axis=1)[:, :7]
+    assert (Q.furthest(first, second, 7) == want).all()
