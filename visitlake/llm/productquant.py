@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import gc
 import math
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
@@ -42,9 +43,9 @@ LIMIT, TRAIN, MAX_LISTS, SUBSPACES, CODES, BLOCK, ROUNDS = 0.9, 16_384, 1024, 8,
 #: Codes of what a code leaves over; rotations; the most places in each; of neighbours at the limit, the share that has to meet.
 FINER, TABLES, MOST, RECALL = 2, 4, 12, 0.9995
 #: Seconds that a row at a place, a pair there and a place take, roughly: they weigh the settings against each other.
-ROW_S, PAIR_S, PLACE_S = 3e-6, 4e-9, 3e-5
+ROW_S, PAIR_S, PLACE_S = 5e-6, 3e-9, 3e-5
 #: Bytes one task takes at a time, and bytes on their way that are never worth a round more.
-AT_ONCE, LITTLE = 8 << 20, 1 << 28
+AT_ONCE, LITTLE = 4 << 20, 1 << 28
 INDEXED = "node long, list int, codes binary, error float, places binary"
 FOUND = "a long, b long, n_links long"
 
@@ -55,11 +56,15 @@ def nearest(points: np.ndarray, centroids: np.ndarray) -> tuple[np.ndarray, np.n
     return np.maximum(squared, 0), squared.argmin(1)
 
 
+def owners(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    return np.concatenate([nearest(points[s : s + 1024], centroids)[1] for s in range(0, len(points), 1024)])
+
+
 def k_means(points: np.ndarray, k: int, seed: int) -> np.ndarray:
     rng = np.random.default_rng(seed)
     centroids = points[rng.choice(len(points), size=min(k, len(points)), replace=False)]
     for _ in range(ROUNDS):
-        own = nearest(points, centroids)[1]
+        own = owners(points, centroids)
         sums = np.zeros_like(centroids)
         np.add.at(sums, own, points)
         counts = np.bincount(own, minlength=len(centroids))
@@ -86,11 +91,11 @@ class Codebook:
     def fit(points: np.ndarray, total: int, limit: float) -> Codebook:
         lists = max(1, min(MAX_LISTS, math.isqrt(total), len(points)))
         centroids = k_means(points, lists, seed=1)
-        residuals = points - centroids[nearest(points, centroids)[1]]
+        residuals = points - centroids[owners(points, centroids)]
         layers = []
         for layer in range(1 + FINER):
             layers.append([k_means(part, CODES, seed=2 + i + SUBSPACES * layer) for i, part in enumerate(split(residuals))])
-            codes = np.stack([nearest(r, p)[1] for r, p in zip(split(residuals), layers[-1], strict=True)], axis=1)
+            codes = np.stack([owners(r, p) for r, p in zip(split(residuals), layers[-1], strict=True)], axis=1)
             residuals = residuals - looked_at(layers[-1], codes)
         return Codebook(centroids, layers[0], limit, layers[1:])
 
@@ -110,11 +115,17 @@ class Codebook:
 
     def decoded(self, lists: np.ndarray | int, codes: np.ndarray) -> np.ndarray:
         """The vectors that codes stand for, summed from the tables."""
-        total, width = self.centroids[lists], len(self.parts)
-        for layer, parts in enumerate([self.parts, *self.finer][: codes.shape[1] // width]):
-            total = total + looked_at(parts, codes[:, layer * width : (layer + 1) * width])
+        total, codes = self.centroids[np.broadcast_to(lists, len(codes))], np.ascontiguousarray(codes.T)
+        for i, column in enumerate(codes):
+            layer, part = divmod(i, len(self.parts))
+            split(total)[part][:] += [self.parts, *self.finer][layer][part][column]
         return total
 
+    def single(self) -> Codebook:
+        """The same in single precision."""
+        short = lambda parts: [p.astype(np.float32) for p in parts]
+        return Codebook(self.centroids.astype(np.float32), short(self.parts), self.limit, [short(parts) for parts in self.finer])
+
     def looked_up(self, queries: np.ndarray, at: np.ndarray | int, codes: np.ndarray) -> np.ndarray:
         """Squared distances of queries to codes of one list, or of a list each."""
         return nearest(queries, self.decoded(at, codes))[0]
@@ -146,7 +157,9 @@ class Places:
         return self.each * max(1, len(self.tables))
 
     def ranked(self, points: np.ndarray, each: int) -> np.ndarray:
-        """For every table, as rows of a row's places: row, table, rank."""
+        """The places of each row, in every table from the furthest on: row, table, rank."""
+        if len(points) > 1024:
+            return np.concatenate([self.ranked(points[s : s + 1024], each) for s in range(0, len(points), 1024)])
         out = []
         for t, (turn, first, second) in enumerate(self.tables):
             turned = ((points - self.mean) @ turn).astype(np.float32)
@@ -212,7 +225,7 @@ class Spread:
         at, counts = np.unique(places, return_counts=True)
         expected, size = counts * (total / len(places)), 4 * BLOCK
         crowded = (expected > (2 * size if len(at) > 1 else size)) & (counts > 2)
-        blocks = np.ceil(expected[crowded] / size).astype(np.int64)
+        blocks = np.minimum(np.ceil(expected[crowded] / size), 0xFFFF).astype(np.int64)
         return Spread(at[crowded].astype(np.int64), blocks, float((expected[crowded] * (blocks - 1)).sum()))
 
     def slots(self, nodes: np.ndarray, places: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -247,17 +260,16 @@ def unit(vectors: np.ndarray) -> np.ndarray:
 def forest(adjacent: np.ndarray) -> list[tuple[int, int]]:
     """Edges (row, column) that connect all that a block's links connect."""
     rows, columns = adjacent.shape
-    label = np.arange(rows + columns)
-    kept = []
+    label, kept = np.arange(columns), []  # of the columns; a row joins those that it links
     for x in range(rows):
         there = np.flatnonzero(adjacent[x])
-        labels, first = np.unique(label[rows + there], return_index=True)
-        new = labels != label[x]
-        if new.any():
-            kept += [(x, int(y)) for y in there[first[new]]]
-            label[np.isin(label, labels)] = label[x]
-        if len(kept) == rows + columns - 1:
-            return kept
+        labels = label[there]
+        if len(there) and (labels == labels[0]).all():
+            kept.append((x, int(there[0])))
+        elif len(there):
+            labels, first = np.unique(labels, return_index=True)
+            kept += [(x, int(y)) for y in there[first]]
+            label[np.isin(label, labels)] = labels[0]
     return kept
 
 
@@ -295,9 +307,11 @@ def unpacked(column: pd.Series, dtype: type) -> np.ndarray:
 
 
 def released(df: DataFrame) -> None:
-    """Shuffle files go once the driver's JVM has collected what refers to them."""
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    """Shuffle files go once the driver's JVM has collected what refers to them; its listeners may do so for a moment yet."""
+    for _ in range(2):
+        gc.collect()
+        df.sparkSession.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 Records = Callable[[pd.DataFrame], tuple[np.ndarray, np.ndarray, np.ndarray]]
@@ -382,15 +396,18 @@ def links_of(classes: DataFrame, total: int, dtype: str, limit: float) -> DataFr
     sample = drawn.orderBy("node").limit(TRAIN).select("embedding").toPandas()["embedding"]
     points = unit(matrix(sample, dtype))
     book, filed = Codebook.fit(points, total, limit), Places.fit(points, total, limit)
+    short, halved = book.single(), (book.centroids**2).sum(1).astype(np.float32) / 2
     spread, width = Spread.of(filed.of(points), total), points.shape[1]
     most = total * width * np.dtype(dtype).itemsize
+    if most > LITTLE:
+        released(classes)
 
     def index(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for start in range(0, len(batch), 1024):
                 part = batch.iloc[start : start + 1024]
                 points = unit(matrix(part["embedding"], dtype))
-                own = nearest(points, book.centroids)[1]
+                own = (points.astype(np.float32) @ short.centroids.T - halved).argmax(1)
                 codes, error = book.encode(points, own, finer=True)
                 yield pd.DataFrame({"node": part["node"].to_numpy(), "list": own, "codes": [c.tobytes() for c in codes],
                                     "error": error.astype(np.float32), "places": [p.tobytes() for p in filed.of(points)]})
@@ -409,12 +426,14 @@ def links_of(classes: DataFrame, total: int, dtype: str, limit: float) -> DataFr
     def come_close(there: np.ndarray) -> pd.DataFrame:
         # What is left of the squared reach, halved, as the product of a row of either: at least 0 if within the reach and both errors.
         left, right = np.empty((2, len(there), width + 3), dtype=np.float32)
-        for s in range(0, len(there), 8192):
-            some = there[s : s + 8192]
-            points, error = book.decoded(some["list"], some["codes"]), some["error"].astype(np.float64)
+        for s in range(0, len(there), 2048):
+            some = there[s : s + 2048]
+            points, error = short.decoded(some["list"], some["codes"]), some["error"]
             spare = (book.reach**2 + error**2 + 2 * book.reach * error - (points**2).sum(1)) / 2
-            left[s : s + 8192] = np.column_stack([points, error, spare, np.ones(len(some))])
-            right[s : s + 8192] = np.column_stack([points, error, np.ones(len(some)), spare - book.reach**2 / 2])
+            for half, more in ((left, (error, spare, 1)), (right, (error, 1, spare - book.reach**2 / 2))):
+                half[s : s + 2048, :width] = points
+                for i, column in enumerate(more):
+                    half[s : s + 2048, width + i] = column
         close = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
         for place, x, y, same in cells(there["slot"], there["mine"]):
             from_x, to_y, live = left[x], right[y].T, 0
@@ -480,9 +499,12 @@ def links_of(classes: DataFrame, total: int, dtype: str, limit: float) -> DataFr
         i, j, place = (np.concatenate(c) for c in zip(*few, strict=True))
         for s in range(0, len(i) if filed.held > 1 else 0, 10_000):
             some = slice(s, s + 10_000)
-            first, second, here = there["places"][i[some]], there["places"][j[some]], place[some][:, None]
-            first = np.where((first < 0) | (first >= here), -2, first)
-            place[some][(first[:, :, None] == second[:, None, :]).any((1, 2))] = -1
+            first, second, here = there["places"][i[some]].T.copy(), there["places"][j[some]].T.copy(), place[some].astype(np.int32)
+            second[(second < 0) | (second >= here)] = -2
+            shared = np.zeros(second.shape, dtype=bool)
+            for of_first in first:
+                shared |= second == of_first
+            place[some][shared.any(0)] = -1
         i, j = i[place >= 0], j[place >= 0]
         np.add.at(counts, i, weights[j])
         np.add.at(counts, j, weights[i])
@@ -512,7 +534,6 @@ def linked(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     named = rows.filter("key IS NOT NULL").groupBy("key").agg(
         F.min("vec_id").alias("first"), F.count("*").alias("n"), F.first("embedding").alias("embedding"))
     classes = stored(named.withColumn("node", F.xxhash64("key")).withColumn("length", F.size("embedding")))
-    released(classes)
     totals = {r["length"]: r["total"] for r in classes.groupBy("length").agg(F.count("*").alias("total")).collect()}
     plain = keyed.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     if not totals:
